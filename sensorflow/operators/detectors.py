@@ -33,7 +33,10 @@ QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 @dataclass(frozen=True)
 class Detector:
-    """``judge()`` gives ``type`` (null = no finding), ``severity``, ``description`` and numbers."""
+    """``judge()`` gives ``type`` (null = no finding), ``severity``, ``description`` and numbers.
+
+    It may also give ``method`` where one detector works in several ways.
+    """
 
     name: str
     method: str
@@ -46,9 +49,13 @@ class Detector:
     def attach_profile(self, rows: DataFrame, history: DataFrame, as_of: datetime) -> DataFrame:
         return rows if self.profile is None else attach(rows, self.profile(history, as_of), KEY)
 
+    def verdict(self, numbers: tuple[str, ...] = ()) -> Column:
+        found = {"method": F.lit(self.method)} | self.judge()
+        return F.struct(*[found[n].alias(n) for n in ("type", "severity", "method", "description", *numbers)])
+
     def score(self, profiled: DataFrame) -> DataFrame:
         """Findings among rows that already carry the profile columns."""
-        verdict = F.struct(*[c.alias(name) for name, c in self.judge().items()])
+        verdict = self.verdict(self.numbers)
         return (
             profiled.filter(F.col("value").isNotNull())
             .withColumn("_verdict", verdict)
@@ -58,7 +65,7 @@ class Detector:
                 "_verdict.type",
                 "_verdict.severity",
                 (F.col("_verdict.severity") > 0).alias("is_anomaly"),
-                F.lit(self.method).alias("method"),
+                "_verdict.method",
                 *[F.col("_verdict")[n].alias(n) for n in self.numbers],
                 "_verdict.description",
             )
@@ -212,7 +219,8 @@ def threshold_detector(bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS
         fixed, dynamic = _judge_bounds(bounds), _judge_iqr()
         known = has_static_bounds(F.col(KEY), bounds)
         picked = {c: F.when(known, fixed[c]).otherwise(dynamic[c]) for c in ("type", "severity", "description")}
-        return picked | {n: F.when(~known, dynamic[n]) for n in IQR_NUMBERS}
+        method = F.when(known, F.lit("ThresholdAnomalyDetection")).otherwise("ThresholdAnomalyDetection_Dynamic")
+        return picked | {"method": method} | {n: F.when(~known, dynamic[n]) for n in IQR_NUMBERS}
 
     return Detector(
         "threshold",
@@ -291,14 +299,7 @@ def routed_anomalies(scored: DataFrame, history: DataFrame, as_of: datetime) ->
     for name, each in detectors.items():
         part = chosen.filter(F.col("_route") == name).drop("_route")
         routed = each.attach_profile(routed, part, as_of)
-        found = each.judge()
-        common = F.struct(
-            found["type"].alias("type"),
-            found["severity"].alias("severity"),
-            F.lit(each.method).alias("method"),
-            found["description"].alias("description"),
-        )
-        verdict = verdict.when(F.col("_route") == name, common)
+        verdict = verdict.when(F.col("_route") == name, each.verdict())
     return (
         routed.withColumn("_verdict", verdict)
         .filter(F.col("_verdict.type").isNotNull())

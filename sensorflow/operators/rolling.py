@@ -100,4 +100,5 @@ def rolling_scores(
 def rolling_anomalies(rows: DataFrame, **options) -> DataFrame:
     """Findings only, with the numbers behind them."""
     found = rolling_scores(rows, **options).filter(F.col("type").isNotNull())
-    return found.select(*FINDING, "prev_value", "pct_change", "variance10", "description")
+    variance = F.when(F.col("type") == "FlatLine", F.col("variance10")).alias("variance10")
+    return found.select(*FINDING, "prev_value", "pct_change", variance, "description")

@@ -117,7 +117,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.unionByName(alerts)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_messages(readings: DataFrame) -> DataFrame:
     """A message per reading in five payload shapes; some topics are not subscribed."""
     n, device, kind = F.col("reading_id"), F.col("device_id"), F.col("sensor_type")
     whole = F.floor("value").cast("bigint").cast("string")
@@ -137,11 +137,15 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 10 == 4, F.lit("a:b:c"))
         .otherwise("{broken")
     )
-    return readings(spark, sf_dir).select(
+    return readings.select(
         "reading_id", topic.alias("topic"), payload.alias("payload"), F.col("ts").alias("received_at")
     )
 
 
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_messages(readings(spark, sf_dir))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log line per event: queue depths for views and clicks, process metrics for the others."""
     events = table(spark, sf_dir, "events")
