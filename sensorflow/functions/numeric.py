@@ -41,7 +41,6 @@ def capped(value: Column, limit: float = 1.0) -> Column:
     return F.least(value, F.lit(limit))
 
 
-def round_half_even(value: Column, digits: Column) -> Column:
-    """Round the binary product half to even; numbers too big to have decimals stay as they are."""
-    scale = F.pow(F.lit(10.0), digits)
+def round_half_even(value: Column, scale: Column) -> Column:
+    """Round the product with ``scale`` half to even; numbers too big to have decimals stay as they are."""
     return F.when(F.abs(value) < 1e16, F.rint(value * scale) / scale).otherwise(value)

@@ -23,7 +23,7 @@ def location_text(location: Column) -> Column:
 def describe_rolling(value: Column, kind: Column, low: Column, high: Column, percent: Column) -> Column:
     bounds = F.concat(
         F.lit("Value "), value.cast("string"), F.lit(" is outside normal range ["),
-        F.coalesce(low.cast("string"), F.lit("-")), F.lit(", "), F.coalesce(high.cast("string"), F.lit("-")), F.lit("]"),
+        low.cast("string"), F.lit(", "), high.cast("string"), F.lit("]"),
     )
     change = F.coalesce(F.format_string("%.1f", percent), F.lit("∞"))
     return (

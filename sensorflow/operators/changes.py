@@ -24,21 +24,19 @@ def change_events(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         hot_rows,
     )
     before, later = F.col("_before"), ~F.col("_first")
-    events = F.array_compact(
-        F.array(
-            F.when(F.col("_first"), F.lit("SensorDataCreated")),
-            F.when(later, F.lit("SensorValueUpdated")),
-            F.when(later & ~before["quality"].eqNullSafe(F.col("quality")), F.lit("SensorQualityChanged")),
-            F.when(F.col("location").isNotNull(), F.lit("SensorLocationUpdated")),
-            F.when(later & ~before["status"].eqNullSafe(F.col("status")), F.lit("SensorStatusChanged")),
-        )
+    events = F.array(
+        F.when(F.col("_first"), F.lit("SensorDataCreated")),
+        F.when(later, F.lit("SensorValueUpdated")),
+        F.when(later & ~before["quality"].eqNullSafe(F.col("quality")), F.lit("SensorQualityChanged")),
+        F.when(F.col("location").isNotNull(), F.lit("SensorLocationUpdated")),
+        F.when(later & ~before["status"].eqNullSafe(F.col("status")), F.lit("SensorStatusChanged")),
     )
     kind = F.col("event_type")
 
     def only(event: str, column):
         return F.when(kind == event, column)
 
-    return seen.withColumn("event_type", F.explode(events)).select(
+    return seen.withColumn("event_type", F.explode(events)).filter(kind.isNotNull()).select(
         F.sha2(
             F.concat_ws("|", F.col("reading_id").cast("string"), kind, F.unix_micros("updated_at").cast("string")),
             256,

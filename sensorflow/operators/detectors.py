@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.limits import ROUTES, STATIC_BOUNDS, TIMESERIES_TYPES, by_contained_type, by_exact_type
+from sensorflow.functions.limits import ROUTES, STATIC_BOUNDS, TIMESERIES_TYPES, Bounds, by_contained_type, by_exact_type
 from sensorflow.functions.numeric import above, below, capped, is_number, ratio
 from sensorflow.functions.text import describe_bounds, describe_iqr, describe_trend, describe_zscore
 from sensorflow.operators.joins import attach, settle
@@ -45,8 +45,11 @@ class Detector:
     judge: Callable[[], dict[str, Column]]
     profile: Callable[[DataFrame, datetime], DataFrame] | None = None
     numbers: tuple[str, ...] = field(default=())
+    lookup: Callable[[], dict[str, Column]] = field(default=dict)
 
     def attach_profile(self, rows: DataFrame, history: DataFrame, as_of: datetime) -> DataFrame:
+        """Add the profile columns and the fixed values ``judge`` reads."""
+        rows = rows.withColumns(self.lookup())
         return rows if self.profile is None else attach(rows, self.profile(history, as_of), KEY)
 
     def verdict(self, numbers: tuple[str, ...] = ()) -> Column:
@@ -129,14 +132,16 @@ def zscore_detector(threshold: float = ZSCORE_LIMIT) -> Detector:
     )
 
 
-def has_static_bounds(sensor_type: Column, bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS) -> Column:
+def has_static_bounds(sensor_type: Column, bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> Column:
     return F.lower(sensor_type).isin(*bounds) if bounds else F.lit(False)
 
 
-def _judge_bounds(bounds: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
-    value = F.col("value")
-    low = by_exact_type(F.col(KEY), {k: lo for k, (lo, _) in bounds.items()}).cast("double")
-    high = by_exact_type(F.col(KEY), {k: hi for k, (_, hi) in bounds.items()}).cast("double")
+def _bounds_lookup(bounds: Mapping[str, Bounds]) -> dict[str, Column]:
+    return {"_bounds": by_exact_type(F.lower(KEY), bounds)}
+
+
+def _judge_bounds() -> dict[str, Column]:
+    value, low, high = F.col("value"), F.col("_bounds.low"), F.col("_bounds.high")
     under, over = below(value, low), above(value, high)
     kind = F.when(under, F.lit("SuddenDrop")).when(over, F.lit("SuddenSpike"))
     distance = F.when(under, ratio(low - value, F.abs(low))).otherwise(ratio(value - high, F.abs(high)))
@@ -151,20 +156,21 @@ def _judge_bounds(bounds: Mapping[str, tuple[float, float]]) -> dict[str, Column
     }
 
 
-def bounds_detector(bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS) -> Detector:
+def bounds_detector(bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> Detector:
     """Fixed bounds for known types only."""
     return Detector(
         "bounds",
         "ThresholdAnomalyDetection",
         1.0,
         lambda t: has_static_bounds(t, bounds),
-        lambda: _judge_bounds(bounds),
+        _judge_bounds,
         None,
         ("min", "max", "is_below", "is_above"),
+        lambda: _bounds_lookup(bounds),
     )
 
 
-def iqr_profile(history: DataFrame, as_of: datetime, bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS) -> DataFrame:
+def iqr_profile(history: DataFrame, as_of: datetime, bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> DataFrame:
     since = F.lit(as_of - IQR_LOOKBACK).cast("timestamp")
     open_types = history.filter((F.col("ts") >= since) & ~has_static_bounds(F.col(KEY), bounds))
     return index_quantiles(open_types, KEY, "value", QUARTILES).withColumnRenamed("n", "q_count")
@@ -212,12 +218,12 @@ def iqr_detector() -> Detector:
     )
 
 
-def threshold_detector(bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS) -> Detector:
+def threshold_detector(bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> Detector:
     """Fixed bounds for known types, quartile bounds for the others."""
 
     def judge() -> dict[str, Column]:
-        fixed, dynamic = _judge_bounds(bounds), _judge_iqr()
-        known = has_static_bounds(F.col(KEY), bounds)
+        fixed, dynamic = _judge_bounds(), _judge_iqr()
+        known = F.col("_bounds").isNotNull()
         picked = {c: F.when(known, fixed[c]).otherwise(dynamic[c]) for c in ("type", "severity", "description")}
         method = F.when(known, F.lit("ThresholdAnomalyDetection")).otherwise("ThresholdAnomalyDetection_Dynamic")
         return picked | {"method": method} | {n: F.when(~known, dynamic[n]) for n in IQR_NUMBERS}
@@ -230,6 +236,7 @@ def threshold_detector(bounds: Mapping[str, tuple[float, float]] = STATIC_BOUNDS
         judge,
         lambda history, as_of: iqr_profile(history, as_of, bounds),
         IQR_NUMBERS,
+        lambda: _bounds_lookup(bounds),
     )
 
 
@@ -263,7 +270,7 @@ def trend_detector(sensitivity: float = DEVIATION_LIMIT) -> Detector:
         }
 
     def can_handle(sensor_type: Column) -> Column:
-        return by_contained_type(sensor_type, [(t, True) for t in TIMESERIES_TYPES], False)
+        return by_contained_type(F.lower(sensor_type), [(t, True) for t in TIMESERIES_TYPES], False)
 
     return Detector(
         "timeseries",
@@ -287,7 +294,7 @@ def detector(name: str) -> Detector:
 
 
 def route(sensor_type: Column) -> Column:
-    return by_contained_type(sensor_type, ROUTES, "statistical")
+    return by_contained_type(F.lower(sensor_type), ROUTES, "statistical")
 
 
 def routed_anomalies(scored: DataFrame, history: DataFrame, as_of: datetime) -> DataFrame:

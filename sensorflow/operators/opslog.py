@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LINE = r"^(\S+ \S+ \S+) \[\w+\] (Channel Health Check|System Health Metrics) - (.*)$"
+# The two kinds of metric lines and their time format.
+SOURCES = ("Channel Health Check", "System Health Metrics")
 LINE_TIME = "yyyy-MM-dd HH:mm:ss.SSS XXX"
 
 # Metric -> (raise when above, raise when below, text).
@@ -26,13 +27,17 @@ RESOURCE_LIMITS = {
 def parse_ops_log(lines: DataFrame) -> DataFrame:
     """``value`` text lines -> (ts, source, metric, value); other lines are left out."""
     text = F.col("value")
-    pair = F.split(F.col("pair"), ": ")
+    source = F
+    for name in SOURCES:
+        source = source.when(text.contains(f"] {name} - "), F.lit(name))
+    pair = F.split("pair", ": ")
     return (
-        lines.filter(text.rlike(LINE))
+        lines.withColumn("source", source)
+        .filter(F.col("source").isNotNull())
         .select(
-            F.try_to_timestamp(F.regexp_extract(text, LINE, 1), F.lit(LINE_TIME)).alias("ts"),
-            F.regexp_extract(text, LINE, 2).alias("source"),
-            F.explode(F.split(F.regexp_extract(text, LINE, 3), ", ")).alias("pair"),
+            F.try_to_timestamp(F.substring_index(text, " [", 1), F.lit(LINE_TIME)).alias("ts"),
+            "source",
+            F.explode(F.split(F.split(text, " - ", 2)[1], ", ")).alias("pair"),
         )
         .select("ts", "source", pair[0].alias("metric"), F.get(pair, F.lit(1)).try_cast("double").alias("value"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorflow.functions.limits import ROLLING_DEFAULT, ROLLING_LIMITS, RollingLimit, by_exact_type
-from sensorflow.functions.numeric import above, below, capped, ratio
+from sensorflow.functions.numeric import capped, is_finite, ratio
 from sensorflow.functions.text import describe_rolling
 from sensorflow.operators.series import HOT_ROWS, over_series
 from sensorflow.schemas import FINDING
@@ -17,6 +17,7 @@ SERIES = ("device_id", "sensor_type")
 ORDER = ("ts", "reading_id")
 FLAT_ROWS = 10
 METHOD = "Rolling"
+NOTHING, RANGE, CHANGE, FLAT = range(4)
 
 
 def history_columns(window: WindowSpec, history_size: int = 100) -> dict[str, Column]:
@@ -34,56 +35,58 @@ def with_verdict(
     limits: Mapping[str, RollingLimit] = ROLLING_LIMITS,
     default: RollingLimit = ROLLING_DEFAULT,
 ) -> DataFrame:
-    """Apply the rules in order to rows that carry the history columns; no finding leaves ``type`` null."""
-    kind = F.col("sensor_type")
-    low, high, percent, variance = (
-        by_exact_type(kind, {k: getattr(v, field) for k, v in limits.items()}, getattr(default, field))
-        for field in RollingLimit._fields
-    )
-    low, high = low.cast("double"), high.cast("double")
-    value, prev = F.col("value"), F.col("prev_value")
-    infinite = F.abs(value) == F.lit(float("inf"))
+    """Apply the rules in order to rows that carry the history columns.
 
-    out_of_range = below(value, low) | above(value, high) | (low.isNull() & infinite)
-    distance = F.when(below(value, low), low - value).otherwise(value - high)
-    range_severity = F.when(low.isNull(), F.lit(1.0)).otherwise(capped(ratio(distance, high - low)))
+    ``rule`` is the number of the rule that hit, 0 for none, which leaves ``type`` null.
+    """
+    low, high, percent, variance = (F.col("_limit")[name] for name in RollingLimit._fields)
+    value, prev, change = F.col("value"), F.col("prev_value"), F.col("pct_change")
 
-    change = F.abs(ratio(value - prev, prev) * 100)
+    # A later filter on ``rule`` is evaluated with everything it refers to, so each limit is read once here.
+    out_of_range = ~F.isnan(value) & ((value < low) | (value > high))
     from_zero = (prev == 0) & (value != 0) & ~F.isnan(value)
-    sudden = above(change, percent) | from_zero
-    sudden_severity = F.when(from_zero, F.lit(1.0)).otherwise(capped(change / 100))
-
-    flat = (F.col("earlier") >= FLAT_ROWS) & below(F.col("variance10"), variance)
-    enough = F.col("earlier") >= 2
+    sudden = from_zero | (~F.isnan(change) & (change > percent))
+    flat = (F.col("earlier") >= FLAT_ROWS) & (F.col("variance10") < variance)
     rule = (
-        F.when(~enough, F.lit(0))
-        .when(F.coalesce(out_of_range, F.lit(False)), F.lit(1))
-        .when(F.coalesce(sudden, F.lit(False)), F.lit(2))
-        .when(flat, F.lit(3))
-        .otherwise(0)
+        F.when(F.col("earlier") < 2, F.lit(NOTHING))
+        .when(out_of_range, F.lit(RANGE))
+        .when(sudden, F.lit(CHANGE))
+        .when(flat, F.lit(FLAT))
+        .otherwise(NOTHING)
     )
+    beyond = F.when(value < low, low - value).otherwise(value - high)
+    range_severity = F.when(is_finite(value), capped(beyond / (high - low))).otherwise(1.0)
+    change_severity = F.when(from_zero, F.lit(1.0)).otherwise(capped(change / 100))
     return (
-        rows.withColumns({"pct_change": change, "_rule": rule})
-        .withColumn(
-            "type",
-            F.when(F.col("_rule") == 1, F.lit("OutOfRange"))
-            .when((F.col("_rule") == 2) & (value > prev), F.lit("SuddenSpike"))
-            .when(F.col("_rule") == 2, F.lit("SuddenDrop"))
-            .when(F.col("_rule") == 3, F.lit("FlatLine")),
+        rows.withColumns(
+            {
+                "_limit": by_exact_type(F.lower("sensor_type"), limits, default),
+                "pct_change": F.abs(ratio(value - prev, prev) * 100),
+            }
         )
-        .withColumn(
-            "severity",
-            F.when(F.col("_rule") == 1, range_severity)
-            .when(F.col("_rule") == 2, sudden_severity)
-            .when(F.col("_rule") == 3, F.lit(0.5)),
+        .withColumn("rule", rule)
+        .withColumns(
+            {
+                "type": F.when(F.col("rule") == RANGE, F.lit("OutOfRange"))
+                .when((F.col("rule") == CHANGE) & (value > prev), F.lit("SuddenSpike"))
+                .when(F.col("rule") == CHANGE, F.lit("SuddenDrop"))
+                .when(F.col("rule") == FLAT, F.lit("FlatLine")),
+                "severity": F.when(F.col("rule") == RANGE, range_severity)
+                .when(F.col("rule") == CHANGE, change_severity)
+                .when(F.col("rule") == FLAT, F.lit(0.5)),
+                "is_anomaly": F.col("rule") != NOTHING,
+                "method": F.lit(METHOD),
+            }
         )
-        .withColumn("description", describe_rolling(value, F.col("type"), low, high, F.col("pct_change")))
-        .withColumn("is_anomaly", F.col("type").isNotNull())
-        .withColumn("method", F.lit(METHOD))
-        .drop("_rule")
+        .withColumn("description", describe_rolling(value, F.col("type"), low, high, change))
+        .drop("_limit")
     )
 
 
+def scorable(rows: DataFrame) -> DataFrame:
+    return rows.select("reading_id", "device_id", "sensor_type", "ts", "value").filter(F.col("value").isNotNull())
+
+
 def rolling_scores(
     rows: DataFrame,
     history_size: int = 100,
@@ -92,13 +95,19 @@ def rolling_scores(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every reading with a value, scored; one exchange on (device, sensor type)."""
-    base = rows.select("reading_id", "device_id", "sensor_type", "ts", "value").filter(F.col("value").isNotNull())
-    seen = over_series(base, SERIES, ORDER, FLAT_ROWS, lambda w: history_columns(w, history_size), hot_rows)
+    seen = over_series(
+        scorable(rows), SERIES, ORDER, FLAT_ROWS, lambda w: history_columns(w, history_size), hot_rows
+    )
     return with_verdict(seen, limits, default)
 
 
-def rolling_anomalies(rows: DataFrame, **options) -> DataFrame:
-    """Findings only, with the numbers behind them."""
-    found = rolling_scores(rows, **options).filter(F.col("type").isNotNull())
+def findings(scores: DataFrame) -> DataFrame:
+    """Rows with a finding and the numbers behind it; the variance only where it decided."""
     variance = F.when(F.col("type") == "FlatLine", F.col("variance10")).alias("variance10")
-    return found.select(*FINDING, "prev_value", "pct_change", variance, "description")
+    return scores.filter(F.col("rule") != NOTHING).select(
+        *FINDING, "prev_value", "pct_change", variance, "description"
+    )
+
+
+def rolling_anomalies(rows: DataFrame, **options) -> DataFrame:
+    return findings(rolling_scores(rows, **options))

@@ -80,6 +80,8 @@ def to_envelopes(readings: DataFrame) -> DataFrame:
     )
     return readings.select(
         "reading_id",
+        "device_id",
+        "ts",
         F.concat(F.lit("sensors/"), "device_id", F.lit("/data")).alias("topic"),
         F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("payload"),
     )
@@ -98,6 +100,8 @@ def anomaly_envelopes(anomalies: DataFrame) -> DataFrame:
     )
     return anomalies.select(
         "reading_id",
+        "device_id",
+        "detected_at",
         F.concat(F.lit("alerts/"), "device_id", F.lit("/anomaly")).alias("topic"),
         F.to_json(body).alias("payload"),
     )

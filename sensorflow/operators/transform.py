@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.limits import CLEAN_RULES, DEFAULT_DIGITS, EXPECTED_RANGES, by_contained_type
+from sensorflow.functions.limits import CLEAN_DEFAULT, CLEAN_RULES, EXPECTED_RANGES, by_contained_type
 from sensorflow.functions.numeric import is_finite, is_number, outside, round_half_even
 
 ENRICHMENT = (
@@ -27,29 +27,20 @@ ENRICHMENT = (
 )
 
 
-def cleaned_value(value: Column, sensor_type: Column) -> Column:
-    """Repair, clamp and round one value by its sensor type."""
-    middle = by_contained_type(sensor_type, [(t, (lo + hi) / 2) for t, lo, hi, _ in CLEAN_RULES])
-    low = by_contained_type(sensor_type, [(t, lo) for t, lo, _, _ in CLEAN_RULES])
-    high = by_contained_type(sensor_type, [(t, hi) for t, _, hi, _ in CLEAN_RULES])
-    digits = by_contained_type(sensor_type, [(t, d) for t, _, _, d in CLEAN_RULES], DEFAULT_DIGITS)
+def clean(rows: DataFrame) -> DataFrame:
+    """Repair, clamp and round ``value``; id, time, metadata, quality and status stay."""
+    value, low, high = F.col("value"), F.col("_rule.low"), F.col("_rule.high")
     clamped = (
         F.when(low.isNull(), value)
-        .when(~is_finite(value), middle)
+        .when(~is_finite(value), (low + high) / 2)
         .otherwise(F.greatest(low, F.least(high, value)))
     )
-    return F.when(value.isNotNull(), round_half_even(clamped, digits))
-
-
-def clean(rows: DataFrame) -> DataFrame:
-    """Replace ``value``; id, time, metadata, quality and status stay."""
-    return rows.withColumn("value", cleaned_value(F.col("value"), F.col("sensor_type")))
-
-
-def in_expected_range(value: Column, sensor_type: Column) -> Column:
-    low = by_contained_type(sensor_type, [(t, lo) for t, lo, _ in EXPECTED_RANGES])
-    high = by_contained_type(sensor_type, [(t, hi) for t, _, hi in EXPECTED_RANGES])
-    return F.when(low.isNull(), F.lit(True)).otherwise(is_number(value) & ~outside(value, low, high))
+    return (
+        rows.withColumn("_rule", by_contained_type(F.lower("sensor_type"), CLEAN_RULES, CLEAN_DEFAULT))
+        .withColumn("_clamped", F.when(value.isNotNull(), clamped))
+        .withColumn("value", round_half_even(F.col("_clamped"), F.col("_rule.scale")))
+        .drop("_rule", "_clamped")
+    )
 
 
 def quality_score(value: Column, in_range: Column, age_minutes: Column) -> Column:
@@ -75,14 +66,16 @@ def quality_level(score: Column) -> Column:
 
 def enrich(rows: DataFrame, as_of: datetime) -> DataFrame:
     """Add unit conversions, calendar fields, quality score and freshness as of a given moment."""
-    value, ts = F.col("value"), F.col("ts")
-    kind, unit = F.lower("sensor_type"), F.lower("unit")
-    celsius = kind.contains("temperature") & (unit == "celsius")
-    hectopascal = kind.contains("pressure") & (unit == "hpa")
+    value, ts, kind = F.col("value"), F.col("ts"), F.col("_kind")
+    low, high = F.col("_expected.low"), F.col("_expected.high")
+    celsius = kind.contains("temperature") & (F.lower("unit") == "celsius")
+    hectopascal = kind.contains("pressure") & (F.lower("unit") == "hpa")
     present = value.isNotNull()
     age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(ts)) / F.lit(6e7)
     return (
-        rows.withColumns(
+        rows.withColumn("_kind", F.lower("sensor_type"))
+        .withColumn("_expected", by_contained_type(kind, EXPECTED_RANGES))
+        .withColumns(
             {
                 "temperature_f": F.when(celsius, value * 9 / 5 + 32),
                 "temperature_k": F.when(celsius, value + 273.15),
@@ -91,7 +84,9 @@ def enrich(rows: DataFrame, as_of: datetime) -> DataFrame:
                 "hour_of_day": F.when(present, F.hour(ts)),
                 "day_of_week": F.when(present, F.date_format(ts, "EEEE")),
                 "is_weekend": F.when(present, F.dayofweek(ts).isin(1, 7)),
-                "in_expected_range": F.when(present, in_expected_range(value, F.col("sensor_type"))),
+                "in_expected_range": F.when(
+                    present, F.col("_expected").isNull() | (is_number(value) & ~outside(value, low, high))
+                ),
                 "data_age_minutes": F.when(present, age),
             }
         )
@@ -101,6 +96,7 @@ def enrich(rows: DataFrame, as_of: datetime) -> DataFrame:
         )
         .withColumn("quality_level", F.when(present, quality_level(F.col("quality_score"))))
         .withColumn("is_fresh", F.col("data_age_minutes") < 5)
+        .drop("_kind", "_expected")
     )
 
 
@@ -125,31 +121,34 @@ def processing_step(name: str, as_of: datetime) -> Step:
     return steps.get(name.lower(), steps["datacleaning"])
 
 
-def run_steps(rows: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """Apply the steps by priority and record each one in ``trace``."""
-    done = rows.withColumn(
-        "trace",
-        F.array().cast(
-            "array<struct<step:string,priority:int,value_before:double,value_after:double,metadata_count:int>>"
-        ),
-    )
+def run_steps(rows: DataFrame, steps: Sequence[Step]) -> tuple[DataFrame, list[str]]:
+    """Apply the steps by priority; each leaves a struct column that says what it did."""
+    traces = []
     for step in sorted(steps, key=lambda s: s.priority):
-        done = step.apply(done.withColumns({"_before": F.col("value"), "_runs": step.guard}))
+        trace = f"_step{len(traces)}"
+        rows = step.apply(rows.withColumns({"_before": F.col("value"), "_ran": step.guard}))
         entry = F.struct(
             F.lit(step.name).alias("step"),
             F.lit(step.priority).alias("priority"),
             F.col("_before").alias("value_before"),
             F.col("value").alias("value_after"),
-            _metadata_count(done).alias("metadata_count"),
+            _metadata_count(rows).alias("metadata_count"),
+            F.col("_ran").alias("ran"),
         )
-        trace = F.when(F.col("_runs"), F.concat("trace", F.array(entry))).otherwise(F.col("trace"))
-        done = done.withColumn("trace", trace).drop("_before", "_runs")
-    return done
+        rows = rows.withColumn(trace, entry).drop("_before", "_ran")
+        traces.append(trace)
+    return rows, traces
 
 
 def processing_trace(rows: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """One row per reading and step that ran."""
-    return run_steps(rows, steps).select("reading_id", F.explode("trace").alias("t")).select("reading_id", "t.*")
+    done, traces = run_steps(rows, steps)
+    return (
+        done.select("reading_id", F.explode(F.array(*traces)).alias("t"))
+        .select("reading_id", "t.*")
+        .filter("ran")
+        .drop("ran")
+    )
 
 
 def _metadata_count(rows: DataFrame) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorflow.functions import formats
+from sensorflow.functions import formats, payload
 from sensorflow.operators import (
     anomalies,
     changes,
@@ -27,6 +27,10 @@ from sensorflow.operators import (
     views,
 )
 from sensorflow.plans import fixtures as fx
+from sensorflow.session import fresh_folder
+from sensorflow.streaming import ingest
+from sensorflow.streaming.ingest import once
+from sensorflow.streaming.rolling import rolling_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,31 +58,32 @@ def found_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_envelopes(spark, sf_dir):
-    sent = routing.to_envelopes(fx.readings(spark, sf_dir))
-    body = F.col("payload")
+    """Topic and, read back from the body, what was sent."""
+    sent = routing.to_envelopes(fx.readings(spark, sf_dir)).withColumn("body", payload.parse_json(F.col("payload")))
     return sent.select(
         "reading_id",
         "topic",
-        F.get_json_object(body, "$.DeviceId").alias("device_id"),
-        F.get_json_object(body, "$.SensorType").alias("sensor_type"),
-        F.get_json_object(body, "$.Value.Value").cast("double").alias("value"),
-        F.get_json_object(body, "$.Value.Unit").alias("unit"),
-        F.get_json_object(body, "$.Timestamp").alias("sent_at"),
-        F.get_json_object(body, "$.Location.Latitude").cast("double").alias("latitude"),
-        F.get_json_object(body, "$.Quality").cast("bigint").alias("quality_code"),
-        F.get_json_object(body, "$.Status").cast("bigint").alias("status_code"),
+        F.col("body.DeviceId").alias("device_id"),
+        F.col("body.SensorType").alias("sensor_type"),
+        F.col("body.Value.Value").alias("value"),
+        F.col("body.Value.Unit").alias("unit"),
+        F.col("body.Timestamp").alias("sent_at"),
+        F.col("body.Location.Latitude").alias("latitude"),
+        F.col("body.Quality").cast("bigint").alias("quality_code"),
+        F.col("body.Status").cast("bigint").alias("status_code"),
     )
 
 
 def anomaly_envelopes(spark, sf_dir):
-    body = F.col("payload")
-    return routing.anomaly_envelopes(found_anomalies(spark, sf_dir)).select(
+    sent = routing.anomaly_envelopes(found_anomalies(spark, sf_dir))
+    body = F.from_json("payload", "DeviceId string, SensorType string, Type string, Severity double")
+    return sent.withColumn("body", body).select(
         "reading_id",
         "topic",
-        F.get_json_object(body, "$.DeviceId").alias("device_id"),
-        F.get_json_object(body, "$.SensorType").alias("sensor_type"),
-        F.get_json_object(body, "$.Type").alias("type"),
-        F.get_json_object(body, "$.Severity").cast("double").alias("severity"),
+        F.col("body.DeviceId").alias("device_id"),
+        F.col("body.SensorType").alias("sensor_type"),
+        F.col("body.Type").alias("type"),
+        F.col("body.Severity").alias("severity"),
     )
 
 
@@ -347,6 +352,53 @@ def resource_alerts(spark, sf_dir):
     return opslog.resource_alerts(opslog.parse_ops_log(fx.log_lines(spark, sf_dir))).drop("alert")
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = fx.table(spark, sf_dir, "events").schema
+    return fx.as_readings(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+
+
+def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Run a stream over all it has into a new folder and read the result."""
+    folder = fresh_folder(spark, "stream")
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/rows")
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+def rolling_anomalies_stream(spark, sf_dir):
+    folder = fresh_folder(spark, "rolling")
+
+    def sink(found: DataFrame, batch_id: int) -> None:
+        found.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
+    rolling_query(once(_event_stream(spark, sf_dir)), f"{folder}/checkpoint", sink).awaitTermination()
+    found = spark.read.parquet(f"{folder}/rows")
+    return found.select(*FINDING, "ts", "value", "prev_value", "pct_change", "variance10")
+
+
+def scored_stream(spark, sf_dir):
+    arriving = _event_stream(spark, sf_dir).filter(F.col("ts") >= F.lit(fx.AS_OF).cast("timestamp"))
+    detector = detectors.zscore_detector()
+    found = detector.detect(arriving, fx.history(spark, sf_dir), fx.AS_OF)
+    return _finished(spark, found.select(*FINDING, *detector.numbers))
+
+
+def ingest_stream(spark, sf_dir):
+    received = fx.as_messages(_event_stream(spark, sf_dir))
+    rows = ingest.good_rows(ingest.ingest_stream(received, "reading_id"))
+    return _finished(
+        spark,
+        rows.select(
+            F.col("reading_id").cast("bigint").alias("reading_id"), "device_id", "sensor_type", "value", "unit", "ts"
+        ),
+    )
+
+
 QUERIES: tuple[Query, ...] = (
     rolling_anomalies,
     anomaly_triage,
@@ -398,6 +450,9 @@ QUERIES: tuple[Query, ...] = (
     anomaly_envelopes,
     backlog_alerts,
     resource_alerts,
+    rolling_anomalies_stream,
+    scored_stream,
+    ingest_stream,
 )
 
 

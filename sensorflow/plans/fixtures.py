@@ -105,14 +105,13 @@ def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer follows one device; those of one segment also follow the alerts."""
-    customers = table(spark, sf_dir, "customer")
-    own = customers.select(
+    """Every customer follows one device; the desk of each nation follows the alerts."""
+    own = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("device_dev_"), F.col("c_custkey") % 150).alias("channel"),
-        F.col("c_custkey").alias("subscriber"),
+        F.concat(F.lit("customer_"), F.col("c_custkey")).alias("subscriber"),
     )
-    alerts = customers.filter(F.col("c_mktsegment") == "MACHINERY").select(
-        F.lit("alerts").alias("channel"), F.col("c_custkey").alias("subscriber")
+    alerts = table(spark, sf_dir, "nation").select(
+        F.lit("alerts").alias("channel"), F.concat(F.lit("desk_"), F.col("n_nationkey")).alias("subscriber")
     )
     return own.unionByName(alerts)
 

@@ -39,8 +39,8 @@ SELECT reading_id, device_id, sensor_type, value + 1, unit, ts, latitude, longit
  CASE WHEN status = 'Active' THEN 'Active' ELSE 'Inactive' END, ts + INTERVAL 1 HOUR FROM readings""",
     "tombstones": "SELECT o_orderkey AS reading_id FROM orders WHERE o_orderstatus = 'F'",
     "subscriptions": """
-SELECT concat('device_dev_', c_custkey % 150) AS channel, c_custkey AS subscriber FROM customer
-UNION ALL SELECT 'alerts', c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+SELECT concat('device_dev_', c_custkey % 150) AS channel, concat('customer_', c_custkey) AS subscriber FROM customer
+UNION ALL SELECT 'alerts', concat('desk_', n_nationkey) FROM nation""",
     "messages": """
 SELECT reading_id,
  CASE WHEN reading_id % 40 = 0 THEN concat('other/', device_id, '/data')
@@ -505,7 +505,7 @@ FROM (SELECT * FROM routes UNION ALL SELECT * FROM alert_routes) m JOIN subscrip
         ["readings"],
         f"""
 SELECT reading_id, concat('sensors/', device_id, '/data') AS topic, device_id, sensor_type, {r6("value")} AS value, unit,
- strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS sent_at, {r6("latitude")} AS latitude,
+ ts AS sent_at, {r6("latitude")} AS latitude,
  CAST(CASE quality WHEN 'Good' THEN 1 WHEN 'Warning' THEN 2 WHEN 'Critical' THEN 3 ELSE 4 END AS BIGINT) AS quality_code,
  CAST(CASE status WHEN 'Active' THEN 1 WHEN 'Maintenance' THEN 3 ELSE 4 END AS BIGINT) AS status_code
 FROM readings""",

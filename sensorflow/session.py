@@ -16,6 +16,10 @@ def build_session(app: str = "sensorflow", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)

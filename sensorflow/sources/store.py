@@ -24,14 +24,16 @@ def stored_schema(schema: T.StructType = READINGS, ts: str = "ts") -> T.StructTy
     )
 
 
-def store_rows(rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", spread: int = SPREAD) -> None:
+def store_rows(
+    rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", sort: str = "device_id", spread: int = SPREAD
+) -> None:
     """Add one batch. Each day is spread over a few tasks, so one busy day is not one task."""
     dated = rows.withColumns({"event_date": F.to_date(ts), "batch_id": F.lit(batch_id).cast("bigint")})
     (
-        dated.withColumn("_spread", F.pmod(F.xxhash64("device_id", ts), F.lit(spread)))
+        dated.withColumn("_spread", F.pmod(F.xxhash64(sort, ts), F.lit(spread)))
         .repartition("event_date", "_spread")
         .drop("_spread")
-        .sortWithinPartitions("event_date", "device_id", ts)
+        .sortWithinPartitions("event_date", sort, ts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)

@@ -1,0 +1,74 @@
+"""The rolling detector on a stream.
+
+What a series needs from earlier micro-batches is its last ten rows, its tail. Each micro-batch is scored
+together with the tails by the batch detector, so a series that fills a third of a micro-batch is cut into
+chunks like any other, and no Python runs per row or per key. The new tails go to one of two folders by
+turns: micro-batch n reads the folder of n - 1 and overwrites the other, so a repeated micro-batch starts
+from the same tails and replaces its own first try.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from sensorflow.operators.rolling import (
+    FLAT_ROWS,
+    ORDER,
+    SERIES,
+    findings,
+    history_columns,
+    scorable,
+    with_verdict,
+)
+from sensorflow.operators.series import HOT_ROWS, over_series
+from sensorflow.operators.views import newest_per
+
+
+def score_batch(batch: DataFrame, tails: DataFrame | None, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Findings among the rows of a micro-batch, and the tails after it."""
+    rows = scorable(batch).withColumn("_new", F.lit(True))
+    if tails is not None:
+        rows = rows.unionByName(tails.withColumn("_new", F.lit(False)))
+    seen = over_series(rows, SERIES, ORDER, FLAT_ROWS, history_columns, hot_rows)
+    found = findings(with_verdict(seen.filter("_new").drop("_new")))
+    return found, newest_per(rows.drop("_new"), list(SERIES), FLAT_ROWS)
+
+
+def rolling_query(
+    readings: DataFrame,
+    checkpoints: str,
+    sink: Callable[[DataFrame, int], None],
+    hot_rows: int = HOT_ROWS,
+    **trigger,
+) -> StreamingQuery:
+    """Score a stream of readings; ``sink`` gets the findings of each micro-batch.
+
+    Rows must come from ``ingest.once``: it drops repeats and rows behind the watermark, so neither
+    reaches the rules or the tails.
+    """
+    folder = f"{checkpoints}/tails"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tails = None
+            if batch_id > 0:
+                schema = scorable(batch).schema
+                tails = batch.sparkSession.read.schema(schema).parquet(f"{folder}/{(batch_id - 1) % 2}")
+            found, after = score_batch(batch, tails, hot_rows)
+            sink(found, batch_id)
+            after.write.mode("overwrite").parquet(f"{folder}/{batch_id % 2}")
+        finally:
+            batch.unpersist()
+
+    return (
+        readings.writeStream.option("checkpointLocation", f"{checkpoints}/query")
+        .trigger(**(trigger or {"availableNow": True}))
+        .foreachBatch(step)
+        .start()
+    )
