@@ -10,7 +10,7 @@ from sensorflow.schemas import PAYLOAD
 # The two subscriptions (`+` = exactly one level) and the plain-number text form.
 SUBSCRIPTIONS = ("sensors/+/data", "iot/+/telemetry")
 NUMBER = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:infinity)|(?i:nan))$"
-BLANK_ENDS = r"^\s+|\s+$"
+BLANKS = " \t\r\n\f\x0b"
 
 
 def topic_matches(topic: Column, patterns: tuple[str, ...] = SUBSCRIPTIONS) -> Column:
@@ -33,7 +33,7 @@ def parse_json(payload: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, BLANK_ENDS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def parse_number(text: Column) -> Column:
@@ -50,10 +50,7 @@ def parse_pairs(payload: Column) -> Column:
     first = F.split(parts[0], ":")
     is_pair = F.size(first) == 2
     extra = F.transform(
-        F.filter(
-            F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.split(p, ":")),
-            lambda p: F.size(p) == 2,
-        ),
+        F.filter(F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.split(p, ":")), lambda p: F.size(p) == 2),
         lambda p: F.struct(strip(p[0]).alias("key"), strip(p[1]).alias("value")),
     )
     last_per_key = F.filter(
@@ -64,7 +61,9 @@ def parse_pairs(payload: Column) -> Column:
         F.when(is_pair, strip(first[0])).otherwise("unknown").alias("sensor_type"),
         F.when(is_pair, parse_number(F.get(first, F.lit(1)))).otherwise(0.0).alias("value"),
         F.when(is_pair, F.lit("unit")).otherwise("unknown").alias("unit"),
-        F.when(is_pair, F.map_from_entries(last_per_key)).otherwise(no_metadata()).alias("metadata"),
+        F.when(is_pair & (F.size(parts) > 1), F.map_from_entries(last_per_key))
+        .otherwise(no_metadata())
+        .alias("metadata"),
     )
 
 

@@ -34,14 +34,21 @@ def parse_messages(messages: DataFrame, id_column: str | None = None) -> DataFra
     A JSON body without a device takes the device of the topic and keeps only type, value and unit.
     """
     own_id = message_id() if id_column is None else F.col(id_column).cast("string")
-    read = subscribed(messages).withColumns(
-        {
-            "_json": F.when(is_json(F.col("payload")), parse_json(F.col("payload"))),
-            "_pairs": F.when(~is_json(F.col("payload")), parse_pairs(F.col("payload"))),
-            "_topic_device": topic_device(F.col("topic")),
-        }
+    body = F.col("payload")
+    # The payload is parsed in a generator: filters on the result are not pushed below one, where each
+    # would repeat the parsing for every field it reads.
+    read = subscribed(messages).withColumn(
+        "_read",
+        F.explode(
+            F.array(
+                F.struct(
+                    F.when(is_json(body), parse_json(body)).alias("json"),
+                    F.when(~is_json(body), parse_pairs(body)).alias("pairs"),
+                )
+            )
+        ),
     )
-    doc, pairs = F.col("_json"), F.col("_pairs")
+    doc, pairs = F.col("_read.json"), F.col("_read.pairs")
     whole = doc.isNotNull() & (F.coalesce(doc["DeviceId"], F.lit("")) != "")
 
     def kept(column: Column) -> Column:
@@ -60,7 +67,7 @@ def parse_messages(messages: DataFrame, id_column: str | None = None) -> DataFra
     ).cast(LOCATION)
     return read.select(
         F.coalesce(kept(doc["Id"]), own_id).alias("reading_id"),
-        F.when(whole, doc["DeviceId"]).otherwise(F.col("_topic_device")).alias("device_id"),
+        F.when(whole, doc["DeviceId"]).otherwise(topic_device(F.col("topic"))).alias("device_id"),
         F.coalesce(doc["SensorType"], pairs["sensor_type"]).alias("sensor_type"),
         F.coalesce(doc["Value"]["Value"], pairs["value"]).alias("value"),
         F.coalesce(doc["Value"]["Unit"], pairs["unit"]).alias("unit"),

@@ -30,16 +30,21 @@ def parse_ops_log(lines: DataFrame) -> DataFrame:
     source = F
     for name in SOURCES:
         source = source.when(text.contains(f"] {name} - "), F.lit(name))
-    pair = F.split("pair", ": ")
+    pairs = F.transform(
+        F.split(F.split(text, " - ", 2)[1], ", "),
+        lambda pair: F.struct(
+            F.split_part(pair, F.lit(": "), F.lit(1)).alias("metric"),
+            F.split_part(pair, F.lit(": "), F.lit(2)).try_cast("double").alias("value"),
+        ),
+    )
     return (
         lines.withColumn("source", source)
         .filter(F.col("source").isNotNull())
         .select(
             F.try_to_timestamp(F.substring_index(text, " [", 1), F.lit(LINE_TIME)).alias("ts"),
             "source",
-            F.explode(F.split(F.split(text, " - ", 2)[1], ", ")).alias("pair"),
+            F.inline(pairs),
         )
-        .select("ts", "source", pair[0].alias("metric"), F.get(pair, F.lit(1)).try_cast("double").alias("value"))
     )
 
 

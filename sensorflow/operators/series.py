@@ -46,33 +46,28 @@ def over_series(
     if not ranges:
         return rows.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
 
-    hot = rows.sparkSession.createDataFrame(ranges, _RANGES)
-    cut = (
-        rows.withColumn("_bucket", _bucket(keys))
-        .join(F.broadcast(hot), "_bucket", "left")
-        .withColumn(
-            "_chunk",
-            F.coalesce(F.floor((F.unix_micros(order[0]) - F.col("_from")) / F.col("_width")), F.lit(0)),
-        )
-    )
-    names = list(rows.columns)
+    hot = F.broadcast(rows.sparkSession.createDataFrame(ranges, _RANGES))
+    bucketed = rows.withColumn("_bucket", _bucket(keys))
+    chunk = F.floor((F.unix_micros(order[0]) - F.col("_from")) / F.col("_width"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    scored = cut.withColumns(
-        columns(inside)
-        | {
-            "_head": F.lag(F.lit(1), halo).over(inside).isNull(),
-            "_tail": F.lead(F.lit(1), halo).over(inside).isNull(),
-        }
-    )
-    added = [c for c in scored.columns if c not in cut.columns and c not in ("_head", "_tail")]
-    late_head = F.col("_head") & (F.col("_chunk") > 0)
-    done = scored.filter(~late_head)
-
-    edges = scored.filter(F.col("_from").isNotNull() & (F.col("_head") | F.col("_tail"))).drop(*added)
     across = Window.partitionBy(*keys).orderBy(*order)
-    fixed = edges.withColumns(columns(across)).filter(late_head)
-    wanted = names + [c for c in added if c not in names]
-    return done.select(*wanted).unionByName(fixed.select(*wanted))
+    late_head = F.lag(F.lit(1), halo).over(inside).isNull() & (F.col("_chunk") > 0)
+
+    every = bucketed.join(hot, "_bucket", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(0)))
+    done = every.withColumns(columns(inside) | {"_late_head": late_head}).filter(~F.col("_late_head"))
+
+    # Only rows of hot buckets move a second time, and only the ends of their chunks reach the last window.
+    tail = F.lead(F.lit(1), halo).over(inside).isNull()
+    head = F.lag(F.lit(1), halo).over(inside).isNull()
+    edges = (
+        bucketed.join(hot, "_bucket")
+        .withColumn("_chunk", chunk)
+        .withColumns({"_late_head": late_head, "_edge": head | tail})
+        .filter("_edge")
+    )
+    fixed = edges.withColumns(columns(across)).filter("_late_head")
+    own = ("_bucket", "_from", "_width", "_chunk", "_late_head", "_edge")
+    return done.drop(*own).unionByName(fixed.drop(*own))
 
 
 def _bucket(keys: Sequence[str]) -> Column:
@@ -93,10 +88,14 @@ def _hot_ranges(rows: DataFrame, keys: Sequence[str], ts: str, hot_rows: int) ->
         )
         .withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))
     )
-    limit = F.greatest(F.lit(hot_rows), F.floor(F.col("total") * 4 / BUCKETS))
+    limit = F.greatest(F.lit(max(hot_rows, 1)), F.floor(F.col("total") * 4 / BUCKETS))
     hot = counted.withColumn("most", limit).filter(F.col("n") > F.col("most")).collect()
     return [
-        (r["_bucket"], r["first"], max(1, math.ceil((r["last"] - r["first"] + 1) / (PIECES * math.ceil(r["n"] / r["most"])))))
+        (r["_bucket"], r["first"], _width(r["last"] - r["first"] + 1, PIECES * math.ceil(r["n"] / r["most"])))
         for r in hot
         if r["first"] is not None
     ]
+
+
+def _width(span: int, pieces: int) -> int:
+    return max(1, math.ceil(span / pieces))
