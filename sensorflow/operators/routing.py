@@ -10,6 +10,7 @@ from sensorflow.schemas import QUALITY, STATUS
 
 FIXED_CHANNELS = ("all", "alerts")
 SALTS = 64
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def _targets(pairs: list[tuple[Column, str]]) -> Column:
@@ -83,7 +84,7 @@ def to_envelopes(readings: DataFrame) -> DataFrame:
         "device_id",
         "ts",
         F.concat(F.lit("sensors/"), "device_id", F.lit("/data")).alias("topic"),
-        F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("payload"),
+        F.to_json(body, TIMES).alias("payload"),
     )
 
 
@@ -103,5 +104,5 @@ def anomaly_envelopes(anomalies: DataFrame) -> DataFrame:
         "device_id",
         "detected_at",
         F.concat(F.lit("alerts/"), "device_id", F.lit("/anomaly")).alias("topic"),
-        F.to_json(body).alias("payload"),
+        F.to_json(body, TIMES).alias("payload"),
     )

@@ -8,10 +8,13 @@ from pyspark.sql import types as T
 
 from sensorflow.sources.uris import FilePath, KafkaTopic, parse_uri
 
+# Text formats would cut timestamps to milliseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def as_text(rows: DataFrame) -> DataFrame:
     """One JSON document per row in ``value``."""
-    return rows.select(F.to_json(F.struct("*")).alias("value"))
+    return rows.select(F.to_json(F.struct("*"), TIMES).alias("value"))
 
 
 def flat_columns(rows: DataFrame) -> DataFrame:
@@ -19,14 +22,14 @@ def flat_columns(rows: DataFrame) -> DataFrame:
     nested = (T.StructType, T.MapType, T.ArrayType)
     return rows.select(
         *[
-            F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
+            F.to_json(f.name, TIMES).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
             for f in rows.schema.fields
         ]
     )
 
 
 def as_kafka(rows: DataFrame, key: str = "device_id") -> DataFrame:
-    return rows.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return rows.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*"), TIMES).alias("value"))
 
 
 def envelopes_as_kafka(envelopes: DataFrame) -> DataFrame:
@@ -37,9 +40,9 @@ def envelopes_as_kafka(envelopes: DataFrame) -> DataFrame:
 def write_readings(rows: DataFrame, path: str) -> None:
     fmt = parse_uri(path if "/" in path else f"./{path}").fmt
     if fmt == "json":
-        rows.write.mode("overwrite").json(path)
+        rows.write.mode("overwrite").options(**TIMES).json(path)
     elif fmt == "csv":
-        flat_columns(rows).write.mode("overwrite").option("header", True).csv(path)
+        flat_columns(rows).write.mode("overwrite").options(header=True, **TIMES).csv(path)
     else:
         as_text(rows).write.mode("overwrite").text(path)
 
