@@ -67,9 +67,8 @@ def from_json(text: Column) -> Column:
 
 def to_xml(doc: Column) -> Column:
     """XML on one line with a declaration; an absent document is ``<null />``."""
-    body = F.to_xml(doc, {"rowTag": "SensorData", "timestampFormat": TIMESTAMP_FORMAT})
-    flat = F.regexp_replace(body, r">\s+<", "><")
-    return F.coalesce(F.concat(F.lit(XML_DECLARATION), flat), F.lit("<null />"))
+    body = F.to_xml(doc, {"rowTag": "SensorData", "timestampFormat": TIMESTAMP_FORMAT, "indent": ""})
+    return F.coalesce(F.concat(F.lit(XML_DECLARATION), F.btrim(body, F.lit("\n"))), F.lit("<null />"))
 
 
 def from_xml(text: Column) -> Column:

@@ -73,14 +73,13 @@ def no_metadata() -> Column:
 
 def enum_name(value: Column, codes: dict[str, int], default: str) -> Column:
     """Name of an enumeration value given as name or as code."""
-    result = F
-    for name, code in codes.items():
-        result = result.when(value.isin(name, str(code)), F.lit(name))
-    return result.otherwise(F.lit(default))
+    names = {name: name for name in codes} | {str(code): name for name, code in codes.items()}
+    return F.coalesce(F.try_element_at(_literal_map(names), value), F.lit(default))
 
 
 def enum_code(value: Column, codes: dict[str, int]) -> Column:
-    result = F
-    for name, code in codes.items():
-        result = result.when(value == name, F.lit(code))
-    return result.otherwise(F.lit(0))
+    return F.coalesce(F.try_element_at(_literal_map(codes), value), F.lit(0))
+
+
+def _literal_map(entries: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])

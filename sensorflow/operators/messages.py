@@ -35,21 +35,16 @@ def parse_messages(messages: DataFrame, id_column: str | None = None) -> DataFra
     """
     own_id = message_id() if id_column is None else F.col(id_column).cast("string")
     body = F.col("payload")
-    # The payload is parsed in a generator: filters on the result are not pushed below one, where each
-    # would repeat the parsing for every field it reads.
-    read = subscribed(messages).withColumn(
-        "_read",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.when(is_json(body), parse_json(body)).alias("json"),
-                    F.when(~is_json(body), parse_pairs(body)).alias("pairs"),
-                )
-            )
-        ),
+    parsed = subscribed(messages).withColumns(
+        {"_json": F.when(is_json(body), parse_json(body)), "_pairs": F.when(~is_json(body), parse_pairs(body))}
     )
-    doc, pairs = F.col("_read.json"), F.col("_read.pairs")
-    whole = doc.isNotNull() & (F.coalesce(doc["DeviceId"], F.lit("")) != "")
+    # A filter on the result would be pushed down and parse again for every field it reads; it is not
+    # pushed below a generator.
+    read = parsed.withColumn(
+        "_read", F.explode(F.array(F.struct(F.col("_json").alias("json"), F.col("_pairs").alias("pairs"))))
+    )
+    doc, pairs, whole = F.col("_read.json"), F.col("_read.pairs"), F.col("_whole")
+    read = read.withColumn("_whole", doc.isNotNull() & (F.coalesce(doc["DeviceId"], F.lit("")) != ""))
 
     def kept(column: Column) -> Column:
         return F.when(whole, column)

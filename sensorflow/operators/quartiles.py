@@ -1,9 +1,11 @@
 """Exact order statistics per group, without sorting a whole group in one task.
 
 Values at the zero-based positions floor(f * n) of the sorted group, no interpolation. A mergeable sketch
-first gives a narrow bracket of values around each position. One more pass then counts rows per group and
-value, with all values outside the brackets folded into a few ranges, so that the running count per group
-covers only the bracketed values. A position outside its bracket is searched again over all values.
+first gives a narrow bracket of values around each position; sketches are merged in two levels, so that a
+hot group's sketches do not all meet in one task first. One more pass then counts rows per group and value,
+with all values outside the brackets folded into a few ranges, so that the running count per group covers
+only the bracketed values. A position outside its bracket is searched again over all values, so the answer
+does not depend on the sketch.
 """
 
 from __future__ import annotations
@@ -16,19 +18,15 @@ from pyspark.sql import functions as F
 from sensorflow.functions.numeric import is_number
 from sensorflow.operators.joins import attach, settle
 
-ACCURACY = 10_000
+SKETCH_SIZE = 2048
+MARGIN = 0.006
+PARTS = 256
 
 
-def index_quantiles(
-    rows: DataFrame, key: str, value: str, fractions: dict[str, float], accuracy: int = ACCURACY
-) -> DataFrame:
+def index_quantiles(rows: DataFrame, key: str, value: str, fractions: dict[str, float]) -> DataFrame:
     """One settled row per key: ``n`` and one column per named fraction (ascending fractions)."""
     clean = rows.select(F.col(key), F.col(value).alias("_v")).filter(is_number(F.col("_v")))
-    margin = 2.0 / accuracy
-    edges = [e for f in fractions.values() for e in (max(f - margin, 0.0), min(f + margin, 1.0))]
-    bounds = settle(
-        clean.groupBy(key).agg(F.percentile_approx("_v", edges, accuracy).alias("_edges"))
-    )
+    bounds = settle(brackets(clean, key, fractions))
     picked = settle(_pick(attach(clean, bounds, key, "inner"), key, fractions))
 
     missed = picked.filter(_any_null(fractions))
@@ -39,6 +37,20 @@ def index_quantiles(
     return settle(picked.filter(~_any_null(fractions)).unionByName(again))
 
 
+def brackets(clean: DataFrame, key: str, fractions: dict[str, float]) -> DataFrame:
+    """``_edges`` per key: a value below and a value above each position, most likely."""
+    sketches = (
+        clean.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+        .groupBy(key, "_part")
+        .agg(F.kll_sketch_agg_double("_v", F.lit(SKETCH_SIZE)).alias("_sketch"))
+        .groupBy(key)
+        .agg(F.kll_merge_agg_double("_sketch", F.lit(SKETCH_SIZE)).alias("_sketch"))
+    )
+    edges = [e for f in fractions.values() for e in (max(f - MARGIN, 0.0), min(f + MARGIN, 1.0))]
+    quantiles = [F.kll_sketch_get_quantile_double("_sketch", F.lit(e)) for e in edges]
+    return sketches.select(key, F.array(*quantiles).alias("_edges"))
+
+
 def _pick(rows: DataFrame, key: str, fractions: dict[str, float]) -> DataFrame:
     v, edges = F.col("_v"), F.col("_edges")
     # Ranges in value order: before the 1st bracket, inside it, between 1st and 2nd, inside the 2nd, ...

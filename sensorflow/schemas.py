@@ -27,6 +27,17 @@ READINGS = T.StructType(
     ]
 )
 
+# What the store adds to a reading.
+AUDIT = T.StructType(
+    [
+        T.StructField("processed_at", T.TimestampType()),
+        T.StructField("created_at", T.TimestampType()),
+        T.StructField("updated_at", T.TimestampType()),
+        T.StructField("deleted_at", T.TimestampType()),
+        T.StructField("is_deleted", T.BooleanType()),
+    ]
+)
+
 MESSAGES = T.StructType(
     [
         T.StructField("topic", T.StringType()),

@@ -11,28 +11,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorflow.operators.lookups import live
-from sensorflow.schemas import READINGS
+from sensorflow.schemas import AUDIT, READINGS
 
 PARTITIONS = ("event_date", "batch_id")
 ROWS_PER_FILE = 5_000_000
-SPREAD = 16
 
 
-def stored_schema(schema: T.StructType = READINGS, ts: str = "ts") -> T.StructType:
-    return T.StructType(
-        schema.fields + [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
-    )
+def stored_schema() -> T.StructType:
+    folders = [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return T.StructType(READINGS.fields + AUDIT.fields + folders)
+
+
+def with_audit(rows: DataFrame) -> DataFrame:
+    """Reading columns and audit columns; a row that has none yet counts as created when it was processed."""
+    defaults = {
+        "processed_at": F.current_timestamp(),
+        "created_at": F.col("processed_at"),
+        "updated_at": F.lit(None),
+        "deleted_at": F.lit(None),
+        "is_deleted": F.lit(False),
+    }
+    for field in AUDIT.fields:
+        if field.name not in rows.columns:
+            rows = rows.withColumn(field.name, defaults[field.name].cast(field.dataType))
+    return rows.select(*READINGS.fieldNames(), *AUDIT.fieldNames())
 
 
-def store_rows(
-    rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", sort: str = "device_id", spread: int = SPREAD
-) -> None:
-    """Add one batch. Each day is spread over a few tasks, so one busy day is not one task."""
+def store_rows(rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", sort: str = "device_id") -> None:
+    """Add one batch. Rebalancing splits a busy day over as many tasks as its size asks for."""
     dated = rows.withColumns({"event_date": F.to_date(ts), "batch_id": F.lit(batch_id).cast("bigint")})
     (
-        dated.withColumn("_spread", F.pmod(F.xxhash64(sort, ts), F.lit(spread)))
-        .repartition("event_date", "_spread")
-        .drop("_spread")
+        dated.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", sort, ts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -43,7 +52,7 @@ def store_rows(
 
 
 def store_readings(rows: DataFrame, path: str, batch_id: int = 0) -> None:
-    store_rows(rows.select(*READINGS.fieldNames()), path, batch_id)
+    store_rows(with_audit(rows), path, batch_id)
 
 
 def open_readings(spark: SparkSession, path: str) -> DataFrame:

@@ -136,7 +136,7 @@ def test_average_equals_the_fold(spark):
     assert got.ema == pytest.approx(fold, rel=1e-12)
 
 
-def test_quantiles_by_brute_force(spark):
+def test_quantiles_by_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     groups = {
         "wide": [rng.uniform(-1e6, 1e6) for _ in range(3000)],
@@ -149,22 +149,23 @@ def test_quantiles_by_brute_force(spark):
     rng.shuffle(items)
     rows = readings(spark, items)
     wanted = {"q1": 0.25, "mid": 0.5, "q3": 0.75}
-    # A coarse sketch makes the brackets wide or wrong; the answer must not change.
-    for accuracy in (10_000, 20):
-        got = quartiles.index_quantiles(rows, "sensor_type", "value", wanted, accuracy).collect()
+    # A coarse sketch and a thin margin make brackets wrong; the answer must not change.
+    for size, margin in ((2048, 0.006), (8, 0.0)):
+        monkeypatch.setattr(quartiles, "SKETCH_SIZE", size)
+        monkeypatch.setattr(quartiles, "MARGIN", margin)
+        got = quartiles.index_quantiles(rows, "sensor_type", "value", wanted).collect()
+        assert len(got) == len(groups)
         for r in got:
             ordered = sorted(groups[r.sensor_type])
             assert r.n == len(ordered)
             for name, f in wanted.items():
-                assert r[name] == ordered[int(f * len(ordered))], (r.sensor_type, name, accuracy)
+                assert r[name] == ordered[int(f * len(ordered))], (r.sensor_type, name, size)
 
 
 def test_missed_brackets_are_searched_again(spark, monkeypatch):
     rows = readings(spark, [{"sensor_type": "x", "value": float(v)} for v in range(100)])
-    real = quartiles.F.percentile_approx
-    monkeypatch.setattr(
-        quartiles.F, "percentile_approx", lambda column, edges, accuracy: real(column, [0.9] * len(edges), accuracy)
-    )
+    wrong = F.array(*[F.lit(90.0)] * 4).alias("_edges")
+    monkeypatch.setattr(quartiles, "brackets", lambda clean, key, _: clean.select(key, wrong).distinct())
     got = quartiles.index_quantiles(rows, "sensor_type", "value", {"q1": 0.25, "q3": 0.75}).first()
     assert (got.n, got.q1, got.q3) == (100, 25.0, 75.0)
 

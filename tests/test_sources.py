@@ -96,6 +96,7 @@ def test_store_batches_replace_themselves(spark, tmp_path):
     stored = store.open_readings(spark, path)
     assert stored.count() == 8
     assert stored.filter("batch_id = 0").select(*READINGS.fieldNames()).count() == 6
+    assert stored.filter("is_deleted OR created_at IS NULL OR processed_at IS NULL").isEmpty()
 
 
 def test_store_prunes_days(spark, tmp_path):
