@@ -13,9 +13,12 @@ from sensorflow.functions.numeric import outside
 
 
 class Rule(NamedTuple):
+    """A named condition; a warning is reported but does not reject the row."""
+
     name: str
     priority: int
     broken: Column
+    warning: bool = False
 
 
 def default_rules() -> list[Rule]:
@@ -31,16 +34,20 @@ def default_rules() -> list[Rule]:
 
 
 def with_errors(rows: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add ``errors``: names of the broken rules in priority order."""
+    """Add ``errors`` and ``warnings``: names of the broken rules in priority order."""
     ordered = sorted(default_rules() if rules is None else rules, key=lambda r: r.priority)
-    found = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in ordered]))
-    return rows.withColumn("errors", found)
+
+    def broken(warning: bool) -> Column:
+        hits = [F.when(r.broken, F.lit(r.name)) for r in ordered if r.warning == warning]
+        return F.array_compact(F.array(*hits)).cast("array<string>")
+
+    return rows.withColumns({"errors": broken(False), "warnings": broken(True)})
 
 
 def valid(checked: DataFrame, processed_at: datetime | None = None) -> DataFrame:
     """Rows without errors, stamped."""
     stamp = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
-    return checked.filter(F.size("errors") == 0).drop("errors").withColumn("processed_at", stamp)
+    return checked.filter(F.size("errors") == 0).drop("errors", "warnings").withColumn("processed_at", stamp)
 
 
 def dead(checked: DataFrame) -> DataFrame:

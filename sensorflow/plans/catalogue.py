@@ -353,8 +353,7 @@ def resource_alerts(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = fx.table(spark, sf_dir, "events").schema
-    return fx.as_readings(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    return fx.as_readings(spark.readStream.schema(fx.EVENTS).parquet(f"{sf_dir}/events*.parquet"))
 
 
 def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:

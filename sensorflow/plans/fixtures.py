@@ -32,8 +32,13 @@ FROM {events}
 """
 
 
+# Times are instants, so that time filters reach the scan; the file stores them without a zone.
+EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(EVENTS) if name == "events" else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_readings(events: DataFrame) -> DataFrame:
@@ -45,7 +50,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         "sensor_type",
         "value",
         "unit",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.struct("latitude", "longitude", F.lit(None).cast("double").alias("altitude")).alias("location"),
         F.create_map().cast("map<string,string>").alias("metadata"),
         "quality",
@@ -162,7 +167,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return events.select(
         F.concat(
-            F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"),
             F.lit(" +00:00 [INF] "),
             F.when(F.col("event_type").isin("view", "click"), queues).otherwise(process),
         ).alias("value")

@@ -13,14 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorflow.operators import anomalies, routing
 from sensorflow.sources.store import store_readings, store_rows
-from sensorflow.streaming.ingest import dead_letters, good_rows, ingest_stream, once
+from sensorflow.streaming.ingest import dead_letters, good_rows, ingest_stream, newest_copies, once
 from sensorflow.streaming.rolling import rolling_query
 
 
 def store_batch(checked: DataFrame, batch_id: int, root: str) -> None:
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        readings = good_rows(checked).dropDuplicates(["reading_id"])
+        readings = good_rows(newest_copies(checked))
         store_readings(readings, f"{root}/readings", batch_id)
         store_rows(dead_letters(checked), f"{root}/dead_letters", batch_id, "received_at", "topic")
         store_rows(routing.to_envelopes(readings), f"{root}/envelopes", batch_id)

@@ -159,3 +159,20 @@ def test_log_alerts(spark, tmp_path):
         ("AvailableMemoryMB", 400.0, 500.0),
         ("ThreadCount", 101.0, 100.0),
     }
+
+
+def test_texts(spark):
+    from sensorflow.functions import text
+    from sensorflow.operators import rolling
+
+    row = spark.createDataFrame([(1.5, "V", (1.0, 2.0, None), (1.0, 2.0, 3.0))], "v double, u string, a struct<latitude:double,longitude:double,altitude:double>, b struct<latitude:double,longitude:double,altitude:double>")
+    got = row.select(
+        text.value_text(F.col("v"), F.col("u")), text.location_text(F.col("a")), text.location_text(F.col("b"))
+    ).first()
+    assert tuple(got) == ("1.5 V", "1.0, 2.0", "1.0, 2.0 (3.0m)")
+    values = [{"value": v} for v in (20.0, 20.0, 90.0, 40.0, 50.0)]
+    found = rolling.rolling_anomalies(readings(spark, values)).orderBy("ts").collect()
+    assert [r.description for r in found] == [
+        "Value 90.0 is outside normal range [-40.0, 85.0]",
+        "Sudden drop detected: 55.6% change",
+    ]

@@ -63,4 +63,5 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in text
     assert "ReadSchema: struct<reading_id:string,device_id:string,value:double,ts:timestamp>" in text
     history = plan(fixtures.history(spark, sf_dir).groupBy("sensor_type").count())
-    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in history
+    assert "ReadSchema: struct<ts:timestamp,event_type:string>" in history
+    assert "LessThan(ts,2024-01-24" in history

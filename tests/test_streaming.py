@@ -111,11 +111,21 @@ def test_repeats_and_late_rows_are_not_scored(spark, tmp_path):
     assert found == [(start + timedelta(minutes=42), "OutOfRange")]
 
 
+def test_copies_of_an_id_are_stored_once(spark, tmp_path):
+    at = datetime(2024, 1, 1)
+    body = '{"Id":"same","DeviceId":"d1","SensorType":"ph","Value":{"Value":%d,"Unit":"pH"}}'
+    rows = [("sensors/d1/data", body % i, at + timedelta(seconds=i)) for i in range(50)]
+    rows += [("sensors/d1/data", "{broken", at)] * 3
+    checked = ingest_stream(spark.createDataFrame(rows, MESSAGES))
+    continuous.store_batch(checked, 0, str(tmp_path))
+    assert [r.value for r in spark.read.parquet(f"{tmp_path}/readings").collect()] == [49.0]
+    assert spark.read.parquet(f"{tmp_path}/dead_letters").count() == 3
+
+
 def test_rate_of_closed_windows_equals_batch(spark, sf_dir, tmp_path):
     from sensorflow.operators.rates import sliding_rate
 
-    schema = fixtures.table(spark, sf_dir, "events").schema
-    arriving = fixtures.as_readings(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    arriving = fixtures.as_readings(spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events*.parquet"))
     query = (
         rates.reading_rate_stream(arriving)
         .writeStream.format("parquet")

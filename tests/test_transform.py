@@ -127,6 +127,13 @@ def test_own_rule(spark):
     assert [r.errors for r in validate.dead(checked).collect()] == [["value must be positive"]]
 
 
+def test_warnings_do_not_reject(spark):
+    rules = [validate.Rule("value is high", 1, F.col("value") > 10, warning=True)]
+    checked = validate.with_errors(readings(spark, [{"value": 50.0}]), rules)
+    assert checked.first().warnings == ["value is high"]
+    assert validate.valid(checked).count() == 1
+
+
 def test_nothing_is_lost(spark, sf_dir):
     rows = fixtures.dirty_readings(spark, sf_dir)
     checked = validate.with_errors(rows)
