@@ -77,23 +77,24 @@ def _bucket(keys: Sequence[str]) -> Column:
 def _hot_ranges(rows: DataFrame, keys: Sequence[str], ts: str, hot_rows: int) -> list[tuple[int, int, int]]:
     """(bucket, first microsecond, chunk width) of each bucket above the limit.
 
-    The limit is at least four times the mean bucket, so at most BUCKETS / 4 rows come back.
+    At most BUCKETS rows come back. The limit is at least four times the mean of those, so at most a
+    quarter of the buckets counts as hot.
     """
     counted = (
-        rows.groupBy(_bucket(keys).alias("_bucket"))
+        rows.groupBy(_bucket(keys).alias("bucket"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.unix_micros(ts)).alias("first"),
             F.max(F.unix_micros(ts)).alias("last"),
         )
-        .withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))
+        .filter((F.col("n") > max(hot_rows, 1)) & F.col("first").isNotNull())
+        .collect()
     )
-    limit = F.greatest(F.lit(max(hot_rows, 1)), F.floor(F.col("total") * 4 / BUCKETS))
-    hot = counted.withColumn("most", limit).filter(F.col("n") > F.col("most")).collect()
+    limit = max(hot_rows, 1, 4 * sum(r.n for r in counted) // BUCKETS)
     return [
-        (r["_bucket"], r["first"], _width(r["last"] - r["first"] + 1, PIECES * math.ceil(r["n"] / r["most"])))
-        for r in hot
-        if r["first"] is not None
+        (r.bucket, r.first, _width(r.last - r.first + 1, PIECES * math.ceil(r.n / limit)))
+        for r in counted
+        if r.n > limit
     ]
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.numeric import is_number
 
-SLOTS = 1440
+SLOTS = 86_400
 ALPHA = 0.3
 TREND_POINTS = 10
 
