@@ -18,7 +18,7 @@ def change_events(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     seen = over_series(
         versions.select("reading_id", "device_id", "updated_at", *carried, "location"),
         ["reading_id"],
-        ["updated_at"],
+        ["updated_at", *carried],
         1,
         lambda w: {"_before": F.lag(F.struct(*carried)).over(w), "_first": F.lag(F.lit(1)).over(w).isNull()},
         hot_rows,

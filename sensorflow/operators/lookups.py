@@ -80,8 +80,12 @@ def page(
 
 
 def current(versions: DataFrame) -> DataFrame:
-    """Newest version of each reading; a per-task limit below the exchange drops older ones early."""
-    newest = Window.partitionBy("reading_id").orderBy(F.desc("updated_at"))
+    """Newest version of each reading; a per-task limit below the exchange drops older ones early.
+
+    The plain columns break ties, so that a repeated task picks the same version.
+    """
+    plain = [n for n, t in versions.dtypes if not t.startswith(("map", "struct", "array"))]
+    newest = Window.partitionBy("reading_id").orderBy(F.desc("updated_at"), *plain)
     return versions.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
