@@ -137,7 +137,9 @@ def hits(texts: pa.Array, items: Items, cover: float) -> list[tuple]:
         text, item, place, at = text[good], item[good], place[good], at[good]
         order = np.lexsort((item, text))
         text, item, place, at = text[order], item[order], place[order], at[order]
-        cut = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))) if len(text) else []
+        if not len(text):
+            continue
+        cut = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
         for b, e in zip(cut, np.append(cut[1:], len(text)), strict=True):
             marked = tiles(place[b:e], at[b:e], seeds.length)
             covered = sum(n for _, _, n in marked)
