@@ -38,6 +38,8 @@ BLOCKS = "key_1 bigint, key_2 bigint, first int, last int, anchor bigint, block_
 
 def latest_least(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the least value among ``width`` in a row from each place on; the later one if equal."""
+    if len(values) < width:
+        return np.zeros(0, np.int64)
     places = np.arange(len(values))
 
     def better(a: np.ndarray, b: np.ndarray) -> np.ndarray:

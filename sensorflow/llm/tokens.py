@@ -29,7 +29,7 @@ from sensorflow.session import fresh_folder
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Entries of the cache of encoded pieces; it is emptied when full.
-CACHE = 700_000
+CACHE = 1_500_000
 SHARDS = "shard int, path string, documents bigint, ids bigint"
 
 #: Unicode's white space, as the tokenizer's pattern sees it.
@@ -158,7 +158,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
     """Writes the files and returns one row per file: path, documents, ids, and ``start``, the ids in all files before it."""
     order = [F.asc_nulls_first("doc_id"), F.asc("place"), F.asc_nulls_first("text")]
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("place"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    # the bounds come from a sample of the keys, which must not hold whole texts
+    rows = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
     write = partial(_write_shard, folder=folder, encode_with=partial(_byte_bpe, tokenizer))
     shards = stored(in_arrow(rows, write, SHARDS), "token-shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
