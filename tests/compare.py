@@ -13,7 +13,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
 
 

@@ -4,9 +4,10 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_points
+from sensorflow.plans import catalogue, oracle
 
-QUERIES = entry_points.queries()
-TWINS = entry_points.oracle_sql()
+QUERIES = catalogue.queries()
+TWINS = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +26,10 @@ def test_each_query_has_a_twin():
     assert set(QUERIES) == set(TWINS)
 
 
+def test_entry_points_hold_them_all():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(TWINS) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() == 361
