@@ -134,7 +134,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extracted(pages: DataFrame) -> DataFrame:
     """Each row as ``whole`` (without its html) and its main ``text``."""
     rows = packed(pages, "url", "html").select(F.col("whole").dropFields("html").alias("whole"), host_of(F.col("url")).alias("host"), "html")
-    rows_and_nodes = rows.join(templates(rows.select("host", "html")), "host", "left").select("whole", "html", "template")
+    nodes = stored(templates(rows.select("host", "html")), "wrapper-templates")  # a table of known size: sent out if small
+    rows_and_nodes = rows.join(nodes, "host", "left").select("whole", "html", "template")
     schema = T.StructType([rows_and_nodes.schema["whole"]]).add("text", "string")
     return in_arrow(rows_and_nodes, _extract, schema)
 
