@@ -22,47 +22,47 @@ def location_text(location: Column) -> Column:
 
 def describe_rolling(value: Column, kind: Column, low: Column, high: Column, percent: Column) -> Column:
     bounds = F.concat(
-        F.lit("Value "), value.cast("string"), F.lit(" is outside normal range ["),
+        F.lit("reading "), value.cast("string"), F.lit(" lies outside ["),
         low.cast("string"), F.lit(", "), high.cast("string"), F.lit("]"),
     )
     change = F.coalesce(F.format_string("%.1f", percent), F.lit("∞"))
     return (
         F.when(kind == "OutOfRange", bounds)
-        .when(kind == "SuddenSpike", F.concat(F.lit("Sudden spike detected: "), change, F.lit("% change")))
-        .when(kind == "SuddenDrop", F.concat(F.lit("Sudden drop detected: "), change, F.lit("% change")))
-        .when(kind == "FlatLine", F.lit("Sensor appears to be stuck (no variation detected)"))
+        .when(kind == "SuddenSpike", F.concat(F.lit("jump up by "), change, F.lit("% of the previous value")))
+        .when(kind == "SuddenDrop", F.concat(F.lit("fall by "), change, F.lit("% of the previous value")))
+        .when(kind == "FlatLine", F.lit("no change over the last readings"))
     )
 
 
 def describe_zscore(kind: Column, z: Column, threshold: float) -> Column:
     return (
-        F.when(kind == "NetworkTimeout", F.lit("Insufficient historical data for statistical analysis"))
-        .when(kind == "FlatLine", F.lit("No variance in historical data - flat line detected"))
+        F.when(kind == "NetworkTimeout", F.lit("too few earlier readings for a z-score"))
+        .when(kind == "FlatLine", F.lit("earlier readings are all equal"))
         .otherwise(
-            F.format_string("Statistical anomaly detected: Z-Score %.2f exceeds threshold %.2f", z, F.lit(threshold))
+            F.format_string("z-score %.2f, limit %.2f", z, F.lit(threshold))
         )
     )
 
 
 def describe_bounds(value: Column, low: Column, high: Column) -> Column:
     side = F.when(value < low, F.lit("below")).otherwise("above")
-    return F.format_string("Value %.2f is %s threshold range [%.2f, %.2f]", value, side, low, high)
+    return F.format_string("%.2f is %s the bounds [%.2f, %.2f]", value, side, low, high)
 
 
 def describe_iqr(kind: Column, value: Column, low: Column, high: Column, found: Column) -> Column:
     return (
-        F.when(kind == "NetworkTimeout", F.lit("Insufficient historical data for dynamic threshold calculation"))
-        .when(found, F.format_string("Dynamic threshold analysis: Value %.2f, Range [%.2f, %.2f]", value, low, high))
-        .otherwise(F.format_string("Value %.2f is within dynamic range [%.2f, %.2f]", value, low, high))
+        F.when(kind == "NetworkTimeout", F.lit("too few earlier readings for quartile bounds"))
+        .when(found, F.format_string("%.2f outside the quartile bounds [%.2f, %.2f]", value, low, high))
+        .otherwise(F.format_string("%.2f inside the quartile bounds [%.2f, %.2f]", value, low, high))
     )
 
 
 def describe_trend(kind: Column, ema: Column, expected: Column, value: Column, deviation: Column) -> Column:
     return F.when(
-        kind == "NetworkTimeout", F.lit("Insufficient recent data for time series analysis")
+        kind == "NetworkTimeout", F.lit("too few recent readings for a trend")
     ).otherwise(
         F.format_string(
-            "Time series anomaly detected: EMA=%.2f, Expected=%.2f, Actual=%.2f, Deviation=%.2f%%",
+            "average %.2f, expected %.2f, got %.2f, off by %.2f%%",
             ema, expected, value, deviation * 100,
         )
     )

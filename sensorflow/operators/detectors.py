@@ -17,6 +17,7 @@ from sensorflow.functions.limits import ROUTES, STATIC_BOUNDS, TIMESERIES_TYPES,
 from sensorflow.functions.numeric import above, below, capped, is_number, ratio
 from sensorflow.functions.text import describe_bounds, describe_iqr, describe_trend, describe_zscore
 from sensorflow.operators.joins import attach, settle
+from sensorflow.operators.lookups import in_range
 from sensorflow.operators.quartiles import index_quantiles
 from sensorflow.operators.trend import linear_trend, moving_average
 from sensorflow.schemas import FINDING
@@ -171,8 +172,7 @@ def bounds_detector(bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> Detector:
 
 
 def iqr_profile(history: DataFrame, as_of: datetime, bounds: Mapping[str, Bounds] = STATIC_BOUNDS) -> DataFrame:
-    since = F.lit(as_of - IQR_LOOKBACK).cast("timestamp")
-    open_types = history.filter((F.col("ts") >= since) & ~has_static_bounds(F.col(KEY), bounds))
+    open_types = in_range(history, as_of - IQR_LOOKBACK, None).filter(~has_static_bounds(F.col(KEY), bounds))
     return index_quantiles(open_types, KEY, "value", QUARTILES).withColumnRenamed("n", "q_count")
 
 

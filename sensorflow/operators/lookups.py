@@ -13,11 +13,17 @@ def by_id(readings: DataFrame, reading_id) -> DataFrame:
 
 
 def in_range(rows: DataFrame, start: datetime | None, end: datetime | None, ts: str = "ts") -> DataFrame:
-    """Both ends inclusive, either may be open."""
+    """Both ends inclusive, either may be open. Stored rows are also bounded by their day,
+    with a day to spare for other time zones, which prunes folders."""
+    by_day = ts == "ts" and "event_date" in rows.columns
     if start is not None:
-        rows = rows.filter(F.col(ts) >= F.lit(start).cast("timestamp"))
+        first = F.lit(start).cast("timestamp")
+        rows = rows.filter(F.col(ts) >= first)
+        rows = rows.filter(F.col("event_date") >= F.date_sub(first, 1)) if by_day else rows
     if end is not None:
-        rows = rows.filter(F.col(ts) <= F.lit(end).cast("timestamp"))
+        last = F.lit(end).cast("timestamp")
+        rows = rows.filter(F.col(ts) <= last)
+        rows = rows.filter(F.col("event_date") <= F.date_add(last, 1)) if by_day else rows
     return rows
 
 

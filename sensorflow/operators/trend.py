@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.functions.numeric import is_number
+from sensorflow.operators.lookups import in_range
 
 SLOTS = 86_400
 ALPHA = 0.3
@@ -21,8 +22,7 @@ TREND_POINTS = 10
 
 def recent(rows: DataFrame, as_of: datetime, lookback: timedelta) -> DataFrame:
     """Rows not older than ``lookback`` that hold a number."""
-    since = F.lit(as_of - lookback).cast("timestamp")
-    return rows.filter((F.col("ts") >= since) & is_number(F.col("value")))
+    return in_range(rows, as_of - lookback, None).filter(is_number(F.col("value")))
 
 
 def moving_average(rows: DataFrame, key: str, as_of: datetime, lookback: timedelta) -> DataFrame:

@@ -62,7 +62,7 @@ def activity_log(readings: DataFrame, anomalies: DataFrame) -> DataFrame:
         "reading_id",
         "device_id",
         F.concat(
-            F.lit("Received data from "), "device_id", F.lit(": "), "sensor_type", F.lit(" = "),
+            "device_id", F.lit(" sent "), "sensor_type", F.lit(" "),
             F.col("value").cast("string"), "unit",
         ).alias("message"),
     )
@@ -71,7 +71,7 @@ def activity_log(readings: DataFrame, anomalies: DataFrame) -> DataFrame:
         F.lit("warning").alias("level"),
         "reading_id",
         "device_id",
-        F.concat(F.lit("ANOMALY: "), "description", F.lit(" (Device: "), "device_id", F.lit(")")).alias("message"),
+        F.concat("device_id", F.lit(" finding: "), "description").alias("message"),
     )
     return received.unionByName(warned)
 

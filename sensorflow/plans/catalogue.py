@@ -46,7 +46,8 @@ def comparable(rows: DataFrame) -> DataFrame:
     for f in rows.schema.fields:
         column = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
-            column = (F.floor(column * 1e6 + 0.5) / F.lit(1e6)).alias(f.name)
+            rounded = F.floor(column * 1e6 + 0.5) / F.lit(1e6)
+            column = F.when(F.abs(column) < 9e12, rounded).otherwise(column).alias(f.name)  # NaN and infinity stay
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint").alias(f.name)
         columns.append(column)

@@ -173,6 +173,6 @@ def test_texts(spark):
     values = [{"value": v} for v in (20.0, 20.0, 90.0, 40.0, 50.0)]
     found = rolling.rolling_anomalies(readings(spark, values)).orderBy("ts").collect()
     assert [r.description for r in found] == [
-        "Value 90.0 is outside normal range [-40.0, 85.0]",
-        "Sudden drop detected: 55.6% change",
+        "reading 90.0 lies outside [-40.0, 85.0]",
+        "fall by 55.6% of the previous value",
     ]
