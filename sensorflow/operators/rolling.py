@@ -101,12 +101,15 @@ def rolling_scores(
     return with_verdict(seen, limits, default)
 
 
-def findings(scores: DataFrame) -> DataFrame:
-    """Rows with a finding and the numbers behind it; the variance only where it decided."""
+def reports(scores: DataFrame) -> DataFrame:
+    """Verdicts and the numbers behind them; the variance only where it decided."""
     variance = F.when(F.col("type") == "FlatLine", F.col("variance10")).alias("variance10")
-    return scores.filter(F.col("rule") != NOTHING).select(
-        *FINDING, "prev_value", "pct_change", variance, "description"
-    )
+    return scores.select(*FINDING, "prev_value", "pct_change", variance, "description")
+
+
+def findings(scores: DataFrame) -> DataFrame:
+    """Rows with a finding."""
+    return reports(scores.filter(F.col("rule") != NOTHING))
 
 
 def rolling_anomalies(rows: DataFrame, **options) -> DataFrame:

@@ -3,30 +3,27 @@
 A window over (device, sensor type) sorts each series in one task. That is right for many small series
 and wrong for one that holds a large part of all rows. ``over_series`` first counts rows per hash bucket
 of the series key (at most ``BUCKETS`` small groups, combined map-side). Only series in buckets above the
-row limit are cut into time chunks. Inside a chunk the window is exact except for the first ``halo`` rows;
-those are recomputed from the first and last ``halo`` rows of all chunks of the series, which are few.
+row limit are cut into chunks, at times taken from quantile sketches, so uneven times and stray clocks do
+not matter: a chunk above the limit is cut again, until only rows of one single time are left in it. Inside
+a chunk the window is exact except for the first ``halo`` rows; those are recomputed from the first and
+last ``halo`` rows of all chunks of the series, which are few.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKETS = 1 << 16
 HOT_ROWS = 2_000_000
-PIECES = 4
+#: Parts that a chunk is cut into at once; each cut may add one more for a time that many rows share.
+PARTS = 32
 
-_RANGES = T.StructType(
-    [
-        T.StructField("_bucket", T.LongType()),
-        T.StructField("_from", T.LongType()),
-        T.StructField("_width", T.LongType()),
-    ]
-)
+#: (bucket, chunk, times in microseconds that the chunk is cut before)
+Cuts = tuple[int, int, list[int]]
+_CUTS = "_bucket bigint, _chunk bigint, _cuts array<bigint>"
 
 
 def over_series(
@@ -42,31 +39,28 @@ def over_series(
     ``order[0]`` is a timestamp column. The expressions may reach at most ``halo`` rows back and none
     forward.
     """
-    ranges = _hot_ranges(rows, keys, order[0], hot_rows)
-    if not ranges:
+    levels = hot_cuts(rows, keys, order[0], hot_rows)
+    if not levels:
         return rows.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
 
-    hot = F.broadcast(rows.sparkSession.createDataFrame(ranges, _RANGES))
     bucketed = rows.withColumn("_bucket", _bucket(keys))
-    chunk = F.floor((F.unix_micros(order[0]) - F.col("_from")) / F.col("_width"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(*order)
     late_head = F.lag(F.lit(1), halo).over(inside).isNull() & (F.col("_chunk") > 0)
 
-    every = bucketed.join(hot, "_bucket", "left").withColumn("_chunk", F.coalesce(chunk, F.lit(0)))
+    every = chunked(bucketed, levels, order[0])
     done = every.withColumns(columns(inside) | {"_late_head": late_head}).filter(~F.col("_late_head"))
 
     # Only rows of hot buckets move a second time, and only the ends of their chunks reach the last window.
     tail = F.lead(F.lit(1), halo).over(inside).isNull()
     head = F.lag(F.lit(1), halo).over(inside).isNull()
     edges = (
-        bucketed.join(hot, "_bucket")
-        .withColumn("_chunk", chunk)
+        chunked(_of_hot(bucketed, levels), levels, order[0])
         .withColumns({"_late_head": late_head, "_edge": head | tail})
         .filter("_edge")
     )
     fixed = edges.withColumns(columns(across)).filter("_late_head")
-    own = ("_bucket", "_from", "_width", "_chunk", "_late_head", "_edge")
+    own = ("_bucket", "_chunk", "_late_head", "_edge")
     return done.drop(*own).unionByName(fixed.drop(*own))
 
 
@@ -74,29 +68,62 @@ def _bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
 
 
-def _hot_ranges(rows: DataFrame, keys: Sequence[str], ts: str, hot_rows: int) -> list[tuple[int, int, int]]:
-    """(bucket, first microsecond, chunk width) of each bucket above the limit.
+def hot_cuts(rows: DataFrame, keys: Sequence[str], ts: str, hot_rows: int) -> list[list[Cuts]]:
+    """The cuts of the buckets above the limit, then of their chunks above the limit, and so on.
 
-    At most BUCKETS rows come back. The limit is at least four times the mean of those, so at most a
-    quarter of the buckets counts as hot.
+    At most BUCKETS counts come back. The limit is at least four times the mean of those, so at most a
+    quarter of BUCKETS buckets or chunks are above it, and every level stays as small.
     """
-    counted = (
-        rows.groupBy(_bucket(keys).alias("bucket"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.unix_micros(ts)).alias("first"),
-            F.max(F.unix_micros(ts)).alias("last"),
-        )
-        .filter((F.col("n") > max(hot_rows, 1)) & F.col("first").isNotNull())
-        .collect()
-    )
+    bucketed = rows.select(_bucket(keys).alias("_bucket"), ts)
+    counted = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(hot_rows, 1)).collect()
     limit = max(hot_rows, 1, 4 * sum(r.n for r in counted) // BUCKETS)
-    return [
-        (r.bucket, r.first, _width(r.last - r.first + 1, PIECES * math.ceil(r.n / limit)))
-        for r in counted
-        if r.n > limit
-    ]
+    hot = [(r["_bucket"], 0, []) for r in counted if r.n > limit]
+    if not hot:
+        return []
+
+    at = F.unix_micros(ts)
+    inner = [i / PARTS for i in range(1, PARTS)]
+    hot_rows_of = _of_hot(bucketed, [hot])
+    levels: list[list[Cuts]] = []
+    while True:
+        large = (
+            chunked(hot_rows_of, levels, ts)
+            .groupBy("_bucket", "_chunk")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min(at).alias("first"),
+                F.max(at).alias("last"),
+                F.percentile_approx(at, inner, 32 * PARTS).alias("times"),
+            )
+            .filter((F.col("n") > limit) & (F.col("first") < F.col("last")))
+            .collect()
+        )
+        if not large:
+            return levels
+        levels.append([(r["_bucket"], r["_chunk"], _between(r.times, r.first, r.last)) for r in large])
+
 
+def _between(times: list[int], first: int, last: int) -> list[int]:
+    """Cuts before and after each time; never none, as ``first`` is less than ``last``."""
+    return sorted({cut for t in times for cut in (t, t + 1) if first < cut <= last})
 
-def _width(span: int, pieces: int) -> int:
-    return max(1, math.ceil(span / pieces))
+
+def _of_hot(bucketed: DataFrame, levels: list[list[Cuts]]) -> DataFrame:
+    hot = bucketed.sparkSession.createDataFrame([(bucket,) for bucket, _, _ in levels[0]], "_bucket bigint")
+    return bucketed.join(F.broadcast(hot), "_bucket", "left_semi")
+
+
+def chunked(bucketed: DataFrame, levels: list[list[Cuts]], ts: str) -> DataFrame:
+    """Add ``_chunk``, which rises with time within a bucket; rows without a time are in chunk 0."""
+    bucketed = bucketed.withColumn("_chunk", F.lit(0).cast("bigint"))
+    at = F.unix_micros(ts)
+    for level in levels:
+        cuts = F.broadcast(bucketed.sparkSession.createDataFrame(level, _CUTS))
+        passed = F.size(F.filter("_cuts", lambda cut: cut <= at))
+        place = F.when(F.col("_cuts").isNotNull(), passed).otherwise(0)
+        bucketed = (
+            bucketed.join(cuts, ["_bucket", "_chunk"], "left")
+            .withColumn("_chunk", F.col("_chunk") * (2 * PARTS) + place)
+            .drop("_cuts")
+        )
+    return bucketed

@@ -30,7 +30,7 @@ from sensorflow.plans import fixtures as fx
 from sensorflow.session import fresh_folder
 from sensorflow.streaming import ingest
 from sensorflow.streaming.ingest import once
-from sensorflow.streaming.rolling import rolling_query
+from sensorflow.streaming.rolling import last_reports, rolling_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,6 +381,27 @@ def rolling_anomalies_stream(spark, sf_dir):
     return found.select(*FINDING, "ts", "value", "prev_value", "pct_change", "variance10")
 
 
+def rolling_anomalies_shuffled_stream(spark, sf_dir):
+    """Events arrive up to two days late, in five deliveries; the reports that hold in the end."""
+    folder, delay = fresh_folder(spark, "shuffled"), 2 * 86_400
+    rows = fx.readings(spark, sf_dir)
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("reading_id"), F.lit(delay))
+    start, stop = rows.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts")) + delay).first()
+
+    def sink(reported: DataFrame, batch_id: int) -> None:
+        reported.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
+    for turn in range(5 if start is not None else 0):
+        low, high = (start + (stop - start) * t // 5 for t in (turn, turn + 1))
+        rows.filter((arrival >= low) & (arrival < high)).write.parquet(f"{folder}/in/part={turn}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
+        rolling_query(
+            once(stream, f"{delay} seconds"), f"{folder}/checkpoint", sink, delay=f"{delay} seconds"
+        ).awaitTermination()
+    found = last_reports(spark.read.parquet(f"{folder}/rows"))
+    return found.select(*FINDING, "ts", "value", "prev_value", "pct_change", "variance10")
+
+
 def scored_stream(spark, sf_dir):
     arriving = _event_stream(spark, sf_dir).filter(F.col("ts") >= F.lit(fx.AS_OF).cast("timestamp"))
     detector = detectors.zscore_detector()
@@ -451,6 +472,7 @@ QUERIES: tuple[Query, ...] = (
     backlog_alerts,
     resource_alerts,
     rolling_anomalies_stream,
+    rolling_anomalies_shuffled_stream,
     scored_stream,
     ingest_stream,
 )

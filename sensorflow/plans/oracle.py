@@ -283,6 +283,7 @@ FROM subscribed"""
 QUERIES: dict[str, tuple[list[str], str]] = {
     "rolling_anomalies": (["rolling"], ROLLING),
     "rolling_anomalies_stream": (["rolling"], ROLLING),
+    "rolling_anomalies_shuffled_stream": (["rolling"], ROLLING),
     "anomaly_triage": (
         ["rolling"],
         f"""

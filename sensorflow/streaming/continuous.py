@@ -2,19 +2,20 @@
 
 Two queries read the same messages. ``store_query`` keeps all readings, late ones too, and the dead
 letters, routes and outbound envelopes. ``detect_query`` drops repeats and late rows, scores and stores
-the anomalies. Each micro-batch writes its own batch folders, so a repeated batch replaces its first try.
+the anomalies; what a late row changes is stored as a newer report. Each micro-batch writes its own batch folders, so a repeated batch replaces its first try.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorflow.operators import anomalies, routing
 from sensorflow.sources.store import store_readings, store_rows
-from sensorflow.streaming.ingest import dead_letters, good_rows, ingest_stream, newest_copies, once
-from sensorflow.streaming.rolling import rolling_query
+from sensorflow.streaming.ingest import AHEAD, DELAY, dead_letters, good_rows, ingest_stream, newest_copies, once
+from sensorflow.streaming.rolling import last_reports, rolling_query
 
 
 def store_batch(checked: DataFrame, batch_id: int, root: str) -> None:
@@ -30,10 +31,13 @@ def store_batch(checked: DataFrame, batch_id: int, root: str) -> None:
         checked.unpersist()
 
 
-def store_anomalies(found: DataFrame, batch_id: int, root: str) -> None:
-    found = anomalies.triage(anomalies.as_anomalies(found)).persist(StorageLevel.MEMORY_AND_DISK)
+def store_anomalies(reported: DataFrame, batch_id: int, root: str) -> None:
+    reported = reported.persist(StorageLevel.MEMORY_AND_DISK)
+    withdrawn = reported.filter(~F.col("is_anomaly")).select("reading_id", "device_id", F.col("ts").alias("detected_at"))
+    found = anomalies.triage(anomalies.as_anomalies(reported)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store_rows(found, f"{root}/anomalies", batch_id, "detected_at")
+        store_rows(withdrawn, f"{root}/withdrawn", batch_id, "detected_at")
         store_rows(routing.anomaly_envelopes(found), f"{root}/anomaly_envelopes", batch_id, "detected_at")
         store_rows(
             routing.route_anomalies(found.select("anomaly_id", "reading_id", "device_id", "sensor_type", "detected_at")),
@@ -43,13 +47,22 @@ def store_anomalies(found: DataFrame, batch_id: int, root: str) -> None:
         )
     finally:
         found.unpersist()
+        reported.unpersist()
+
+
+def open_anomalies(spark: SparkSession, root: str) -> DataFrame:
+    """The stored anomalies that hold: of each reading the last report, unless it was withdrawn."""
+    found = spark.read.parquet(f"{root}/anomalies").withColumn("is_anomaly", F.lit(True))
+    schema = found.select("reading_id", "device_id", "detected_at", "event_date", "batch_id").schema
+    withdrawn = spark.read.schema(schema).parquet(f"{root}/withdrawn").withColumn("is_anomaly", F.lit(False))
+    return last_reports(found.unionByName(withdrawn, allowMissingColumns=True)).drop("is_anomaly")
 
 
 def store_query(
-    received: DataFrame, root: str, checkpoints: str, id_column: str | None = None, **trigger
+    received: DataFrame, root: str, checkpoints: str, id_column: str | None = None, ahead: str = AHEAD, **trigger
 ) -> StreamingQuery:
     return (
-        ingest_stream(received, id_column)
+        ingest_stream(received, id_column, ahead)
         .writeStream.queryName("store")
         .option("checkpointLocation", f"{checkpoints}/store")
         .trigger(**(trigger or {"availableNow": True}))
@@ -59,11 +72,21 @@ def store_query(
 
 
 def detect_query(
-    received: DataFrame, root: str, checkpoints: str, id_column: str | None = None, **trigger
+    received: DataFrame,
+    root: str,
+    checkpoints: str,
+    id_column: str | None = None,
+    delay: str = DELAY,
+    ahead: str = AHEAD,
+    silent: str | None = None,
+    **trigger,
 ) -> StreamingQuery:
+    """Rows later than ``delay`` and rows with a clock further than ``ahead`` are only in what ``store_query`` writes."""
     return rolling_query(
-        once(good_rows(ingest_stream(received, id_column))),
+        once(good_rows(ingest_stream(received, id_column, ahead)), delay),
         f"{checkpoints}/detect",
-        lambda found, batch_id: store_anomalies(found, batch_id, root),
+        lambda reported, batch_id: store_anomalies(reported, batch_id, root),
+        delay=delay,
+        silent=silent,
         **trigger,
     )

@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from sensorflow.operators import messages, validate
 
+#: How late a row may be, and how far its clock may be ahead of its arrival.
 DELAY = "10 minutes"
+AHEAD = "10 minutes"
 
 
-def ingest_stream(received: DataFrame, id_column: str | None = None) -> DataFrame:
+def not_ahead(ahead: str = AHEAD) -> validate.Rule:
+    """One wrong clock would move the watermark for all devices."""
+    limit = F.col("received_at") + F.expr(f"INTERVAL {ahead}")
+    return validate.Rule("ts must not be ahead of its arrival", 6, F.col("ts") > limit)
+
+
+def ingest_stream(received: DataFrame, id_column: str | None = None, ahead: str = AHEAD) -> DataFrame:
     """Parsed rows of the subscribed topics with ``errors``: a broken payload, or the rules a row breaks."""
-    checked = validate.with_errors(messages.parse_messages(received, id_column))
+    rules = [*validate.default_rules(), not_ahead(ahead)]
+    checked = validate.with_errors(messages.parse_messages(received, id_column), rules)
     broken = F.col("parse_error")
     return checked.withColumn(
         "errors", F.when(broken.isNotNull(), F.array(broken)).otherwise(F.col("errors"))

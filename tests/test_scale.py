@@ -7,7 +7,7 @@ import pytest
 from rows import START, readings
 
 from pyspark.sql import functions as F
-from sensorflow.operators import changes, detectors, rolling
+from sensorflow.operators import changes, detectors, rolling, series
 from sensorflow.operators.joins import attach, settle
 from sensorflow.plans import fixtures
 from sensorflow.schemas import READINGS
@@ -90,3 +90,22 @@ def test_large_profiles_join_without_broadcast(spark, monkeypatch):
     columns = [c for c in READINGS.fieldNames() if c != "metadata"] + ["n"]
     assert large.select(columns).exceptAll(small.select(columns)).isEmpty()
     assert large.count() == 70
+
+
+@pytest.mark.parametrize("stray", ["1970-01-01", "2030-01-01", None])
+def test_chunks_are_even_whatever_the_clocks_say(spark, stray):
+    """Chunks hold at most twice the limit, with a stray clock and with many rows of one time."""
+    at = "timestampadd(SECOND, cast(if(id < 5000, 7, id) as int), timestamp'2024-01-01')"
+    if stray:
+        at = f"if(id = 0, timestamp'{stray}', {at})"
+    rows = spark.range(50_000).selectExpr("'d1' AS device_id", "'temperature' AS sensor_type", f"{at} AS ts", "id AS reading_id", "cast(pmod(hash(id), 60) AS double) AS value")
+    keys = ["device_id", "sensor_type"]
+    levels = series.hot_cuts(rows, keys, "ts", 2000)
+    chunks = series.chunked(rows.withColumn("_bucket", series._bucket(keys)), levels, "ts")
+    sizes = chunks.groupBy("_chunk").agg(F.count("*").alias("n"), F.countDistinct("ts").alias("times")).collect()
+    assert sum(r.n for r in sizes) == 50_000
+    assert max(r.n for r in sizes if r.times > 1) <= 4000
+    assert [r.n for r in sizes if r.n > 4000] in ([5000], [4999])
+    want = rolling.rolling_anomalies(rows).select(*KEPT)
+    got = rolling.rolling_anomalies(rows, hot_rows=2000).select(*KEPT)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()

@@ -15,7 +15,7 @@ from sensorflow.sources.writers import TIMES
 from sensorflow.streaming import continuous, rates
 from sensorflow.streaming.ingest import good_rows, ingest_stream, once
 from sensorflow.streaming.progress import ProgressMetrics, metric_rows
-from sensorflow.streaming.rolling import rolling_query, score_batch
+from sensorflow.streaming.rolling import changed_reports, judge_batch, rolling_query, tails_after
 
 KEPT = ["reading_id", "type", "severity", "prev_value", "pct_change", "variance10"]
 
@@ -46,7 +46,8 @@ def test_batches_with_tails_equal_one_batch(spark, sf_dir, tmp_path, hot_rows):
     tails, found = None, None
     for i, (low, high) in enumerate(itertools.pairwise(cuts)):
         part = rows.filter((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
-        some, after = score_batch(part, tails, hot_rows)
+        judged = judge_batch(part, tails, hot_rows)
+        some, after = changed_reports(judged), tails_after(judged)
         found = some if found is None else found.unionByName(some)
         after.write.parquet(f"{tmp_path}/tails{i}")
         tails = spark.read.parquet(f"{tmp_path}/tails{i}")
@@ -111,6 +112,56 @@ def test_repeats_and_late_rows_are_not_scored(spark, tmp_path):
     assert found == [(start + timedelta(minutes=42), "OutOfRange")]
 
 
+def numbered(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("part-*.parquet")}
+
+
+def test_late_row_is_scored_and_corrects_the_rows_behind_it(spark, tmp_path):
+    """A late 95 degrees is found; the row after it becomes a drop, and a spike after a late equal value goes."""
+    start = datetime(2024, 1, 1, 12)
+
+    def message(device, second, value):
+        return (f"sensors/{device}/data", f"temperature:{value}", start + timedelta(seconds=second))
+
+    inbox, root, checkpoints = f"{tmp_path}/in", f"{tmp_path}/root", f"{tmp_path}/check"
+    parts = [
+        [message("d1", 10 * i, 20) for i in range(9)]
+        + [message("d2", 10 * i, 10 if i < 5 else 40) for i in range(8)]
+        + [message("d3", 10 * i, 20) for i in range(4)],
+        [message("d1", 45, 95), message("d2", 45, 40)],
+    ]
+    before = None
+    for i, part in enumerate(parts):
+        deliver(spark, part, inbox, f"p{i}")
+        continuous.detect_query(readers.message_stream(spark, f"{inbox}/*"), root, checkpoints).awaitTermination()
+        if before is None:
+            before = numbered(tmp_path / "check/detect/tails/rows")
+    after = numbered(tmp_path / "check/detect/tails/rows")
+    assert len(before) == 3 and before.items() <= after.items() and len(after) == 5
+
+    want = as_set(batch_findings(spark, [row for part in parts for row in part]))
+    held = continuous.open_anomalies(spark, root)
+    assert as_set(held) == want
+    assert {r.type for r in held.filter("device_id = 'd1'").collect()} >= {"OutOfRange", "SuddenDrop"}
+    assert not spark.read.parquet(f"{root}/withdrawn").isEmpty()
+
+
+def test_one_wrong_clock_does_not_silence_the_others(spark, tmp_path):
+    start = datetime(2024, 1, 1, 12)
+    inbox, root, checkpoints = f"{tmp_path}/in", f"{tmp_path}/root", f"{tmp_path}/check"
+    body = '{"DeviceId":"d9","SensorType":"ph","Timestamp":"2030-01-01T00:00:00Z","Value":{"Value":7,"Unit":"pH"}}'
+    rows = [("sensors/d1/data", f"temperature:{v}", start + timedelta(minutes=i)) for i, v in enumerate([50, 50, 50, 10])]
+    for i, row in enumerate(rows):
+        more = [("sensors/d9/data", body, start)] if i == 1 else []
+        deliver(spark, [row, *more], inbox, f"p{i}")
+        stream = readers.message_stream(spark, f"{inbox}/*")
+        continuous.store_query(stream, root, checkpoints).awaitTermination()
+        continuous.detect_query(stream, root, checkpoints).awaitTermination()
+    assert [r.type for r in continuous.open_anomalies(spark, root).collect()] == ["SuddenDrop"]
+    dead = spark.read.parquet(f"{root}/dead_letters").collect()
+    assert [r.errors for r in dead] == [["ts must not be ahead of its arrival"]]
+
+
 def test_copies_of_an_id_are_stored_once(spark, tmp_path):
     at = datetime(2024, 1, 1)
     body = '{"Id":"same","DeviceId":"d1","SensorType":"ph","Value":{"Value":%d,"Unit":"pH"}}'
