@@ -6,10 +6,12 @@ and a place keeps the shingle that arrives there first. Two texts agree in a pla
 their weighted shingles; where nothing is repeated that is the common Jaccard similarity. Arrivals are drawn only up to the time
 at which all places of the text are filled.
 
-Texts with the same words are one node. Nodes that agree in a whole band share a bucket. A bucket is never turned into pairs:
-its least node is compared with the others, linked nodes become one class, and only buckets that still hold several classes go
-on with their next nodes, until each is one class or all its nodes have had their turn. Compared pairs whose signatures differ
-too much are dropped (further than ``SLACK`` standard errors below the limit), the others are verified on their whole texts.
+Texts with the same words are one node. Nodes that agree in a whole band share a bucket. First every node is compared with the
+least one of each of its buckets: pairs whose signatures differ too much are dropped (further than ``SLACK`` standard errors
+below the limit), the others are verified on their whole texts, and linked nodes become one class. Buckets that then still hold
+several classes are compared whole, by signature, in blocks of nodes: a task gets two blocks and returns no pairs but a forest
+that joins what may be alike. What such forests join is a cluster; its texts are dealt in blocks again, compared exactly, and a
+forest of links comes back. No cap is set: a larger group has more blocks.
 
 Null texts and texts without words are copies of each other. Equal rows are copies. Ties go to the lower id; a class whose ids are
 all null has a null class id. An empty table gives no rows; extra columns pass through ``one_per_class``.
@@ -17,9 +19,8 @@ all null has a null class id. An empty table gives no rows; extra columns pass t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,12 @@ LIMIT = 0.8
 #: At similarity 0.8 two texts miss each other in all bands once in 7,000 times; at 0.3 they meet once in 300 times.
 BANDS = 48
 ROWS = 8
-#: Places by which pairs are judged before their texts are fetched.
+#: Places, one byte each, by which pairs are judged before their texts are fetched; bytes that agree by chance only let more pass.
 JUDGED = 128
 SLACK = 4.5
-#: Nodes of a bucket that take their turn at once: in the first rounds; the last number holds for all later ones. Each divides the next.
-TURNS = (1, 8, 64, 512)
+#: Nodes in a block of signatures; nodes and bytes of text in a block of texts.
+BLOCK = 512
+BLOCK_BYTES = 8 << 20
 
 ARRIVAL, PLACE, STEP = W.U(0x8CB92BA72F3D8DD7), W.U(0x5851F42D4C957F2D), W.U(0x9E3779B97F4A7C15)
 
@@ -113,7 +115,7 @@ def _sign(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int
         begins = np.arange(0, len(flat), rows)
         number = np.tile(np.arange(bands, dtype=W.U), batch.num_rows)
         buckets = W.mixed(W.run_hashes(flat, begins, begins + rows) + number)
-        judged = (signs[:, :JUDGED] >> W.U(32)).astype(np.uint32).view(np.int32)
+        judged = (signs[:, :JUDGED] >> W.U(56)).astype(np.uint8).view(np.int8)
         keys = {c: batch.column(c) for c in ("key_1", "key_2", "doc_id")}
         own = {"node": nodes_of(found), "filled": pa.array(found.counts() > 0), "signs": _lists(judged), "buckets": _lists(buckets.reshape(-1, bands).view(np.int64))}
         yield pa.RecordBatch.from_pydict(keys | own)
@@ -158,7 +160,7 @@ def signed(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: in
     """key_1, key_2, doc_id, node, filled, the judged places and the bucket of each band for each row, stored."""
     one, two = row_key("key_1", "key_2", "doc_id", "text")
     texts = docs.select(one, two, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "key_1 bigint, key_2 bigint, doc_id bigint, node binary, filled boolean, signs array<int>, buckets array<bigint>"
+    schema = "key_1 bigint, key_2 bigint, doc_id bigint, node binary, filled boolean, signs array<tinyint>, buckets array<bigint>"
     return stored(in_arrow(texts, partial(_sign, shingle=shingle, bands=bands, rows=rows), schema), "near-signatures")
 
 
@@ -169,32 +171,176 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return stored(members.join(several, "bucket", "left_semi"), "near-buckets")
 
 
-def agreeing(pairs: DataFrame, nodes: DataFrame, limit: float, places: int) -> DataFrame:
-    """Pairs that enough of the judged places agree on; others are below the limit but once in some 100,000 times."""
-    least = places * limit - SLACK * (places * limit * (1 - limit)) ** 0.5
-    signs = nodes.select(F.col("node"), "signs")
+def least_agreeing(places: int | Column, limit: float) -> float | Column:
+    """How many places of a pair at the limit agree at least, but once in some 100,000 times."""
+    return places * limit - SLACK * (places * limit * (1 - limit)) ** 0.5
+
+
+def agreeing(pairs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
+    """Pairs that enough of the judged places agree on."""
+    signs = nodes.select("node", "signs")
     both = pairs.join(signs.toDF("a", "signs_a"), "a").join(signs.toDF("b", "signs_b"), "b")
-    same = F.zip_with("signs_a", "signs_b", lambda x, y: (x == y).cast("int"))
-    return both.where(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= least).select("a", "b")
+    same = F.aggregate(F.zip_with("signs_a", "signs_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return both.where(same >= least_agreeing(F.size("signs_a"), limit)).select("a", "b")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, limit: float) -> DataFrame:
-    """The pairs with ``linked``, by their whole texts. ``rows``: node with the key of a row that has its text."""
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    keys = rows.join(wanted.withColumnRenamed("a", "node"), "node", "left_semi")
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``wanted`` (one row per node) with the node's text, stored."""
+    keys = nodes.select("node", "key_1", "key_2").join(wanted, "node")
     one, two = row_key("key_1", "key_2", "doc_id", "text")
-    texts = docs.select(one, two, "text").join(keys, ["key_1", "key_2"]).select("node", "text").dropDuplicates(["node"])
-    texts = stored(texts, "near-texts")
+    texts = docs.select(one, two, "text").join(keys, ["key_1", "key_2"])
+    return stored(texts.dropDuplicates(["key_1", "key_2"]).select(*wanted.columns, "text"), "near-texts")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, limit: float) -> DataFrame:
+    """The pairs with ``linked``, by their whole texts."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts_of(wanted, nodes, docs)
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     schema = "a binary, b binary, linked boolean"
     return in_arrow(both, partial(_verify, shingle=shingle, limit=limit), schema)
 
 
-def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
-    pairs = members.join(centres, "bucket").where("node > centre")  # a lower one had its turn before, or has it now
-    if "label" in members.columns:
-        pairs = pairs.where("label != centre_label")
-    return pairs.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+def blocks(members: DataFrame, parts: DataFrame, group: str) -> DataFrame:
+    """The members of each group in ``parts`` parts, a copy of each for every pair of parts ``p``, ``q`` that its ``part`` is in."""
+    placed = members.join(parts, group).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    dealt = copies.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")}).drop("parts", "other")
+    return dealt.repartition(group, "p", "q").sortWithinPartitions(group, "p", "q")
+
+
+def runs(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[pa.Table]:
+    """The rows of each pair of parts; they follow each other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in (group, "p", "q")], axis=1)
+        cut = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for begin, end in zip([0, *cut], [*cut, len(keys)], strict=True):
+            if begin == end:
+                continue
+            if held and (keys[begin] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+            last = keys[begin]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def forest(run: pa.Table, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs that join all that ``near(row, rows)`` joins among rows of different label, and of different part if the run has two.
+
+    Each row is compared once with all that are not reached yet, so n rows give fewer than n pairs.
+    """
+    label = run.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    part = run.column("part").to_numpy()
+    two = run.column("p")[0] != run.column("q")[0]
+    far = np.arange(run.num_rows)
+    pairs = []
+    while len(far):
+        waiting, far = [int(far[0])], far[1:]
+        while waiting and len(far):
+            row = waiting.pop()
+            may = label[far] != label[row]
+            if two:
+                may &= part[far] != part[row]
+            if may.any():
+                may[may] = near(row, far[may])
+                found = far[may].tolist()
+                pairs += [(row, other) for other in found]
+                waiting += found
+                far = far[~may]
+    return pairs
+
+
+def _picked(run: pa.Table, pairs: list[tuple[int, int]], *columns: str) -> pa.RecordBatch:
+    one, two = np.array(pairs).T
+    names = [(side, c) for side in ("a", "b") for c in columns]
+    arrays = [run.column(c).combine_chunks().take(pa.array(one if side == "a" else two)) for side, c in names]
+    return pa.RecordBatch.from_arrays(arrays, [side if c == "node" else f"{c}_{side}" for side, c in names])
+
+
+def _alike(batches: Iterator[pa.RecordBatch], limit: float) -> Iterator[pa.RecordBatch]:
+    for run in runs(batches, "bucket"):
+        if run.num_rows > 1:
+            signs = run.column("signs").combine_chunks().flatten().to_numpy().reshape(run.num_rows, -1)
+            least = least_agreeing(signs.shape[1], limit)
+            if pairs := forest(run, lambda i, others: (signs[others] == signs[i]).sum(axis=1) >= least):  # noqa: B023
+                yield _picked(run, pairs, "node", "label")
+
+
+def similar(texts: pa.Array, shingle: int, limit: float) -> Callable[[int, np.ndarray], np.ndarray]:
+    """Tells which of some texts have the similarity ``limit`` to one of them.
+
+    A shared shingle adds 1 / sum of max ratios; without the ratios of other shared shingles the sum is too small, and what all
+    add up to is a bound (the similarity itself where no text repeats a shingle). Pairs within the bound are computed.
+    """
+    n = len(texts)
+    text, hashes, counts = shingles(W.split(texts), shingle)
+    cut = np.searchsorted(text, np.arange(n + 1))
+    kinds, kind = np.unique(hashes, return_inverse=True)
+    weights = counts.astype(float)
+    total = np.bincount(text, weights, n)
+    own = np.zeros(len(kinds))
+
+    def near(row: int, others: np.ndarray) -> np.ndarray:
+        mine = slice(cut[row], cut[row + 1])
+        own[kind[mine]] = weights[mine]
+        x = own[kind]
+        shared = np.flatnonzero(x)
+        own[kind[mine]] = 0
+        x, y, of = x[shared], weights[shared], text[shared]
+        only_x, only_y = total[row] - np.bincount(of, x, n), total - np.bincount(of, y, n)
+        sums = np.maximum(total[row] / x + only_y[of] / y, total[of] / y + only_x[of] / x)
+        bound = np.bincount(of, 1 / sums, n)
+        hit = bound[others] >= limit - 1e-9
+        one = hashes[mine], counts[mine]
+        hit[hit] = [similarity(one, (hashes[cut[j] : cut[j + 1]], counts[cut[j] : cut[j + 1]])) >= limit for j in others[hit]]
+        return hit
+
+    return near
+
+
+def _links(batches: Iterator[pa.RecordBatch], shingle: int, limit: float) -> Iterator[pa.RecordBatch]:
+    for run in runs(batches, "cluster"):
+        if run.num_rows > 1:
+            texts = run.column("text").combine_chunks()
+            if pairs := forest(run, similar(texts, shingle, limit)):
+                yield _picked(run, pairs, "node")
+
+
+def _with_labels(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def links_to_least(members: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, limit: float) -> DataFrame:
+    """a, b: links between a bucket's nodes and its least one, stored."""
+    centres = members.groupBy("bucket").agg(F.min("node").alias("b"))
+    pairs = members.join(centres, "bucket").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    pairs = stored(agreeing(pairs, nodes, limit), "near-pairs")
+    return stored(verified(pairs, nodes, docs, shingle, limit).where("linked").select("a", "b"), "near-links")
+
+
+def links_in_blocks(members: DataFrame, labels: DataFrame | None, nodes: DataFrame, docs: DataFrame, shingle: int, limit: float) -> DataFrame:
+    """a, b: links that join all linked nodes of different label that share a bucket, stored."""
+    members = _with_labels(members, labels)
+    sizes = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    parts = sizes.where("low != high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    dealt = blocks(members.join(parts.select("bucket"), "bucket", "left_semi").join(nodes.select("node", "signs"), "node"), parts, "bucket")
+    schema = "a binary, label_a binary, b binary, label_b binary"
+    alike = stored(in_arrow(dealt, partial(_alike, limit=limit), schema), "near-alike")
+    clusters = components(alike.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).toDF("label", "first")
+    ends = alike.select(F.col("a").alias("node"), F.col("label_a").alias("label"))
+    ends = ends.unionByName(alike.select(F.col("b").alias("node"), F.col("label_b").alias("label"))).distinct()
+    wanted = ends.join(clusters, "label").select("node", "label", F.xxhash64("first").alias("cluster"))
+    texts = texts_of(wanted, nodes, docs)
+    sizes = texts.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("size"))
+    parts = sizes.select("cluster", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_BYTES)).alias("parts"))
+    found = in_arrow(blocks(texts, parts, "cluster"), partial(_links, shingle=shingle, limit=limit), "a binary, b binary")
+    return stored(found, "near-links")
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, limit: float = LIMIT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -202,57 +348,20 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, limit: float = LIMIT, bands
     signs = signed(docs, shingle, bands, rows)
     # equal nodes have equal signatures: the first row of each node brings its own
     first = signs.groupBy("node").agg(F.min(F.struct("key_1", "key_2")).alias("of")).select("node", "of.*")
-    nodes = stored(signs.drop("doc_id").join(first, ["node", "key_1", "key_2"], "left_semi").dropDuplicates(["node"]), "near-nodes")
+    own = ["node", "key_1", "key_2"]
+    nodes = stored(signs.drop("doc_id").join(first, own, "left_semi").dropDuplicates(own), "near-nodes")
     members = buckets(nodes)
-    places = min(JUDGED, bands * rows)
-    texts_of = nodes.select("node", "key_1", "key_2")
-    centres = members.groupBy("bucket").agg(F.min("node").alias("centre"))
-    turns = centres.select("bucket", F.lit(0).cast("bigint").alias("part"), F.col("centre").alias("done"))
-    tested = labels = None
-    parts = TURNS[0]
-    for following in chain(TURNS[1:], repeat(TURNS[-1])):
-        pairs = _pairs(members, centres)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(agreeing(pairs, nodes, limit, places), "near-pairs")
-        if not pairs.isEmpty():
-            found = stored(verified(pairs, texts_of, docs, shingle, limit), "near-tested")
-            tested = found if tested is None else stored(tested.unionByName(found), "near-tested")
-            if not found.where("linked").isEmpty():
-                labels = stored(components(tested.where("linked").select("a", "b")), "near-labels")
-        members, turns = _next_turn(members, labels, turns, parts, following)
-        parts = following
-        centres = turns.where("label is not null").select("bucket", F.col("done").alias("centre"), F.col("label").alias("centre_label"))
-        if centres.isEmpty():
-            break
+    links = links_to_least(members, nodes, docs, shingle, limit)
+    labels = None if links.isEmpty() else stored(components(links), "near-labels")
+    more = links_in_blocks(members, labels, nodes, docs, shingle, limit)
+    if not more.isEmpty():
+        labels = stored(components(links.unionByName(more)), "near-labels")
     if labels is None:
         return signs.select("key_1", "key_2", "doc_id", F.col("node").alias("label"))
     named = signs.select("key_1", "key_2", "doc_id", "node").join(labels, "node", "left")
     return named.select("key_1", "key_2", "doc_id", F.coalesce("label", "node").alias("label"))
 
 
-def _next_turn(members: DataFrame, labels: DataFrame | None, turns: DataFrame, parts: int, following: int) -> tuple[DataFrame, DataFrame]:
-    """The buckets that still hold several classes, and for each of their parts whose turn is next.
-
-    A part's turns go by rising node; ``done`` is the last one that had its turn, or has it now: then with its ``label``. The
-    new parts divide the old ones, so each begins where the part that it comes from has got to.
-    """
-    members = members.select("bucket", "node")
-    if labels is not None:
-        members = members.join(labels, "node", "left")
-    label = F.coalesce("label", "node") if labels is not None else F.col("node")
-    part = F.pmod(F.xxhash64("node"), F.lit(following)).alias("part")
-    members = members.select("bucket", "node", label.alias("label"), part)
-    split = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    members = stored(members.join(split.select("bucket"), "bucket", "left_semi"), "near-buckets")
-    before = turns.select("bucket", F.col("part").alias("old"), F.col("done").alias("until"))
-    placed = members.withColumn("old", F.pmod("part", F.lit(parts))).join(before, ["bucket", "old"], "left")
-    later = F.when(F.col("until").isNull() | (F.col("node") > F.col("until")), F.struct("node", "label"))
-    next_ = placed.groupBy("bucket", "part").agg(F.min(later).alias("next"), F.max("until").alias("until"))
-    done = F.coalesce(F.col("next.node"), F.col("until"))
-    return members, stored(next_.select("bucket", "part", done.alias("done"), F.col("next.label").alias("label")), "near-turns")
-
-
 def class_ids(docs: DataFrame, **how) -> DataFrame:
     """doc_id, class_id (least id of the class) and class_size per row."""
     rows = stored(classes(docs, **how).select("doc_id", "label"), "near-classes")

@@ -257,12 +257,14 @@ def test_signatures_estimate_it():
     assert abs(float((signs[0] == signs[1]).mean()) - jaccard(one, two)) < 0.04
 
 
-def test_classes_like_brute_force(spark):
+@pytest.mark.parametrize("block", [near.BLOCK, 3])
+def test_classes_like_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(near, "BLOCK", block)
     draw = np.random.default_rng(5)
     texts = []
-    for _ in range(12):
-        base = [f"n{x}" for x in draw.integers(0, 9999, 120)]
-        for _ in range(6):
+    for copies in (6, 6, 6, 6, 6, 6, 40):
+        base = [f"n{x}" for x in draw.integers(0, 9999, 60)] * 2
+        for _ in range(copies):
             copy = list(base)
             for at in draw.integers(0, 120, int(draw.integers(0, 7))):
                 copy[at] = f"z{draw.integers(1 << 30)}"
