@@ -55,20 +55,21 @@ class Encoder:
 
     def _parts(self, text: str) -> list[bytes]:
         pieces = PIECES.findall(text)
-        try:
-            return [self.known[p] for p in pieces]
-        except KeyError:
-            pass
-        new = list({p for p in pieces if p not in self.known})
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(set(pieces))
-        self._learn(new)
-        return [self.known[p] for p in pieces]
+        found = list(map(self.known.get, pieces))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        if missing:
+            new = list({pieces[at] for at in missing})
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+            self._learn(new)
+            for at in missing:
+                found[at] = self.known[pieces[at]]
+        return found
 
     def _learn(self, new: list[str]) -> None:
         """Encodes many pieces as the lines of one text: a line feed between two pieces is always a token of its own."""
-        words = [p for p in new if not p.isspace()]
+        blank = [p for p in new if p.isspace()]
+        words = [p for p in new if not p.isspace()] if blank else new
         for begin in range(0, len(words), 512):
             some = words[begin : begin + 512]
             (found,) = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
@@ -78,7 +79,6 @@ class Encoder:
             for piece, end in zip(some, ends.tolist(), strict=True):
                 self.known[piece] = data[at:end]
                 at = end + 4
-        blank = [p for p in new if p.isspace()]
         got = self.tokenizer.encode_batch(blank, add_special_tokens=False)
         self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(blank, got, strict=True))
 
