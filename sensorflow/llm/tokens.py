@@ -28,8 +28,8 @@ from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries of the cache of encoded pieces; it is emptied when full.
-CACHE = 1_500_000
+#: Entries of the cache of encoded pieces, some 80 MB in each Python worker; it is emptied when full.
+CACHE = 500_000
 SHARDS = "shard int, path string, documents bigint, ids bigint"
 
 #: Unicode's white space, as the tokenizer's pattern sees it.
