@@ -13,7 +13,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
-UNSEEN = frozenset("audio canvas head iframe math noscript object script select style svg template textarea title video button option datalist".split())
+UNSEEN = frozenset("audio canvas iframe math noscript object script select style svg template textarea title video button option datalist".split())
 SIDE = frozenset("aside dialog fieldset footer form menu nav".split())
 MAIN = frozenset("article main".split())
 SIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -26,9 +26,17 @@ SIDE_NAMES = frozenset(
 #: An element on the left ends an open one on the right.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-    "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
+    "option": {"option"}, "optgroup": {"option", "optgroup"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
 }
 LISTS = frozenset("ul ol dl table menu".split())
+#: Unseen elements that the start of one on the right ends, as they cannot hold it.
+LEFT_BY = {
+    "select": (BLOCK - {"div", "hr", "legend"}) | {"input", "select", "textarea"}, "datalist": BLOCK, "svg": BLOCK, "math": BLOCK,
+    "option": BLOCK - {"div", "hr", "legend"}, "button": MAIN | {"body", "button"},
+} | {tag: frozenset({"body"}) for tag in ("audio", "canvas", "noscript", "object", "textarea", "title", "video")}
+#: Inside these, what would end an element outside does not.
+SHUT = frozenset({"template", "foreignobject"})
+COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.DOTALL)
 DEPTH = 200
 NAMES = re.compile(r"[a-z0-9]+")
 
@@ -59,39 +67,72 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#", False, False, False)
-        self.open: list[tuple[str, Node]] = [("#", self.root)]  # every open element with the block element it adds to
-        self.unseen = 0
+        self.open: list[tuple[str, Node, bool]] = [("#", self.root, True)]  # every open element, the block element it adds to, if seen
+        self.ending = False
+
+    def close(self):
+        self.ending = True
+        super().close()
+
+    def _or_rest(self, end: int, at: int) -> int:
+        """Where a tag ends; one that the end of the page cuts off takes what is left."""
+        return len(self.rawdata) if end < 0 and self.ending and self.rawdata.find(">", at) < 0 else end
+
+    def parse_starttag(self, i):
+        return self._or_rest(super().parse_starttag(i), i)
+
+    def parse_endtag(self, i):
+        return self._or_rest(super().parse_endtag(i), i)
+
+    def parse_html_declaration(self, i):
+        return self._or_rest(super().parse_html_declaration(i), i)
+
+    def parse_pi(self, i):
+        return self._or_rest(super().parse_pi(i), i)
+
+    def parse_comment(self, i, report=1):
+        """Called only where a comment can begin; one without an end reaches to the end of the page."""
+        found = COMMENT.match(self.rawdata, i)
+        return found.end() if found else len(self.rawdata) if self.ending else -1
 
     def handle_starttag(self, tag, attrs):
-        if self.unseen:
-            self.unseen += tag in UNSEEN and tag not in VOID
-            return
+        if not self.open[-1][2]:
+            self._leave(tag)
         if tag in VOID:
-            self._text(" ") if tag not in BLOCK else self._block(tag, attrs, False)
-            return
-        if tag in UNSEEN:
-            self.unseen = 1
+            if self.open[-1][2]:
+                self._text(" ") if tag not in BLOCK else self._block(tag, attrs, False)
             return
         if tag in BLOCK:
             self._end({"p"}, LISTS | {"table"}) if tag != "p" or self._has("p") else None
         if tag in ENDS:
             self._end(ENDS[tag], LISTS)
-        if tag in BLOCK:
+        seen = self.open[-1][2] and tag not in UNSEEN
+        if tag in BLOCK and seen:
             self._block(tag, attrs, True)
         else:
             if tag in ("td", "th"):
                 self._text(" ")
-            self.open.append((tag, self.open[-1][1]))
+            self.open.append((tag, self.open[-1][1], seen))
+
+    def _leave(self, tag: str) -> None:
+        """Ends the outermost unseen element that cannot hold ``tag``."""
+        first = len(self.open)
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at][2] or self.open[at][0] in SHUT:
+                break
+            if tag in LEFT_BY.get(self.open[at][0], ()):
+                first = at
+        del self.open[first:]
 
     def _has(self, tag: str) -> bool:
-        return any(t == tag for t, _ in self.open)
+        return any(t == tag for t, *_ in self.open)
 
     def _block(self, tag, attrs, stays: bool) -> None:
         parent = self.open[-1][1]
         if len(self.open) > DEPTH:
             parent.parts.append(None)
             if stays:
-                self.open.append((tag, parent))
+                self.open.append((tag, parent, True))
             return
         given = {k: v or "" for k, v in attrs}
         names = NAMES.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
@@ -104,7 +145,7 @@ class _Builder(HTMLParser):
             node.named_side = True
         parent.parts.append(node)
         if stays:
-            self.open.append((tag, node))
+            self.open.append((tag, node, True))
 
     def _end(self, tags, stop) -> None:
         """Closes the innermost open element among ``tags`` unless one of ``stop`` is opened inside it."""
@@ -113,40 +154,29 @@ class _Builder(HTMLParser):
             if tag in tags:
                 del self.open[at:]
                 return
-            if tag in stop or (tag in BLOCK and tag not in ("p", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt")):
+            if tag in stop or (tag in UNSEEN and tag != "option") or (tag in BLOCK and tag not in ("p", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt")):
                 return
 
     def handle_endtag(self, tag):
-        if self.unseen:
-            self.unseen -= tag in UNSEEN
-            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] == tag:
                 del self.open[at:]
                 return
-            if self.open[at][0] in BLOCK and tag not in BLOCK:
+            if self.open[at][0] in SHUT or (self.open[at][0] in BLOCK and tag not in BLOCK and tag not in UNSEEN):
                 return
 
     def handle_data(self, data):
-        if not self.unseen:
-            self._text(data)
+        self._text(data)
 
     def _text(self, data: str) -> None:
-        self.open[-1][1].parts.append(data)
-
-
-def _whole(html: str) -> str:
-    """Without a tag or comment that the end cuts off."""
-    last = html.rfind("<")
-    if last > html.rfind(">") and html[last + 1 : last + 2].isalpha() | (html[last + 1 : last + 2] in ("/", "!", "?", "")):
-        html = html[:last]
-    opened = html.rfind("<!--")
-    return html[:opened] if opened >= 0 and html.find("-->", opened) < 0 else html
+        _, node, seen = self.open[-1]
+        if seen:
+            node.parts.append(data)
 
 
 def parse(html: str) -> Node:
     builder = _Builder()
-    builder.feed(_whole(html))
+    builder.feed(html)
     builder.close()
     return builder.root
 

@@ -359,6 +359,20 @@ def test_deep_and_broken_pages_do_not_fail():
         assert html_tree.blocks(root) or page.startswith("<![")
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<head><title>T</title><body>", "<html><head><meta charset=utf-8><title>T</title>", "<select><option>a<option>b</select>",
+        "<select><optgroup><option>a<optgroup><option>b</select>", "<div><select><option>a</div>", "<div><button>x</div>", "<div><video src=v>x</div>",
+        "<select><option>a", "<ul><li><option>x<li></ul>", "<button>x", "<svg><path>", "<noscript><div>x</noscript>", '<script>var s="<!--"</script>', '<p title="<!--"></p>',
+        "<!--><!-- x --!>", "<template></div><p>x</template>", "<object><select><option>x</object>",
+    ],
+)
+@pytest.mark.parametrize("after", ["", "</html><!-- cut", "<a title='<!--' href=", "<script>var s='<!--'"])
+def test_unseen_elements_end_where_html_ends_them(before, after):
+    assert wrappers.main_text(f"{before}<article><p>All</p></article>{after}", set()) == "All"
+
+
 # lines
 
 
