@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -23,6 +25,8 @@ SIDE_NAMES = frozenset(
     "promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription toolbar topbar widget widgets".split()
 )
+#: Among these, names of what holds a heading of the whole site.
+SITE_NAMES = frozenset("banner masthead menu nav navbar navigation topbar".split())
 #: An element on the left ends an open one on the right.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -181,45 +185,128 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def _holds_main(root: Node) -> set[Node]:
-    """Elements that contain a main region or the page's first heading: no name makes these something else."""
-    out: set[Node] = set()
-    waiting = [root]
+def _tag(node: Node) -> str:
+    return node.label.split(".", 1)[0]
+
+
+def _above(node: Node | None) -> Iterator[Node]:
+    """The element and all that it is in."""
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _preorder(root: Node) -> list[Node]:
+    out, waiting = [], [root]
     while waiting:
-        node = waiting.pop()
-        if node.main or node.label.split(".")[0] == "h1":
-            up = node if node.main else node.parent
-            while up is not None and up not in out:
-                out.add(up)
-                up = up.parent
-        waiting.extend(p for p in node.parts if isinstance(p, Node))
+        out.append(node := waiting.pop())
+        waiting.extend(p for p in reversed(node.parts) if isinstance(p, Node))
     return out
 
 
+def _of_site(heading: Node) -> bool:
+    """Whether a heading stands in the header of the site, not of an article."""
+    above = list(_above(heading))
+    if any(n.main for n in above):
+        return False
+    return any(_tag(n) == "header" or not SITE_NAMES.isdisjoint(n.label.split(".")[1:]) for n in above if _tag(n) != "body")
+
+
+def _holders(order: list[Node]) -> tuple[set[Node], Node | None]:
+    """Elements that no name makes something else, and the page's heading.
+
+    These hold the page's heading or a main element; also an article with more than half of the text, if it has a heading of its own
+    or the page has neither.
+    """
+    shut: set[Node] = set()
+    for node in order:
+        if node.side or node.parent in shut:
+            shut.add(node)
+    inside = [n for n in order if n not in shut]
+    headings = [n for n in inside if _tag(n) == "h1"]
+    heading = next((n for n in headings if not _of_site(n)), headings[0] if headings else None)
+    mains = [n for n in inside if n.main and _tag(n) != "article"]
+    out = {up for n in mains for up in _above(n)}
+    if heading:
+        out.update(_above(heading.parent))
+    named = [n for n in inside if _tag(n) == "article" and any(up.named_side for up in _above(n))]
+    if named and (not out or len(headings) > 1):
+        chars: dict[Node, int] = {}
+        for node in reversed(inside):
+            own = sum(chars[p] if isinstance(p, Node) else len(p.strip()) for p in node.parts if isinstance(p, str) or p in chars)
+            chars[node] = own
+        own_heading = {up for n in headings for up in _above(n.parent)}
+        for node in named:
+            if 2 * chars[node] > chars[inside[0]] and (not out or node in own_heading):
+                out.update(_above(node))
+                break
+    return out, heading
+
+
+def _region(found: list[Block], tops: list[tuple[Node | None, Node | None]], heading: Node | None) -> list[bool]:
+    """Which blocks are inside the main region; none if no marked element is known to hold the page's article.
+
+    ``tops`` has the outermost main element of each block, and its outermost main or article.
+    """
+    sizes = [0 if b.side else len(b.text) for b in found]
+    above = set(_above(heading))
+    title = sum(n for n, b in zip(sizes, found, strict=True) if heading and heading in (b.node, b.node.parent))
+    in_main = sum(n for n, (main, _) in zip(sizes, tops, strict=True) if main)
+    each: Counter[Node] = Counter()
+    for n, (_, top) in zip(sizes, tops, strict=True):
+        if top:
+            each[top] += n
+    total, marked = sum(sizes), sum(each.values())
+    if in_main and (2 * in_main > total or (any(main in above for main, _ in tops if main) and in_main > title and 2 * in_main > marked)):
+        return [main is not None for main, _ in tops]
+    if marked > title and not above.isdisjoint(each):
+        return [top is not None for _, top in tops]
+    if each and 2 * max(each.values()) > total and (heading is None or _of_site(heading)):
+        return [top is not None for _, top in tops]
+    return [False] * len(found)
+
+
 def blocks(root: Node) -> list[Block]:
     """All blocks of text in page order, white space turned into single spaces."""
-    protected = _holds_main(root)
+    order = _preorder(root)
+    held, heading = _holders(order)
+    state: dict[Node | None, tuple] = {None: (False, None, None)}  # side, outermost main element, outermost main or article
+    for node in order:
+        side, main, top = state[node.parent]
+        named = node.named_side and node not in held and not (top and _tag(node) == "header")
+        side = side or node.side or named
+        if node.main and not side:
+            top = top or node
+            if _tag(node) != "article":
+                main = main or node
+        state[node] = side, main, top
     out: list[Block] = []
+    tops: list[tuple[Node | None, Node | None]] = []
+    pending: list[str] = []
 
-    def flush(pending: list[str], node: Node, main: bool, side: bool) -> None:
+    def flush(node: Node) -> None:
         if pending and (text := " ".join("".join(pending).split())):
-            out.append(Block(node, text, main, side))
+            side, main, top = state[node]
+            out.append(Block(node, text, False, side))
+            tops.append((main, top))
         pending.clear()
 
-    def visit(node: Node, main: bool, side: bool) -> None:
-        named = node.named_side and node not in protected and not (main and node.label.split(".")[0] == "header")
-        main, side = main or node.main, side or node.side or named
-        pending: list[str] = []
-        for part in node.parts:
+    waiting = [(root, iter(root.parts))]
+    while waiting:
+        node, parts = waiting[-1]
+        for part in parts:
             if isinstance(part, str):
                 pending.append(part)
-            else:
-                flush(pending, node, main, side)
-                if part is not None:
-                    visit(part, main, side)
-        flush(pending, node, main, side)
-
-    visit(root, False, False)
+                continue
+            flush(node)
+            if part is not None:
+                waiting.append((part, iter(part.parts)))
+                break
+        else:
+            flush(node)
+            waiting.pop()
+    for block, main in zip(out, _region(out, tops, heading), strict=True):
+        block.main = main
     return out
 
 

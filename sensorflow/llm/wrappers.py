@@ -6,9 +6,10 @@ template; slots whose text varies are content. Pages with the same text count on
 a template. Every page votes; the votes are hashes that are summed before the shuffle, so a host with a third of all pages is
 rows like any others.
 
-Elements that HTML itself marks are believed: scripts, forms, menus, asides, footers and the like are never content, and where a
-page has an article or a main element, content is inside it; there a text is template only if nearly all of many different pages have
-it. Null and empty pages have no text. A null URL, or one without ``://``, is the host of empty name. Equal rows get equal
+Elements that HTML itself marks are believed: scripts, forms, menus, asides, footers and the like are never content, and where main
+or article elements hold the page's first heading, or one of them most of its text, content is inside them; there a text is template
+only if nearly all of many different pages have it. An article with the name of something else, or in an element with one that holds
+neither the heading nor a main element, is something else. Where no marked element holds the page's article, all blocks can be content. Null and empty pages have no text. A null URL, or one without ``://``, is the host of empty name. Equal rows get equal
 texts. Ties between equally common trees go to the least hash. An empty table stays empty; extra columns pass through ``extracted``.
 """
 

@@ -373,6 +373,31 @@ def test_unseen_elements_end_where_html_ends_them(before, after):
     assert wrappers.main_text(f"{before}<article><p>All</p></article>{after}", set()) == "All"
 
 
+COMMENTS = "<section id=comments><article class=comment><p>Nice, and longer than the article itself.</p></article></section>"
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f"<div class=post><h1>Title</h1><p>Body</p></div>{COMMENTS}", "Title\nBody"),
+        (f"<main><h1>Title</h1><p>Body</p></main>{COMMENTS}", "Title\nBody"),
+        (f"<main><h1>Title</h1><p>Body</p>{COMMENTS}</main>", "Title\nBody"),
+        (f"<article><h1>Title</h1><p>Body</p>{COMMENTS}</article>", "Title\nBody"),
+        ("<div class=post><h1>Title</h1><p>Body</p></div><div class=x><article>One</article><article>Two</article></div>", "Title\nBody\nOne\nTwo"),
+        ("<div class=post><h1>Title</h1><p>Body</p></div><section class=related><h1>More</h1><article>One</article></section>", "Title\nBody"),
+        ("<div class='page has-comments'><article><p>Body</p></article></div>", "Body"),
+        ("<header><h1>Site</h1></header><article class='post comments-open'><h1>Title</h1><p>Body</p></article>", "Title\nBody"),
+        ("<header><h1>Site</h1></header><article><h2>Title</h2><p>Body</p></article>", "Title\nBody"),
+        ("<div class=logo><h1>Site</h1></div><article class='post comments-open'><h1>Title</h1><p>Body</p></article>", "Site\nTitle\nBody"),
+        ("<article><h1>Title</h1><p>Body</p></article><article><p>More of it</p></article><div>Else</div>", "Title\nBody\nMore of it"),
+        ("<main></main><div><h1>Title</h1><p>Body</p></div>", "Title\nBody"),
+        ("<article><h1>Title</h1></article><div><p>Body</p></div>", "Title\nBody"),
+    ],
+)
+def test_main_region_is_the_one_that_holds_the_article(page, wanted):
+    assert wrappers.main_text(page, set()) == wanted
+
+
 # lines
 
 
