@@ -6,7 +6,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html.parser import HTMLParser
 
 #: Elements of HTML by their role here.
@@ -41,7 +40,7 @@ LEFT_BY = {
 #: Inside these, what would end an element outside does not.
 SHUT = frozenset({"template", "foreignobject"})
 COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.DOTALL)
-DEPTH = 200
+LEAVES = {tag: [left for left, by in LEFT_BY.items() if tag in by] for tag in BLOCK | {"input", "select", "textarea", "button"}}
 NAMES = re.compile(r"[a-z0-9]+")
 
 
@@ -49,6 +48,7 @@ NAMES = re.compile(r"[a-z0-9]+")
 class Node:
     """A block element; ``parts`` are its children in order, text as strings."""
 
+    tag: str
     label: str
     main: bool
     side: bool
@@ -70,8 +70,9 @@ class Block:
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#", False, False, False)
+        self.root = Node("#", "#", False, False, False)
         self.open: list[tuple[str, Node, bool]] = [("#", self.root, True)]  # every open element, the block element it adds to, if seen
+        self.times = Counter()  # open elements by name
         self.ending = False
 
     def close(self):
@@ -100,14 +101,14 @@ class _Builder(HTMLParser):
         return found.end() if found else len(self.rawdata) if self.ending else -1
 
     def handle_starttag(self, tag, attrs):
-        if not self.open[-1][2]:
+        if not self.open[-1][2] and any(self.times[left] for left in LEAVES.get(tag, ())):
             self._leave(tag)
         if tag in VOID:
             if self.open[-1][2]:
                 self._text(" ") if tag not in BLOCK else self._block(tag, attrs, False)
             return
         if tag in BLOCK:
-            self._end({"p"}, LISTS | {"table"}) if tag != "p" or self._has("p") else None
+            self._end({"p"}, LISTS | {"table"}) if tag != "p" or self.times["p"] else None
         if tag in ENDS:
             self._end(ENDS[tag], LISTS)
         seen = self.open[-1][2] and tag not in UNSEEN
@@ -116,7 +117,7 @@ class _Builder(HTMLParser):
         else:
             if tag in ("td", "th"):
                 self._text(" ")
-            self.open.append((tag, self.open[-1][1], seen))
+            self._open(tag, self.open[-1][1], seen)
 
     def _leave(self, tag: str) -> None:
         """Ends the outermost unseen element that cannot hold ``tag``."""
@@ -126,45 +127,51 @@ class _Builder(HTMLParser):
                 break
             if tag in LEFT_BY.get(self.open[at][0], ()):
                 first = at
-        del self.open[first:]
+        self._cut(first)
 
-    def _has(self, tag: str) -> bool:
-        return any(t == tag for t, *_ in self.open)
+    def _open(self, tag: str, node: Node, seen: bool) -> None:
+        self.open.append((tag, node, seen))
+        self.times[tag] += 1
+
+    def _cut(self, at: int) -> None:
+        """Closes the elements from place ``at`` on."""
+        for tag, *_ in self.open[at:]:
+            self.times[tag] -= 1
+        del self.open[at:]
 
     def _block(self, tag, attrs, stays: bool) -> None:
         parent = self.open[-1][1]
-        if len(self.open) > DEPTH:
-            parent.parts.append(None)
-            if stays:
-                self.open.append((tag, parent, True))
-            return
         given = {k: v or "" for k, v in attrs}
         names = NAMES.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
         role = given.get("role", "").lower()
         named = bool(SIDE_NAMES.intersection(names)) or ("header" in names and tag != "article")
         label = ".".join([tag, *sorted({re.sub("[0-9]+", "#", n) for n in names})])
-        node = Node(label, tag in MAIN or role == "main", tag in SIDE or hidden or role in SIDE_ROLES, named and tag not in ("html", "body", "main"), parent)
+        node = Node(tag, label, tag in MAIN or role == "main", tag in SIDE or hidden or role in SIDE_ROLES, named and tag not in ("html", "body", "main"), parent)
         if tag == "header":
             node.named_side = True
         parent.parts.append(node)
         if stays:
-            self.open.append((tag, node, True))
+            self._open(tag, node, True)
 
     def _end(self, tags, stop) -> None:
         """Closes the innermost open element among ``tags`` unless one of ``stop`` is opened inside it."""
+        if not any(self.times[tag] for tag in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at][0]
             if tag in tags:
-                del self.open[at:]
+                self._cut(at)
                 return
             if tag in stop or (tag in UNSEEN and tag != "option") or (tag in BLOCK and tag not in ("p", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt")):
                 return
 
     def handle_endtag(self, tag):
+        if not self.times[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] == tag:
-                del self.open[at:]
+                self._cut(at)
                 return
             if self.open[at][0] in SHUT or (self.open[at][0] in BLOCK and tag not in BLOCK and tag not in UNSEEN):
                 return
@@ -185,10 +192,6 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def _tag(node: Node) -> str:
-    return node.label.split(".", 1)[0]
-
-
 def _above(node: Node | None) -> Iterator[Node]:
     """The element and all that it is in."""
     while node is not None:
@@ -204,46 +207,53 @@ def _preorder(root: Node) -> list[Node]:
     return out
 
 
-def _of_site(heading: Node) -> bool:
-    """Whether a heading stands in the header of the site, not of an article."""
-    above = list(_above(heading))
-    if any(n.main for n in above):
-        return False
-    return any(_tag(n) == "header" or not SITE_NAMES.isdisjoint(n.label.split(".")[1:]) for n in above if _tag(n) != "body")
+def _add(held: set[Node], node: Node | None) -> None:
+    for up in _above(node):
+        if up in held:
+            return
+        held.add(up)
 
 
-def _holders(order: list[Node]) -> tuple[set[Node], Node | None]:
-    """Elements that no name makes something else, and the page's heading.
+def _holders(order: list[Node]) -> tuple[set[Node], Node | None, bool]:
+    """Elements that no name makes something else, the page's heading, and whether it stands in the header of the site.
 
     These hold the page's heading or a main element; also an article with more than half of the text, if it has a heading of its own
     or the page has neither.
     """
-    shut: set[Node] = set()
+    inside: list[Node] = []
+    named: set[Node] = set()
+    flags: dict[Node | None, tuple] = {None: (False, False, False, False)}
     for node in order:
-        if node.side or node.parent in shut:
-            shut.add(node)
-    inside = [n for n in order if n not in shut]
-    headings = [n for n in inside if _tag(n) == "h1"]
-    heading = next((n for n in headings if not _of_site(n)), headings[0] if headings else None)
-    mains = [n for n in inside if n.main and _tag(n) != "article"]
-    out = {up for n in mains for up in _above(n)}
+        shut, name, site, marked = flags[node.parent]
+        shut, name, marked = shut or node.side, name or node.named_side, marked or node.main
+        site = site or node.tag == "header" or (node.named_side and node.tag != "body" and not SITE_NAMES.isdisjoint(node.label.split(".")[1:]))
+        flags[node] = shut, name, site, marked
+        if not shut:
+            inside.append(node)
+            if name and node.tag == "article":
+                named.add(node)
+    headings = [n for n in inside if n.tag == "h1"]
+    of_site = {n for n in headings if flags[n][2] and not flags[n][3]}
+    heading = next((n for n in headings if n not in of_site), headings[0] if headings else None)
+    held: set[Node] = set()
+    for node in inside:
+        if node.main and node.tag != "article":
+            _add(held, node)
     if heading:
-        out.update(_above(heading.parent))
-    named = [n for n in inside if _tag(n) == "article" and any(up.named_side for up in _above(n))]
-    if named and (not out or len(headings) > 1):
+        _add(held, heading.parent)
+    if named and (not held or len(headings) > 1):
         chars: dict[Node, int] = {}
         for node in reversed(inside):
-            own = sum(chars[p] if isinstance(p, Node) else len(p.strip()) for p in node.parts if isinstance(p, str) or p in chars)
-            chars[node] = own
-        own_heading = {up for n in headings for up in _above(n.parent)}
-        for node in named:
-            if 2 * chars[node] > chars[inside[0]] and (not out or node in own_heading):
-                out.update(_above(node))
-                break
-    return out, heading
+            chars[node] = sum(len(p.strip()) if isinstance(p, str) else chars.get(p, 0) for p in node.parts)
+        with_heading: set[Node] = set()
+        for node in headings:
+            _add(with_heading, node.parent)
+        most = (n for n in inside if n in named and 2 * chars[n] > chars[inside[0]] and (not held or n in with_heading))
+        _add(held, next(most, None))
+    return held, heading, heading in of_site
 
 
-def _region(found: list[Block], tops: list[tuple[Node | None, Node | None]], heading: Node | None) -> list[bool]:
+def _region(found: list[Block], tops: list[tuple[Node | None, Node | None]], heading: Node | None, of_site: bool) -> list[bool]:
     """Which blocks are inside the main region; none if no marked element is known to hold the page's article.
 
     ``tops`` has the outermost main element of each block, and its outermost main or article.
@@ -261,7 +271,7 @@ def _region(found: list[Block], tops: list[tuple[Node | None, Node | None]], hea
         return [main is not None for main, _ in tops]
     if marked > title and not above.isdisjoint(each):
         return [top is not None for _, top in tops]
-    if each and 2 * max(each.values()) > total and (heading is None or _of_site(heading)):
+    if each and 2 * max(each.values()) > total and (heading is None or of_site):
         return [top is not None for _, top in tops]
     return [False] * len(found)
 
@@ -269,15 +279,15 @@ def _region(found: list[Block], tops: list[tuple[Node | None, Node | None]], hea
 def blocks(root: Node) -> list[Block]:
     """All blocks of text in page order, white space turned into single spaces."""
     order = _preorder(root)
-    held, heading = _holders(order)
+    held, heading, of_site = _holders(order)
     state: dict[Node | None, tuple] = {None: (False, None, None)}  # side, outermost main element, outermost main or article
     for node in order:
         side, main, top = state[node.parent]
-        named = node.named_side and node not in held and not (top and _tag(node) == "header")
+        named = node.named_side and node not in held and not (top and node.tag == "header")
         side = side or node.side or named
         if node.main and not side:
             top = top or node
-            if _tag(node) != "article":
+            if node.tag != "article":
                 main = main or node
         state[node] = side, main, top
     out: list[Block] = []
@@ -299,78 +309,133 @@ def blocks(root: Node) -> list[Block]:
                 pending.append(part)
                 continue
             flush(node)
-            if part is not None:
-                waiting.append((part, iter(part.parts)))
-                break
+            waiting.append((part, iter(part.parts)))
+            break
         else:
             flush(node)
             waiting.pop()
-    for block, main in zip(out, _region(out, tops, heading), strict=True):
+    for block, main in zip(out, _region(out, tops, heading, of_site), strict=True):
         block.main = main
     return out
 
 
-Skeleton = tuple  # (label, children): equal neighbours are one child
+Skeleton = list  # [label, size] of each element in preorder; equal neighbours are one element
 
 
-def skeleton(root: Node) -> tuple[Skeleton, dict[Node, int]]:
-    """The tree of labels, and each element's slot: its place in preorder, the same for equal neighbours."""
-    shapes: dict[Node, Skeleton] = {}
+class _Shapes:
+    """Numbers of trees: equal trees have one number."""
 
-    def shape(node: Node) -> Skeleton:
-        children: list[Skeleton] = []
-        for part in node.parts:
-            if isinstance(part, Node):
-                found = shape(part)
-                if not children or children[-1] != found:
-                    children.append(found)
-        shapes[node] = (node.label, tuple(children))
-        return shapes[node]
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.labels: list[str] = []
+        self.children: list[tuple[int, ...]] = []
+        self.sizes: list[int] = []
+
+    def number(self, label: str, children: tuple[int, ...]) -> int:
+        found = self.numbers.setdefault((label, children), len(self.labels))
+        if found == len(self.labels):
+            self.labels.append(label)
+            self.children.append(children)
+            self.sizes.append(1 + sum(self.sizes[c] for c in children))
+        return found
+
+    def of(self, tree: Skeleton) -> int:
+        done: dict[int, int] = {}
+        for at in range(len(tree) - 1, -1, -1):
+            label, size = tree[at]
+            children, child = [], at + 1
+            while child < at + size:
+                children.append(done[child])
+                child += tree[child][1]
+            done[at] = self.number(label, tuple(children))
+        return done[0]
+
+    def starts(self, shape: int, at: int) -> list[int]:
+        out, following = [], at + 1
+        for child in self.children[shape]:
+            out.append(following)
+            following += self.sizes[child]
+        return out
 
-    slots: dict[Node, int] = {}
 
-    def number(node: Node, slot: int) -> None:
-        slots[node] = slot
-        following, last, at = slot + 1, None, 0
+def skeleton(root: Node) -> tuple[Skeleton, dict[Node, int]]:
+    """The tree of labels, and each element's slot: its place in preorder, the same for equal neighbours."""
+    shapes, order = _Shapes(), _preorder(root)
+    of: dict[Node, int] = {}
+    for node in reversed(order):
+        children: list[int] = []
+        for part in node.parts:
+            if isinstance(part, Node) and (not children or children[-1] != of[part]):
+                children.append(of[part])
+        of[node] = shapes.number(node.label, tuple(children))
+    slots = {root: 0}
+    for node in order:
+        following, last, at = slots[node] + 1, None, 0
         for part in node.parts:
             if isinstance(part, Node):
-                if shapes[part] != last:
-                    at, last = following, shapes[part]
-                    following += _size(last)
-                number(part, at)
-
-    shape(root)
-    number(root, 0)
-    return shapes[root], slots
+                if of[part] != last:
+                    at, last = following, of[part]
+                    following += shapes.sizes[last]
+                slots[part] = at
+    tree, waiting = [], [of[root]]
+    while waiting:
+        shape = waiting.pop()
+        tree.append([shapes.labels[shape], shapes.sizes[shape]])
+        waiting.extend(reversed(shapes.children[shape]))
+    return tree, slots
 
 
-@lru_cache(maxsize=4096)
-def _size(tree: Skeleton) -> int:
-    return 1 + sum(_size(child) for child in tree[1])
+def _flat(tree: tuple) -> Skeleton:
+    """The skeleton of a tree given as (label, children)."""
+    out, waiting = [], [(tree, False)]
+    open_at: list[int] = []
+    while waiting:
+        (label, children), left = waiting.pop()
+        if left:
+            at = open_at.pop()
+            out[at][1] = len(out) - at
+        else:
+            open_at.append(len(out))
+            out.append([label, 1])
+            waiting.append(((label, children), True))
+            waiting.extend((child, False) for child in reversed(children))
+    return out
 
 
-def match(one: Skeleton, two: Skeleton) -> dict[int, int]:
+def match(one: Skeleton | tuple, two: Skeleton | tuple) -> dict[int, int]:
     """Simple tree matching: the largest order-preserving match of the two trees, as slots of one to slots of two."""
-    best: dict[tuple[Skeleton, Skeleton], tuple[int, list]] = {}
-
-    def weight(a: Skeleton, b: Skeleton) -> int:
-        if a[0] != b[0]:
-            return 0
-        if (a, b) not in best:
-            table = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
-            for i, x in enumerate(a[1], 1):
-                for j, y in enumerate(b[1], 1):
-                    table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + weight(x, y))
-            best[a, b] = 1 + table[-1][-1], table
-        return best[a, b][0]
+    shapes = _Shapes()
+    first, second = (shapes.of(_flat(tree) if isinstance(tree, tuple) else tree) for tree in (one, two))
+    labels, children = shapes.labels, shapes.children
+    if labels[first] != labels[second]:
+        return {}
+    best: dict[tuple[int, int], tuple[int, list]] = {}
+    waiting = [(first, second)]
+    while waiting:
+        a, b = pair = waiting[-1]
+        if pair in best:
+            waiting.pop()
+            continue
+        needed = {(x, y) for x in children[a] for y in children[b] if labels[x] == labels[y] and (x, y) not in best}
+        if needed:
+            waiting.extend(needed)
+            continue
+        table = [[0] * (len(children[b]) + 1) for _ in range(len(children[a]) + 1)]
+        for i, x in enumerate(children[a], 1):
+            for j, y in enumerate(children[b], 1):
+                both = best[x, y][0] if labels[x] == labels[y] else 0
+                table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + both)
+        best[pair] = 1 + table[-1][-1], table
+        waiting.pop()
 
     out: dict[int, int] = {}
-
-    def collect(a: Skeleton, b: Skeleton, at: int, bt: int) -> None:
+    taken = [(first, second, 0, 0)]
+    while taken:
+        a, b, at, bt = taken.pop()
         out[at] = bt
         table = best[a, b][1]
-        starts_a, starts_b = _starts(a, at), _starts(b, bt)
-        i, j = len(a[1]), len(b[1])
+        starts_a, starts_b = shapes.starts(a, at), shapes.starts(b, bt)
+        i, j = len(children[a]), len(children[b])
         while i and j:
             if table[i][j] == table[i - 1][j]:
                 i -= 1
@@ -378,16 +443,5 @@ def match(one: Skeleton, two: Skeleton) -> dict[int, int]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                collect(a[1][i], b[1][j], starts_a[i], starts_b[j])
-
-    if weight(one, two):
-        collect(one, two, 0, 0)
-    return out
-
-
-def _starts(tree: Skeleton, at: int) -> list[int]:
-    out, following = [], at + 1
-    for child in tree[1]:
-        out.append(following)
-        following += _size(child)
+                taken.append((children[a][i], children[b][j], starts_a[i], starts_b[j]))
     return out

@@ -40,10 +40,16 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _path(node: H.Node, known: dict[H.Node, str]) -> str:
-    if node not in known:
-        known[node] = f"{_path(node.parent, known)}/{node.label}" if node.parent else ""
-    return known[node]
+def _path(node: H.Node, known: dict[H.Node, int]) -> int:
+    """A hash of the labels from the root to a node."""
+    new = []
+    while node.parent and node not in known:
+        new.append(node)
+        node = node.parent
+    path = known.get(node, 0)
+    for node in reversed(new):
+        known[node] = path = _hash(f"{path}/{node.label}")
+    return path
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,19 +65,15 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree, page = _hash(text), _hash("\n".join(b.text for b in found if not b.side))
             rows.append((host, tree, text, -1, 0, 0, False, page))
             paths: dict = {}
-            seen = {(slots[b.node], _hash(_path(b.node, paths)), _hash(b.text), b.main) for b in found if not b.side}
+            seen = {(slots[b.node], _path(b.node, paths), _hash(b.text), b.main) for b in found if not b.side}
             rows.extend((host, tree, None, slot, path, words, main, page) for slot, path, words, main in seen)
         columns = zip(*rows, strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _tuples(tree: list) -> tuple:
-    return tree[0], tuple(_tuples(child) for child in tree[1])
-
-
 @lru_cache(maxsize=1024)
 def _aligned(shape: str, reference: str) -> dict[int, int]:
-    return H.match(_tuples(json.loads(shape)), _tuples(json.loads(reference)))
+    return H.match(json.loads(shape), json.loads(reference))
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +121,7 @@ def main_text(html: str | None, template: set[tuple[int, int]]) -> str:
         found = [b for b in found if b.main]
     if template:
         paths: dict = {}
-        found = [b for b in found if (_hash(_path(b.node, paths)), _hash(b.text)) not in template]
+        found = [b for b in found if (_path(b.node, paths), _hash(b.text)) not in template]
     return "\n".join(b.text for b in found)
 
 

@@ -398,6 +398,19 @@ def test_main_region_is_the_one_that_holds_the_article(page, wanted):
     assert wrappers.main_text(page, set()) == wanted
 
 
+@pytest.mark.parametrize("depth", [300, 20_000])
+def test_elements_below_many_open_ones_keep_their_role(depth):
+    inside = "<nav>Menu</nav><div class=share>Share</div><article><h1>Title</h1><p>Body</p></article>"
+    page = "<article><p>Other</p></article>" + "<div><b>" * depth + inside
+    assert wrappers.main_text(page, set()) == "Other\nTitle\nBody"
+    root = html_tree.parse("<p>x</p>" + "<div>" * depth + inside)
+    shape, slots = html_tree.skeleton(root)
+    assert len(shape) == len(set(slots.values())) == depth + 7
+    assert html_tree.match(shape, shape) == {slot: slot for slot in slots.values()}
+    last = html_tree.blocks(root)[-1].node
+    assert wrappers._path(last, {}) != wrappers._path(last.parent, {})
+
+
 # lines
 
 
