@@ -467,5 +467,37 @@ def test_training_beats_the_counts():
     assert attention.log10_probabilities(trainer.model, ids, lengths, 30).sum() > before + 0.1 * len(ids)
 
 
+def test_context_of_many_ids_tells_ids_of_one_class_apart():
+    draw = np.random.default_rng(3)
+
+    def texts(n: int) -> np.ndarray:
+        """Each text repeats its own id at its end, 30 ids after it stood first; all ids between are noise."""
+        own = draw.integers(0, 8, (n, 1))
+        return np.hstack([own, 8 + draw.integers(0, 2, (n, 30)), np.full((n, 1), 16), own, np.full((n, 1), 17)])
+
+    train, held = texts(3000), texts(300)
+    counts = np.bincount(train.reshape(-1), minlength=400)
+    trainer = attention.Trainer(attention.fresh(counts), 0.3)
+    for ids in np.split(train, 150):
+        trainer.step(ids.reshape(-1), np.full(len(ids), ids.shape[1]), 17)
+
+    def until(end: int) -> float:
+        return attention.log10_probabilities(trainer.model, held[:, :end].reshape(-1), np.full(len(held), end), 17).mean()
+
+    assert until(33) - until(32) > 0.5 * math.log10(1 / 8)
+
+
+def test_held_out_texts_score_better_than_their_ids_counted(spark):
+    words = [f"{a}{b}" for a in "bcdfgklm" for b in ("ana", "eru", "ilo")]
+    rows = [(i, " ".join(words[(i + 5 * k) % 24] for k in range(200))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in language.scored(docs).collect()}
+    subwords = language.coder(*language.tokenizer_path())
+    ids = {i: np.array(subwords.encode(t)) for i, t in rows}
+    counts = np.bincount(np.concatenate([x for i, x in ids.items() if not language.held_out(i)]), minlength=subwords.vocabulary) + 1
+    held = [i for i in ids if language.held_out(i)]
+    assert sum(got[i] for i in held) > 0.6 * sum(np.log10(counts[ids[i]] / counts.sum()).sum() for i in held)
+
+
 def test_no_documents(empty):
     assert language.scored(empty).count() == 0
