@@ -1,14 +1,15 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of reference blocks.
+"""Substring dedup by counts of content-chosen blocks, then of single windows, in the place of a relative Lempel-Ziv parse.
 
 A window is ``size`` consecutive words. Its anchor is the run of ``SEED`` words in it with the least hash, so equal windows have
 equal anchors at equal places. The windows that share one anchor in a text, together, are a block; the index holds each
-different block once, with its number of occurrences and the first of them as its reference. Parsing a text against the index
-is greedy: each block found again is copied whole, and neighbouring copies from one reference are one factor.
-
-A factor may end inside a block that is itself new. There the windows are checked one by one: those of blocks that occur once
-but whose anchor is known elsewhere, against those of the reference blocks with that anchor. A window is repeated if it occurs
-in two places, so nothing is lost and no two occurrences are ever paired with each other; all counts are summed before the
-shuffle. Hashes of blocks and windows have 128 bits.
+different block once, with its number of occurrences and the first of them. All windows of a block that occurs twice are repeated.
+No text is parsed and no factor (reference, place, length) is made: what is removed are the words of repeated windows, and for these
+only whether a window occurs elsewhere matters, not from where and how far it could be copied.
+
+A block that occurs once may hold windows that occur elsewhere. There the windows are counted one by one: those of blocks that
+occur once but whose anchor is known elsewhere, with those of the first block of each kind with that anchor. A window is repeated if
+it occurs in two places, so nothing is lost and no two occurrences are ever paired with each other; all counts are summed before
+the shuffle. Hashes of blocks and windows have 128 bits.
 
 Null and empty texts have no words. Windows lie inside one text. Equal rows are separate texts, so each repeats the other.
 Texts shorter than a window have nothing to remove. Ties between equal anchor hashes in a window go to the later place. An
