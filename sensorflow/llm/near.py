@@ -24,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.llm import words as W
@@ -375,9 +375,9 @@ def one_per_class(docs: DataFrame, **how) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "key_1", "key_2"))
     chosen = rows.groupBy("label").agg(least.alias("least")).select("least.key_1", "least.key_2")
     one, two = row_key("key_1", "key_2", "doc_id", "text")
-    kept = packed(docs, "doc_id", "text").select("whole", one, two).join(chosen, ["key_1", "key_2"])
-    order = Window.partitionBy("key_1", "key_2").orderBy(_order(docs))
-    return kept.withColumn("copy", F.row_number().over(order)).where("copy = 1").select("whole.*")
+    copies = packed(docs, "doc_id", "text").select("whole", one, two).groupBy("key_1", "key_2")
+    kept = copies.agg(F.min_by("whole", _order(docs)).alias("whole"))  # one copy a task before the shuffle
+    return kept.join(chosen, ["key_1", "key_2"]).select("whole.*")
 
 
 def _order(docs: DataFrame) -> Column:

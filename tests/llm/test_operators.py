@@ -294,6 +294,15 @@ def test_near_on_odd_rows(docs, empty):
     assert near.class_ids(empty).count() == near.one_per_class(empty).count() == 0
 
 
+def test_copies_of_a_row_are_reduced_before_they_are_shuffled(spark):
+    rows = [(None, "one text", f"s{i}") for i in range(200)] + [(i, f"{text(i, 40)}", "s") for i in range(0, 300, 100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    kept = near.one_per_class(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and "partial_min_by" in plan
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(i), t) for i, t in {(i, t) for i, t, _ in rows})
+
+
 # decontamination
 
 
