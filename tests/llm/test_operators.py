@@ -508,5 +508,21 @@ def test_held_out_texts_score_better_than_their_ids_counted(spark):
     assert sum(got[i] for i in held) > 0.6 * sum(np.log10(counts[ids[i]] / counts.sum()).sum() for i in held)
 
 
+def test_long_texts_have_the_ids_of_the_whole(monkeypatch):
+    subwords = language.coder(*language.tokenizer_path())
+    for value in ("abc  defgh ijk\n lmnop's  qrs " * 9, "x" * 300, " a" * 90):
+        whole = subwords.encode(value)
+        monkeypatch.setattr(language, "PIECE", 7)
+        assert subwords.encode(value) == whole
+        monkeypatch.undo()
+
+
+def test_scores_do_not_depend_on_how_the_documents_are_split(spark):
+    rows = [(i, " ".join(f"w{(i + 5 * k) % 24}" for k in range(60))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one, two = ({r.doc_id: r.score for r in language.scored(docs.repartition(n)).collect()} for n in (1, 5))
+    assert all(math.isclose(one[i], two[i], rel_tol=1e-4) for i in one)
+
+
 def test_no_documents(empty):
     assert language.scored(empty).count() == 0
