@@ -1,12 +1,12 @@
 """DuckDB SQL for the operators that SQL can express, over whole tables.
 
-Line dedup, quality rules, URL rules and vocabulary, and mixing. Token files, near-duplicates, tiling, tree matching and the
+Line dedup, quality rules, URL rules and vocabulary, mixing, and vector codes. Token files, near-duplicates, tiling, tree matching and the
 language model cannot be said in SQL; substring dedup could, but a row per window of every text is too slow on whole tables.
 """
 
 from __future__ import annotations
 
-from sensorflow.llm import mixing, rules, urls
+from sensorflow.llm import codes, mixing, rules, urls
 
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -111,10 +111,45 @@ FROM docs LEFT JOIN taken USING (key) JOIN goal ON docs.source IS NOT DISTINCT F
 """
 
 
+def vector_codes() -> str:
+    """Lloyd's rounds as one step after another; lengths are those of the most common multiple of the parts."""
+    wide = f"(SELECT wide // {codes.PARTS} FROM size)"
+    steps = [f"""
+WITH finite AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS (SELECT len(v) AS wide FROM finite WHERE len(v) > 0 AND len(v) % {codes.PARTS} = 0
+         GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1),
+kept AS (SELECT * FROM finite WHERE len(v) = (SELECT wide FROM size)),
+flat AS (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM kept),
+points AS MATERIALIZED (
+  SELECT r, i // {wide} AS part, i % {wide} AS at,
+         greatest(least(floor({codes.SCALE} * x::DOUBLE), {codes.LIMIT}), -{codes.LIMIT})::BIGINT AS x FROM flat),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM kept),
+book0 AS MATERIALIZED (SELECT part, entry, at, x AS c FROM points JOIN seeds USING (r) WHERE entry < {codes.ENTRIES})"""]
+    for turn in range(codes.ROUNDS + 1):
+        steps.append(f"""
+far{turn} AS (SELECT r, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM points JOIN book{turn} USING (part, at) GROUP BY ALL),
+own{turn} AS MATERIALIZED (SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM far{turn} GROUP BY r, part)""")
+        if turn < codes.ROUNDS:
+            steps.append(f"""
+mean{turn} AS (SELECT part, entry, at, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
+               FROM points JOIN own{turn} USING (r, part) GROUP BY ALL),
+book{turn + 1} AS MATERIALIZED (SELECT part, entry, at, coalesce(m, c) AS c FROM book{turn} LEFT JOIN mean{turn} USING (part, entry, at))""")
+    last = codes.ROUNDS
+    return ",".join(steps) + f"""
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, at)) FROM book{last}) AS codebooks_sha256
+FROM kept JOIN (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+                FROM own{last} GROUP BY r) USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_source_mixing": mixed(),
         "op4_url_filter": url_filter(),
         "op5_quality_rules": quality_rules(),
         "op9_line_dedup": line_dedup(),
+        "op13_vector_codes": vector_codes(),
     }
