@@ -123,23 +123,23 @@ size AS (SELECT len(v) AS wide FROM finite WHERE len(v) > 0 AND len(v) % {codes.
 kept AS (SELECT * FROM finite WHERE len(v) = (SELECT wide FROM size)),
 flat AS (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM kept),
 points AS MATERIALIZED (
-  SELECT r, i // {wide} AS part, i % {wide} AS at,
+  SELECT r, i // {wide} AS part, i % {wide} AS place,
          greatest(least(floor({codes.SCALE} * x::DOUBLE), {codes.LIMIT}), -{codes.LIMIT})::BIGINT AS x FROM flat),
 seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM kept),
-book0 AS MATERIALIZED (SELECT part, entry, at, x AS c FROM points JOIN seeds USING (r) WHERE entry < {codes.ENTRIES})"""]
+book0 AS MATERIALIZED (SELECT part, entry, place, x AS c FROM points JOIN seeds USING (r) WHERE entry < {codes.ENTRIES})"""]
     for turn in range(codes.ROUNDS + 1):
         steps.append(f"""
-far{turn} AS (SELECT r, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM points JOIN book{turn} USING (part, at) GROUP BY ALL),
+far{turn} AS (SELECT r, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM points JOIN book{turn} USING (part, place) GROUP BY ALL),
 own{turn} AS MATERIALIZED (SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM far{turn} GROUP BY r, part)""")
         if turn < codes.ROUNDS:
             steps.append(f"""
-mean{turn} AS (SELECT part, entry, at, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
+mean{turn} AS (SELECT part, entry, place, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
                FROM points JOIN own{turn} USING (r, part) GROUP BY ALL),
-book{turn + 1} AS MATERIALIZED (SELECT part, entry, at, coalesce(m, c) AS c FROM book{turn} LEFT JOIN mean{turn} USING (part, entry, at))""")
+book{turn + 1} AS MATERIALIZED (SELECT part, entry, place, coalesce(m, c) AS c FROM book{turn} LEFT JOIN mean{turn} USING (part, entry, place))""")
     last = codes.ROUNDS
     return ",".join(steps) + f"""
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
-       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, at)) FROM book{last}) AS codebooks_sha256
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{last}) AS codebooks_sha256
 FROM kept JOIN (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
                 FROM own{last} GROUP BY r) USING (r)
 """
