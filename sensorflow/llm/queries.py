@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorflow.llm import codes, contamination, language, lines, mixing, near, rules, substring, tokens, twins, urls, wrappers
+from sensorflow.llm import codes, contamination, language, lines, mixing, near, packing, repair, rules, substring, tokens, twins, urls, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,8 @@ QUERIES = (
     wrappers.op8_html_extraction,
     lines.op9_line_dedup,
     language.op10_lm_scoring,
+    packing.op11_best_fit_packing,
+    repair.op12_conversation_repair,
     codes.op13_vector_codes,
 )
 
