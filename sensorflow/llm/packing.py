@@ -31,58 +31,85 @@ from sensorflow.llm.tokens import SPACE, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Entries of the cache of encoded words in each Python worker; it is emptied when full.
-CACHE = 400_000
+#: Entries of the caches of words and of their parts in each Python worker; one is emptied when full. Longer words aren't kept.
+CACHE = 600_000
+KEPT = 200
 #: Python's split() also cuts at these, the tokenizer's white space doesn't.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 CHUNKS = re.compile(f"[^{SPACE}]+")
 SPECIAL = "<|"
+#: Words of these characters are in normal form, and the tokenizer's own pattern comes down to PARTS for them.
+LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint, task int, number bigint"
 
 
+def byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write printable bytes as themselves, the others as the letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space and never joins across it: words are encoded once and kept."""
+    """Ids of texts by a tokenizer that drops white space and never joins across it: words are encoded once and kept.
+
+    Words of Latin letters are cut into the tokenizer's parts here, each part once; all other words go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.between = self.tokenizer.token_to_id("<|startoftext|>")
-        self.known: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         words = CHUNKS.findall(text) if SEPARATORS.search(text) else text.split()
-        found = list(map(self.known.get, words))
+        found = list(map(self.words.get, words))
         missing = [at for at, ids in enumerate(found) if ids is None]
         if missing:
-            new = list({words[at] for at in missing})
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-            self._learn(new)
+            new = self._encoded({words[at] for at in missing})
             for at in missing:
-                ids = self.known.get(words[at])
-                if ids is None:  # the cache was emptied for this very text
-                    self._learn([words[at]])
-                    ids = self.known[words[at]]
-                found[at] = ids
+                found[at] = new[words[at]]
+            if len(self.words) + len(new) > CACHE:
+                self.words.clear()
+            self.words.update((w, ids) for w, ids in new.items() if len(w) <= KEPT)
         return b"".join(found)
 
-    def _learn(self, new: list[str]) -> None:
-        """Many words in one call, told apart by a special token; words that hold the beginning of one are encoded alone."""
-        plain = [w for w in new if SPECIAL not in w]
-        for begin in range(0, len(plain), 256):
-            some = plain[begin : begin + 256]
-            (got,) = self.tokenizer.encode_batch_fast(["<|startoftext|>".join(some)], add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
-            data, at = ids.tobytes(), 0
-            for word, end in zip(some, ends.tolist(), strict=True):
-                self.known[word] = data[at:end]
-                at = end + 4
+    def _encoded(self, new: set[str]) -> dict[str, bytes]:
+        out, others = {}, []
         for word in new:
-            if SPECIAL in word:
-                self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            if LATIN.fullmatch(word) and SPECIAL not in word:
+                out[word] = b"".join([self.parts.get(p) or self._part(p) for p in PARTS.findall(word.lower())])
+            else:
+                others.append(word)
+        for begin in range(0, len(others), 256):
+            out.update(self._by_tokenizer(others[begin : begin + 256]))
+        return out
+
+    def _part(self, part: str) -> bytes:
+        bytes_as_letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([t.id for t in self.model.tokenize(bytes_as_letters)], "<u4").tobytes()
+        if len(part) <= KEPT:
+            if len(self.parts) >= CACHE:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
+    def _by_tokenizer(self, some: list[str]) -> dict[str, bytes]:
+        """Many words in one call, told apart by a special token; words that hold the beginning of one are encoded alone."""
+        plain = [w for w in some if SPECIAL not in w]
+        out = {w: self.tokenizer.encode(w, add_special_tokens=False).ids for w in some if SPECIAL in w}
+        ids = self.tokenizer.encode("<|startoftext|>".join(plain), add_special_tokens=False).ids
+        begin = 0
+        for word, end in zip(plain, [*[at for at, i in enumerate(ids) if i == self.between], len(ids)], strict=False):
+            out[word] = ids[begin:end]
+            begin = end + 1
+        return {word: np.array(found, "<u4").tobytes() for word, found in out.items()}
 
 
 @cache
