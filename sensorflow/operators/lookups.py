@@ -14,8 +14,9 @@ def by_id(readings: DataFrame, reading_id) -> DataFrame:
 
 def in_range(rows: DataFrame, start: datetime | None, end: datetime | None, ts: str = "ts") -> DataFrame:
     """Both ends inclusive, either may be open. Stored rows are also bounded by their day,
-    with a day to spare for other time zones, which prunes folders."""
-    by_day = ts == "ts" and "event_date" in rows.columns
+    with a day to spare for other time zones, which prunes folders; readings are dated by
+    ``ts``, anomalies by ``detected_at``."""
+    by_day = ts in ("ts", "detected_at") and "event_date" in rows.columns
     if start is not None:
         first = F.lit(start).cast("timestamp")
         rows = rows.filter(F.col(ts) >= first)
@@ -85,14 +86,25 @@ def page(
     return readings.filter(condition).orderBy(key, F.col("reading_id").asc()).offset(skip).limit(take)
 
 
-def current(versions: DataFrame) -> DataFrame:
-    """Newest version of each reading; a per-task limit below the exchange drops older ones early.
+def newest(rows: DataFrame, key: str, at: str) -> DataFrame:
+    """Of each key the row with the greatest ``at``; a per-task limit below the exchange drops the others early.
 
-    The plain columns break ties, so that a repeated task picks the same version.
+    All columns break ties, nested ones as text, so that a repeated task picks the same row.
     """
-    plain = [n for n, t in versions.dtypes if not t.startswith(("map", "struct", "array"))]
-    newest = Window.partitionBy("reading_id").orderBy(F.desc("updated_at"), *plain)
-    return versions.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    nested = ("map", "struct", "array")
+    rest = [F.to_json(F.struct(_in_order(n, t))) if t.startswith(nested) else F.col(n) for n, t in rows.dtypes]
+    order = Window.partitionBy(key).orderBy(F.desc(at), *rest)
+    return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
+
+def _in_order(name: str, kind: str) -> Column:
+    """Entries of a map have no order of their own."""
+    return (F.array_sort(F.map_entries(name)) if kind.startswith("map") else F.col(name)).alias("v")
+
+
+def current(versions: DataFrame) -> DataFrame:
+    """Newest version of each reading."""
+    return newest(versions, "reading_id", "updated_at")
 
 
 def register_views(spark: SparkSession, **frames: DataFrame) -> None:

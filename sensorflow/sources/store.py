@@ -37,9 +37,15 @@ def with_audit(rows: DataFrame) -> DataFrame:
     return rows.select(*READINGS.fieldNames(), *AUDIT.fieldNames())
 
 
-def store_rows(rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", sort: str = "device_id") -> None:
-    """Add one batch. Rebalancing splits a busy day over as many tasks as its size asks for."""
-    dated = rows.withColumns({"event_date": F.to_date(ts), "batch_id": F.lit(batch_id).cast("bigint")})
+def store_rows(
+    rows: DataFrame, path: str, batch_id: int = 0, ts: str = "ts", sort: str = "device_id", day: str | None = None
+) -> None:
+    """Add one batch, in the folders of ``ts``'s days or of those in column ``day``.
+
+    Rebalancing splits a busy day over as many tasks as its size asks for.
+    """
+    event_date = F.to_date(ts) if day is None else F.col(day)
+    dated = rows.withColumns({"event_date": event_date, "batch_id": F.lit(batch_id).cast("bigint")})
     (
         dated.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", sort, ts)

@@ -2,7 +2,8 @@
 
 Two queries read the same messages. ``store_query`` keeps all readings, late ones too, and the dead
 letters, routes and outbound envelopes. ``detect_query`` drops repeats and late rows, scores and stores
-the anomalies; what a late row changes is stored as a newer report. Each micro-batch writes its own batch folders, so a repeated batch replaces its first try.
+the anomalies; what a late row changes is stored as a newer report. Each micro-batch writes its own batch
+folders, so a repeated batch replaces its first try, and a commit record last: readers see whole batches only.
 """
 
 from __future__ import annotations
@@ -13,24 +14,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorflow.operators import anomalies, routing
-from sensorflow.sources.store import store_readings, store_rows
+from sensorflow.sources import versions
+from sensorflow.sources.commits import commit, visible
+from sensorflow.sources.idindex import not_stored
+from sensorflow.sources.store import store_rows
 from sensorflow.streaming.ingest import AHEAD, DELAY, dead_letters, good_rows, ingest_stream, newest_copies, once
 from sensorflow.streaming.rolling import last_reports, rolling_query
 
+ANOMALIES = "anomalies"
+BATCH_TABLES = ("dead_letters", "envelopes", "routes")
 
-def store_batch(checked: DataFrame, batch_id: int, root: str) -> None:
+
+def store_batch(checked: DataFrame, batch_id: int, root: str, spare_days: int | None = 1) -> None:
+    """Readings whose id isn't stored yet, their routes and envelopes, and the dead letters; all visible at once.
+
+    The first batch that brings an id holds; ``spare_days`` as in ``idindex.not_stored``.
+    """
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+    good = good_rows(newest_copies(checked)).persist(StorageLevel.MEMORY_AND_DISK)
+    readings = not_stored(good, root, versions.ROWS, batch_id, spare_days).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        readings = good_rows(newest_copies(checked))
-        store_readings(readings, f"{root}/readings", batch_id)
+        versions.store_new(readings, root, batch_id)
         store_rows(dead_letters(checked), f"{root}/dead_letters", batch_id, "received_at", "topic")
         store_rows(routing.to_envelopes(readings), f"{root}/envelopes", batch_id)
         routes = routing.route_readings(readings.select("reading_id", "device_id", "sensor_type", "ts"))
         store_rows(routes, f"{root}/routes", batch_id)
+        commit(checked.sparkSession, root, versions.ROWS, batch_id)
     finally:
+        readings.unpersist()
+        good.unpersist()
         checked.unpersist()
 
 
+def open_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table that ``store_batch`` or ``store_anomalies`` writes, rows of whole batches only; readings as they are now."""
+    if table == "readings":
+        return versions.current_rows(spark, root)
+    kind = versions.ROWS if table in BATCH_TABLES else ANOMALIES
+    return visible(spark.read.parquet(f"{root}/{table}"), root, kind)
+
+
 def store_anomalies(reported: DataFrame, batch_id: int, root: str) -> None:
     reported = reported.persist(StorageLevel.MEMORY_AND_DISK)
     withdrawn = reported.filter(~F.col("is_anomaly")).select("reading_id", "device_id", F.col("ts").alias("detected_at"))
@@ -45,6 +68,7 @@ def store_anomalies(reported: DataFrame, batch_id: int, root: str) -> None:
             batch_id,
             "detected_at",
         )
+        commit(reported.sparkSession, root, ANOMALIES, batch_id)
     finally:
         found.unpersist()
         reported.unpersist()
@@ -55,6 +79,7 @@ def open_anomalies(spark: SparkSession, root: str) -> DataFrame:
     found = spark.read.parquet(f"{root}/anomalies").withColumn("is_anomaly", F.lit(True))
     schema = found.select("reading_id", "device_id", "detected_at", "event_date", "batch_id").schema
     withdrawn = spark.read.schema(schema).parquet(f"{root}/withdrawn").withColumn("is_anomaly", F.lit(False))
+    found, withdrawn = visible(found, root, ANOMALIES), visible(withdrawn, root, ANOMALIES)
     return last_reports(found.unionByName(withdrawn, allowMissingColumns=True)).drop("is_anomaly")
 
 
