@@ -100,12 +100,39 @@ def test_chunks_are_even_whatever_the_clocks_say(spark, stray):
         at = f"if(id = 0, timestamp'{stray}', {at})"
     rows = spark.range(50_000).selectExpr("'d1' AS device_id", "'temperature' AS sensor_type", f"{at} AS ts", "id AS reading_id", "cast(pmod(hash(id), 60) AS double) AS value")
     keys = ["device_id", "sensor_type"]
-    levels = series.hot_cuts(rows, keys, "ts", 2000)
-    chunks = series.chunked(rows.withColumn("_bucket", series._bucket(keys)), levels, "ts")
-    sizes = chunks.groupBy("_chunk").agg(F.count("*").alias("n"), F.countDistinct("ts").alias("times")).collect()
+    order = ["ts", "reading_id"]
+    levels = series.hot_cuts(rows, keys, order, 2000)
+    chunks = series.chunked(rows.withColumn("_bucket", series._bucket(keys)), levels, order)
+    sizes = chunks.groupBy("_chunk").agg(F.count("*").alias("n")).collect()
     assert sum(r.n for r in sizes) == 50_000
-    assert max(r.n for r in sizes if r.times > 1) <= 4000
-    assert [r.n for r in sizes if r.n > 4000] in ([5000], [4999])
+    assert max(r.n for r in sizes) <= 4000
     want = rolling.rolling_anomalies(rows).select(*KEPT)
     got = rolling.rolling_anomalies(rows, hot_rows=2000).select(*KEPT)
     assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_a_series_of_one_single_time_is_cut_by_its_ids(spark, kind):
+    rows = spark.range(200_000).selectExpr(
+        "'d1' AS device_id", "'temperature' AS sensor_type", "timestamp'2024-01-01' AS ts",
+        f"cast({'id' if kind == 'bigint' else 'concat(chr(97 + cast(id % 26 as int)), id)'} AS {kind}) AS reading_id", "cast(pmod(hash(id), 60) AS double) AS value",
+    )
+    rows = rows.withColumn("ts", F.when(F.xxhash64("reading_id") % 50 != 0, F.col("ts")))  # and some without a time
+    keys, order, limit = ["device_id", "sensor_type"], ["ts", "reading_id"], 10_000
+    levels = series.hot_cuts(rows, keys, order, limit)
+    chunks = series.chunked(rows.withColumn("_bucket", series._bucket(keys)), levels, order)
+    sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 200_000 and max(sizes) <= 2 * limit
+    want = rolling.rolling_anomalies(rows).select(*KEPT)
+    got = rolling.rolling_anomalies(rows, hot_rows=limit).select(*KEPT)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_numbers_along_split_series(spark, skewed):
+    items = [{"reading_id": "same", "value": float(i % 7), "ts": START} for i in range(300)]
+    rows = skewed.unionByName(readings(spark, items)).withColumn("device_id", F.when(F.col("device_id") != "d7", F.col("device_id")))
+    keys, order = ["device_id", "sensor_type"], ["ts", "reading_id", "value"]
+    want = series.numbered(rows, keys, order, "n").select("reading_id", "value", *keys, "n")
+    for hot_rows in (1, 40, 500):
+        got = series.numbered(rows, keys, order, "n", hot_rows).select(*want.columns)
+        assert got.count() == want.count() == 6300 and got.exceptAll(want).isEmpty(), hot_rows
