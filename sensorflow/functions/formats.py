@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 XML_DECLARATION = '<?xml version="1.0" encoding="utf-8"?>'
 
-# Field names on the wire.
+# Field names on the wire.
 DOCUMENT = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -65,16 +65,34 @@ def from_json(text: Column) -> Column:
     return F.when(~absent, F.from_json(text, DOCUMENT, {"timestampFormat": TIMESTAMP_FORMAT}))
 
 
+#: Any text can be a metadata key, but not an element's name: entries carry their key as an attribute.
+ENTRIES = "struct<entry: array<struct<_key: string, _VALUE: string>>>"
+
+def _xml_schema() -> str:
+    """DDL of the document as XML holds it."""
+    return ", ".join(f"{f.name} {ENTRIES if f.name == 'metadata' else f.dataType.simpleString()}" for f in DOCUMENT.fields)
+
+
 def to_xml(doc: Column) -> Column:
     """XML on one line with a declaration; an absent document is ``<null />``."""
+    entries = F.transform(F.map_entries(doc["metadata"]), lambda e: F.struct(e["key"].alias("_key"), e["value"].alias("_VALUE")))
+    held = F.when(doc["metadata"].isNotNull(), F.struct(entries.alias("entry")))
+    doc = F.when(doc.isNotNull(), F.struct(*[(held if n == "metadata" else doc[n]).alias(n) for n in DOCUMENT.fieldNames()]))
     body = F.to_xml(doc, {"rowTag": "SensorData", "timestampFormat": TIMESTAMP_FORMAT, "indent": ""})
     return F.coalesce(F.concat(F.lit(XML_DECLARATION), F.btrim(body, F.lit("\n"))), F.lit("<null />"))
 
 
 def from_xml(text: Column) -> Column:
     absent = text.isNull() | text.isin("", "<null />")
-    options = {"rowTag": "SensorData", "timestampFormat": TIMESTAMP_FORMAT}
-    return F.when(~absent, F.from_xml(text, DOCUMENT, options))
+    options = {"rowTag": "SensorData", "timestampFormat": TIMESTAMP_FORMAT, "ignoreSurroundingSpaces": "false"}
+    read = F.from_xml(text, _xml_schema(), options)
+
+    def document(doc: Column) -> Column:
+        pairs = F.transform(doc["metadata"]["entry"], lambda e: F.struct(e["_key"].alias("key"), F.coalesce(e["_VALUE"], F.lit("")).alias("value")))
+        metadata = F.coalesce(F.map_from_entries(pairs), F.create_map().cast("map<string,string>"))
+        return F.struct(*[(metadata if n == "metadata" else doc[n]).alias(n) for n in DOCUMENT.fieldNames()])
+
+    return F.when(~absent, F.transform(F.array(read), document)[0])
 
 
 class Format(NamedTuple):

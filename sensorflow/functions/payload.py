@@ -49,24 +49,43 @@ def parse_pairs(payload: Column) -> Column:
     parts = F.split(payload, ",")
     first = F.split(parts[0], ":")
     is_pair = F.size(first) == 2
-    extra = F.transform(
-        F.filter(F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.split(p, ":")), lambda p: F.size(p) == 2),
-        lambda p: F.struct(strip(p[0]).alias("key"), strip(p[1]).alias("value")),
-    )
-    last_per_key = F.filter(
-        extra,
-        lambda e, i: ~F.exists(F.slice(extra, i + 2, F.size(extra)), lambda later: later["key"] == e["key"]),
-    )
     return F.struct(
         F.when(is_pair, strip(first[0])).otherwise("unknown").alias("sensor_type"),
         F.when(is_pair, parse_number(F.get(first, F.lit(1)))).otherwise(0.0).alias("value"),
         F.when(is_pair, F.lit("unit")).otherwise("unknown").alias("unit"),
-        F.when(is_pair & (F.size(parts) > 1), F.map_from_entries(last_per_key))
+        F.when(is_pair & (F.size(parts) > 1), F.map_from_entries(_last_per_key(parts)))
         .otherwise(no_metadata())
         .alias("metadata"),
     )
 
 
+def _last_per_key(parts: Column) -> Column:
+    """(key, value) of all pairs but the first, the last one of each key, in the order of the text.
+
+    Sorted by key and place, a pair is its key's last if the next one has another key: no pair is compared with all.
+    """
+
+    def pair(part: Column, at: Column) -> Column:
+        both = F.split(part, ":")
+        return F.when(
+            (at > 0) & (F.size(both) == 2),
+            F.struct(strip(both[0]).alias("key"), at.alias("at"), strip(F.get(both, F.lit(1))).alias("value")),
+        )
+
+    def last_ones(pairs: Column) -> Column:
+        def is_last(pair: Column, at: Column) -> Column:
+            following = F.get(pairs, at + 1)
+            return following.isNull() | (following["key"] != pair["key"])
+
+        return F.filter(pairs, is_last)
+
+    pairs = F.array_sort(F.array_compact(F.transform(parts, pair)))
+    # bound to a variable, so that the sorted pairs are computed once and not for each of them
+    kept = F.transform(F.array(pairs), last_ones)[0]
+    in_order = F.array_sort(F.transform(kept, lambda p: F.struct(p["at"], p["key"], p["value"])))
+    return F.transform(in_order, lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value")))
+
+
 def no_metadata() -> Column:
     return F.create_map().cast("map<string,string>")
 

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.series import HOT_ROWS, over_series
+from sensorflow.functions.payload import no_metadata
+from sensorflow.operators.series import HOT_ROWS, numbered, over_series
 
 
-def change_events(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def change_events(versions: DataFrame, hot_rows: int = HOT_ROWS, metadata: Column | None = None) -> DataFrame:
     """One row per event.
 
     Created for the first version; value updated for each later one, equal or not; quality and status
-    only when they differ; location for each version that has one.
+    only when they differ; location for each version that has one. ``sequence`` numbers a reading's
+    versions, so that those of one time have ids of their own; versions equal in all columns are
+    interchangeable. ``metadata`` is what the caller notes with the events of a version.
     """
     carried = ("value", "unit", "quality", "status")
+    noted = (no_metadata() if metadata is None else metadata).alias("metadata")
+    kept = versions.select("reading_id", "device_id", "updated_at", *carried, "location", noted)
+    order = ["updated_at", *carried, "device_id", "location"]
     seen = over_series(
-        versions.select("reading_id", "device_id", "updated_at", *carried, "location"),
+        numbered(kept, ["reading_id"], order, "sequence", hot_rows),
         ["reading_id"],
-        ["updated_at", *carried],
+        order,
         1,
         lambda w: {"_before": F.lag(F.struct(*carried)).over(w), "_first": F.lag(F.lit(1)).over(w).isNull()},
         hot_rows,
@@ -38,11 +44,13 @@ def change_events(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     return seen.withColumn("event_type", F.explode(events)).filter(kind.isNotNull()).select(
         F.sha2(
-            F.concat_ws("|", F.col("reading_id").cast("string"), kind, F.unix_micros("updated_at").cast("string")),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in ("reading_id", "event_type")], F.unix_micros("updated_at").cast("string"), F.col("sequence").cast("string")),
             256,
         ).alias("event_id"),
         "event_type",
         F.lit(1).alias("version"),
+        "sequence",
+        "metadata",
         "reading_id",
         "device_id",
         F.col("updated_at").alias("occurred_on"),

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sensorflow.functions.payload import enum_code
 from sensorflow.schemas import QUALITY, STATUS
 
-FIXED_CHANNELS = ("all", "alerts")
-SALTS = 64
+#: Messages of a channel that one task takes; a channel with more is spread over salts.
+SALT_ROWS = 1_000_000
+#: At most so many channels are spread; with more, each salt takes more messages.
+SPREAD_CHANNELS = 1 << 16
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -41,20 +43,30 @@ def route_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn("_to", targets).select(*anomalies.columns, "_to.channel", "_to.event")
 
 
-def deliveries(routed: DataFrame, subscriptions: DataFrame, salts: int = SALTS) -> DataFrame:
+def channel_salts(routed: DataFrame, salt_rows: int = SALT_ROWS) -> list[tuple[str, int]]:
+    """Channels with more than ``salt_rows`` messages, and over how many salts each is spread."""
+    counts = routed.groupBy("channel").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > salt_rows)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(salt_rows, total // SPREAD_CHANNELS)
+    return [(r["channel"], -(-r["n"] // limit)) for r in counts.filter(F.col("n") > limit).collect()]
+
+
+def deliveries(routed: DataFrame, subscriptions: DataFrame, salt_rows: int = SALT_ROWS) -> DataFrame:
     """One row per routed message and subscriber of its channel.
 
-    The fixed channels each take a third of all routed rows, so their messages are spread over salts and
-    their subscribers copied to each salt. No other channel is copied; adaptive execution splits a hot
-    device's partition, and small subscription tables are broadcast by their measured size.
+    "All", "alerts" and the sensor types' channels hold large parts of all messages. Channels are counted first
+    (a partial sum per task); messages of those above ``salt_rows`` are spread over as many salts as their size asks
+    for and their subscribers copied to each. No other channel is copied.
     """
-    fixed = F.col("channel").isin(*FIXED_CHANNELS)
-    spread = F.when(fixed, F.pmod(F.xxhash64("reading_id"), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
-    copies = F.when(fixed, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(
-        F.array(F.lit(0).cast("bigint"))
-    )
-    messages = routed.withColumn("_salt", spread)
-    readers = subscriptions.select("channel", "subscriber").withColumn("_salt", F.explode(copies))
+    large = channel_salts(routed, salt_rows)
+    readers = subscriptions.select("channel", "subscriber")
+    if not large:
+        return routed.join(readers, "channel")
+    salts = F.broadcast(routed.sparkSession.createDataFrame(large, "channel string, _salts bigint"))
+    spread = F.pmod(F.xxhash64("reading_id"), F.coalesce("_salts", F.lit(1)))
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
+    messages = routed.join(salts, "channel", "left").withColumn("_salt", spread).drop("_salts")
+    readers = readers.join(salts, "channel", "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return messages.join(readers, ["channel", "_salt"]).drop("_salt")
 
 

@@ -40,6 +40,22 @@ def latest_with_alert(readings: DataFrame, anomalies: DataFrame, as_of: datetime
     )
 
 
+def readings_on_alert(readings: DataFrame, anomalies: DataFrame, hold: timedelta, delay: str | None = None) -> DataFrame:
+    """Readings beside each anomaly of their device and sensor that is not older than ``hold`` at their time.
+
+    With ``delay`` both sides are streams, and state is kept for ``hold`` and ``delay`` at most.
+    """
+    alerts = anomalies.select(
+        F.col("device_id").alias("_device"), F.col("sensor_type").alias("_type"), F.col("detected_at").alias("alerted_at"), F.col("reading_id").alias("alert_id")
+    )
+    if delay is not None:
+        readings, alerts = readings.withWatermark("ts", delay), alerts.withWatermark("alerted_at", delay)
+    held = F.expr(f"INTERVAL {int(hold.total_seconds())} SECONDS")
+    same = (F.col("device_id") == F.col("_device")) & (F.col("sensor_type") == F.col("_type"))
+    recent = (F.col("alerted_at") <= F.col("ts")) & (F.col("alerted_at") >= F.col("ts") - held)
+    return readings.join(alerts, same & recent).drop("_device", "_type")
+
+
 def chart_series(readings: DataFrame, points: int = 50) -> DataFrame:
     """Last points of each charted type, all devices in one series."""
     charted = readings.withColumn("series", F.lower("sensor_type")).filter(F.col("series").isin(*CHARTED))

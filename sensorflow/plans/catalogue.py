@@ -17,6 +17,7 @@ from sensorflow.operators import (
     lookups,
     messages,
     opslog,
+    profiles,
     quartiles,
     rates,
     rolling,
@@ -28,7 +29,11 @@ from sensorflow.operators import (
 )
 from sensorflow.plans import fixtures as fx
 from sensorflow.session import fresh_folder
-from sensorflow.streaming import ingest
+from sensorflow.sources import readers, versions, writers
+from sensorflow.sources.commits import commit
+from sensorflow.sources.store import open_readings
+from sensorflow.streaming import continuous, ingest
+from sensorflow.streaming import rates as stream_rates
 from sensorflow.streaming.ingest import once
 from sensorflow.streaming.rolling import last_reports, rolling_query
 
@@ -275,9 +280,11 @@ def message_rate(spark, sf_dir):
 
 
 def change_events(spark, sf_dir):
-    events = changes.change_events(fx.versions(spark, sf_dir))
+    source = F.create_map(F.lit("source"), F.col("status"))
+    events = changes.change_events(fx.tied_versions(spark, sf_dir), metadata=source)
     place = F.col("location")
-    return events.withColumns({"latitude": place["latitude"], "longitude": place["longitude"]}).drop("location")
+    flat = events.withColumns({"latitude": place["latitude"], "longitude": place["longitude"], "source": F.col("metadata")["source"]})
+    return flat.drop("location", "metadata")
 
 
 def quality_transitions(spark, sf_dir):
@@ -317,7 +324,7 @@ def serialize_json(spark, sf_dir):
 
 def _roundtrip(fmt: formats.Format, spark: SparkSession, sf_dir: str) -> DataFrame:
     back = (
-        fx.readings(spark, sf_dir)
+        fx.rich_readings(spark, sf_dir)
         .withColumn("text", fmt.write(formats.document()))
         .withColumn("doc", fmt.read(F.col("text")))
     )
@@ -332,6 +339,11 @@ def _roundtrip(fmt: formats.Format, spark: SparkSession, sf_dir: str) -> DataFra
         doc["value"]["unit"].alias("unit"),
         doc["timestamp"].alias("ts"),
         doc["location"]["latitude"].alias("latitude"),
+        doc["location"]["longitude"].alias("longitude"),
+        doc["location"]["altitude"].alias("altitude"),
+        F.cardinality(doc["metadata"]).alias("metadata_count"),
+        doc["metadata"]["bat level"].alias("battery"),
+        doc["metadata"]['<q&"a">'].alias("note"),
         doc["quality"].alias("quality"),
         doc["status"].alias("status"),
     )
@@ -353,6 +365,89 @@ def resource_alerts(spark, sf_dir):
     return opslog.resource_alerts(opslog.parse_ops_log(fx.log_lines(spark, sf_dir))).drop("alert")
 
 
+def _store(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """All readings as one committed batch."""
+    rows = fx.readings(spark, sf_dir).withColumn("reading_id", F.col("reading_id").cast("string"))
+    versions.store_new(rows, root, 0)
+    commit(spark, root, versions.ROWS, 0)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reading_id", F.col("reading_id").cast("bigint"))
+
+
+def stored_once(spark, sf_dir):
+    """Two deliveries: a third of the messages, then all of them; one stored reading per id."""
+    root = fresh_folder(spark, "store")
+    checked = ingest.ingest_stream(fx.messages(spark, sf_dir), "reading_id")
+    continuous.store_batch(checked.filter(F.pmod(F.xxhash64("reading_id"), F.lit(3)) == 0), 0, root)
+    continuous.store_batch(checked, 1, root)
+    rows = _numbered(continuous.open_stored(spark, root, "readings"))
+    return rows.select("reading_id", "device_id", "sensor_type", "value", "unit", "ts")
+
+
+def _changed_store(spark: SparkSession, sf_dir: str) -> str:
+    """Readings of open orders get their second version, those of finished orders are deleted."""
+    root = fresh_folder(spark, "store")
+    _store(spark, sf_dir, root)
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("reading_id"), "o_orderstatus")
+    second = fx.versions(spark, sf_dir).filter(F.col("updated_at") > F.col("ts"))
+    open_ones = second.join(orders.filter("o_orderstatus = 'O'"), "reading_id", "left_semi")
+    versions.update(open_ones.withColumn("reading_id", F.col("reading_id").cast("string")), root, fx.AS_OF)
+    versions.delete(fx.tombstones(spark, sf_dir), root, fx.ENRICH_AS_OF)
+    return root
+
+
+def stored_current_readings(spark, sf_dir):
+    rows = _numbered(versions.current_rows(spark, _changed_store(spark, sf_dir)))
+    return rows.select(*READING, "updated_at", "is_deleted")
+
+
+def compacted_readings(spark, sf_dir):
+    target = fresh_folder(spark, "compacted")
+    versions.compact_store(spark, _changed_store(spark, sf_dir), target)
+    rows = _numbered(open_readings(spark, target + "/readings"))
+    return rows.select(*READING, "updated_at", "is_deleted")
+
+
+def daily_profiles(spark, sf_dir):
+    """From the states of all days, made one part of the days after the other."""
+    path = fresh_folder(spark, "profiles")
+    dated = fx.readings(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    days = sorted(r["event_date"] for r in dated.select("event_date").distinct().collect())
+    for some in (days[::2], days[1::2]):
+        profiles.refresh(dated, path, some)
+    return profiles.profile(spark, path)
+
+
+def file_dead_letters(spark, sf_dir):
+    """Lines of JSON and CSV files: the readings that fit, and the text of those that don't."""
+    folder = fresh_folder(spark, "files")
+    fx.json_lines(spark, sf_dir).write.text(f"{folder}/lines.json")
+    fx.csv_lines(spark, sf_dir).write.text(f"{folder}/lines.csv")
+    found = []
+    for fmt in ("json", "csv"):
+        checked = readers.checked_file(spark, f"{folder}/lines.{fmt}", header=False)
+        rows = readers.fitting_rows(checked).select(F.col("reading_id").cast("bigint").alias("reading_id"), "value")
+        dead = readers.file_dead_letters(checked)
+        found.append(rows.unionByName(dead, allowMissingColumns=True).withColumn("format", F.lit(fmt)))
+    return found[0].unionByName(found[1])
+
+
+def written_files(spark, sf_dir):
+    """Readings written as JSON and as CSV and read back."""
+    folder = fresh_folder(spark, "files")
+    rows = fx.rich_readings(spark, sf_dir).withColumn("reading_id", F.col("reading_id").cast("string"))
+    found = []
+    for fmt in ("json", "csv"):
+        writers.open_sink(rows, f"{folder}/out.{fmt}")
+        found.append(_numbered(readers.open_source(spark, f"{folder}/out.{fmt}")).withColumn("format", F.lit(fmt)))
+    place, metadata = F.col("location"), F.col("metadata")
+    return found[0].unionByName(found[1]).select(
+        "format", *READING, place["latitude"].alias("latitude"), place["altitude"].alias("altitude"), metadata["bat level"].alias("battery"), metadata['<q&"a">'].alias("note")
+    )
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.as_readings(spark.readStream.schema(fx.EVENTS).parquet(f"{sf_dir}/events*.parquet"))
 
@@ -409,6 +504,21 @@ def scored_stream(spark, sf_dir):
     return _finished(spark, found.select(*FINDING, *detector.numbers))
 
 
+def alert_hold_stream(spark, sf_dir):
+    """Readings and anomalies as two streams; of each reading the last anomaly that is not too old for it."""
+    folder = fresh_folder(spark, "alerts")
+    found_anomalies(spark, sf_dir).write.parquet(folder)
+    alerts = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    held = views.readings_on_alert(_event_stream(spark, sf_dir), alerts, fx.ALERT_HOLD, ingest.DELAY)
+    pairs = _finished(spark, held.select("reading_id", "alert_id", "alerted_at"))
+    return pairs.groupBy("reading_id").agg(F.count(F.lit(1)).alias("alerts"), F.max("alerted_at").alias("alerted_at"))
+
+
+def reading_rate_stream(spark, sf_dir):
+    """Windows that the watermark has closed when all events are read."""
+    return _finished(spark, stream_rates.reading_rate_stream(_event_stream(spark, sf_dir)))
+
+
 def ingest_stream(spark, sf_dir):
     received = fx.as_messages(_event_stream(spark, sf_dir))
     rows = ingest.good_rows(ingest.ingest_stream(received, "reading_id"))
@@ -475,6 +585,14 @@ QUERIES: tuple[Query, ...] = (
     rolling_anomalies_shuffled_stream,
     scored_stream,
     ingest_stream,
+    stored_once,
+    stored_current_readings,
+    compacted_readings,
+    daily_profiles,
+    file_dead_letters,
+    written_files,
+    alert_hold_stream,
+    reading_rate_stream,
 )
 
 

@@ -103,6 +103,42 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def tied_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some readings have a third version at the time of their second."""
+    rows = versions(spark, sf_dir)
+    second = rows.filter((F.col("updated_at") > F.col("ts")) & (F.col("reading_id") % 10 == 0))
+    return rows.unionByName(second.withColumns({"value": F.col("value") + 1, "quality": F.lit("Critical")}))
+
+
+def rich_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with an altitude here and there, and metadata whose keys and values are no plain words."""
+    n, place = F.col("reading_id"), F.col("location")
+    location = F.struct(place["latitude"].alias("latitude"), place["longitude"].alias("longitude"), F.when(n % 3 == 0, (n % 500).cast("double")).alias("altitude"))
+    noted = F.create_map(F.lit("bat level"), (n % 100).cast("string"), F.lit('<q&"a">'), F.concat(F.lit("x < "), n.cast("string")))
+    return readings(spark, sf_dir).withColumns({"location": location, "metadata": F.when(n % 4 != 0, noted).otherwise(F.col("metadata"))})
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line per reading; some are cut off, some have a text for the value."""
+    n = F.col("reading_id")
+    value = F.when(n % 47 == 0, F.lit('"high"')).otherwise(F.floor("value").cast("string"))
+    line = F.concat(
+        F.lit('{"reading_id":"'), n.cast("string"), F.lit('","device_id":"'), "device_id", F.lit('","sensor_type":"'), "sensor_type",
+        F.lit('","value":'), value, F.lit(',"unit":"'), "unit", F.lit('"}'),
+    )
+    return readings(spark, sf_dir).select(F.when(n % 53 == 0, F.left(line, F.length(line) - 1)).otherwise(line).alias("value"))
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line per reading in the order of the columns; some have a text for the value, some a broken location."""
+    n = F.col("reading_id")
+    value = F.when(n % 47 == 0, F.lit("high")).otherwise(F.floor("value").cast("string"))
+    place = F.when(n % 59 == 0, F.lit("{oops")).otherwise(F.lit(""))
+    return readings(spark, sf_dir).select(
+        F.concat_ws(",", n.cast("string"), "device_id", "sensor_type", value, "unit", F.lit(""), place, F.lit(""), "quality", "status").alias("value")
+    )
+
+
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deleted ids: the keys of finished orders."""
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
@@ -110,7 +146,7 @@ def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer follows one device; the desk of each nation follows the alerts."""
+    """Every customer follows one device; the desk of each nation follows the alerts, some an own sensor type, each region all."""
     own = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("device_dev_"), F.col("c_custkey") % 150).alias("channel"),
         F.concat(F.lit("customer_"), F.col("c_custkey")).alias("subscriber"),
@@ -118,7 +154,12 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = table(spark, sf_dir, "nation").select(
         F.lit("alerts").alias("channel"), F.concat(F.lit("desk_"), F.col("n_nationkey")).alias("subscriber")
     )
-    return own.unionByName(alerts)
+    kinds = F.element_at(F.array(*map(F.lit, ("temperature", "humidity", "pressure", "voltage", "vibration"))), (F.col("n_nationkey") % 5 + 1).cast("int"))
+    types = table(spark, sf_dir, "nation").filter("n_nationkey < 8").select(
+        F.concat(F.lit("sensor_"), kinds).alias("channel"), F.concat(F.lit("lab_"), F.col("n_nationkey")).alias("subscriber")
+    )
+    everything = table(spark, sf_dir, "region").select(F.lit("all").alias("channel"), F.concat(F.lit("archive_"), F.col("r_regionkey")).alias("subscriber"))
+    return own.unionByName(alerts).unionByName(types).unionByName(everything)
 
 
 def as_messages(readings: DataFrame) -> DataFrame:

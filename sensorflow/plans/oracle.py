@@ -37,10 +37,39 @@ SELECT *, ts AS updated_at FROM readings
 UNION ALL
 SELECT reading_id, device_id, sensor_type, value + 1, unit, ts, latitude, longitude, 'Warning',
  CASE WHEN status = 'Active' THEN 'Active' ELSE 'Inactive' END, ts + INTERVAL 1 HOUR FROM readings""",
+    "tied": """
+SELECT * FROM versions
+UNION ALL
+SELECT * REPLACE (value + 1 AS value, 'Critical' AS quality) FROM versions WHERE updated_at > ts AND reading_id % 10 = 0""",
+    "rich": """
+SELECT *, CASE WHEN reading_id % 3 = 0 THEN CAST(reading_id % 500 AS DOUBLE) END AS altitude,
+ CASE WHEN reading_id % 4 <> 0 THEN CAST(reading_id % 100 AS VARCHAR) END AS battery,
+ CASE WHEN reading_id % 4 <> 0 THEN concat('x < ', reading_id) END AS note FROM readings""",
+    "json_lines": """
+SELECT reading_id, CAST(floor(value) AS DOUBLE) AS value, reading_id % 47 = 0 OR reading_id % 53 = 0 AS is_broken,
+ concat('{"reading_id":"', reading_id, '","device_id":"', device_id, '","sensor_type":"', sensor_type, '","value":',
+  CASE WHEN reading_id % 47 = 0 THEN '"high"' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END, ',"unit":"', unit, '"',
+  CASE WHEN reading_id % 53 = 0 THEN '' ELSE '}' END) AS line
+FROM readings""",
+    "csv_lines": """
+SELECT reading_id, CAST(floor(value) AS DOUBLE) AS value, reading_id % 47 = 0 OR reading_id % 59 = 0 AS is_broken,
+ concat(reading_id, ',', device_id, ',', sensor_type, ',',
+  CASE WHEN reading_id % 47 = 0 THEN 'high' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END, ',', unit, ',,',
+  CASE WHEN reading_id % 59 = 0 THEN '{oops' ELSE '' END, ',,', quality, ',', status) AS line
+FROM readings""",
+    "changed_store": """
+SELECT r.* REPLACE (CASE WHEN o_orderstatus = 'O' THEN value + 1 ELSE value END AS value,
+  CASE WHEN o_orderstatus = 'O' THEN 'Warning' ELSE quality END AS quality,
+  CASE WHEN o_orderstatus = 'O' AND status <> 'Active' THEN 'Inactive' ELSE status END AS status),
+ CASE WHEN o_orderstatus = 'O' THEN TIMESTAMP '2024-01-24 00:00:00' END AS updated_at
+FROM readings r LEFT JOIN orders ON o_orderkey = reading_id WHERE o_orderstatus IS DISTINCT FROM 'F'""",
     "tombstones": "SELECT o_orderkey AS reading_id FROM orders WHERE o_orderstatus = 'F'",
     "subscriptions": """
 SELECT concat('device_dev_', c_custkey % 150) AS channel, concat('customer_', c_custkey) AS subscriber FROM customer
-UNION ALL SELECT 'alerts', concat('desk_', n_nationkey) FROM nation""",
+UNION ALL SELECT 'alerts', concat('desk_', n_nationkey) FROM nation
+UNION ALL SELECT concat('sensor_', ['temperature', 'humidity', 'pressure', 'voltage', 'vibration'][n_nationkey % 5 + 1]),
+ concat('lab_', n_nationkey) FROM nation WHERE n_nationkey < 8
+UNION ALL SELECT 'all', concat('archive_', r_regionkey) FROM region""",
     "messages": """
 SELECT reading_id,
  CASE WHEN reading_id % 40 = 0 THEN concat('other/', device_id, '/data')
@@ -171,7 +200,7 @@ SELECT * FROM messages WHERE regexp_matches(topic, '^sensors/[^/]+/data$') OR re
     "changed": """
 SELECT *, lag(value) OVER w AS old_value, lag(unit) OVER w AS old_unit, lag(quality) OVER w AS old_quality,
  lag(status) OVER w AS old_status, row_number() OVER w AS seq
-FROM versions WINDOW w AS (PARTITION BY reading_id ORDER BY updated_at)""",
+FROM tied WINDOW w AS (PARTITION BY reading_id ORDER BY updated_at, value)""",
     "event_rows": """
 SELECT 'SensorDataCreated' AS event_type, * FROM changed WHERE seq = 1
 UNION ALL SELECT 'SensorValueUpdated', * FROM changed WHERE seq > 1
@@ -220,7 +249,12 @@ USES = {
     "routes": ["readings"],
     "alert_routes": ["anomalies"],
     "subscribed": ["messages"],
-    "changed": ["versions"],
+    "tied": ["versions"],
+    "rich": ["readings"],
+    "json_lines": ["readings"],
+    "csv_lines": ["readings"],
+    "changed_store": ["readings"],
+    "changed": ["tied"],
     "event_rows": ["changed"],
 }
 
@@ -252,7 +286,10 @@ GROUP BY {group}window_start"""
 FINDING = "reading_id, device_id, sensor_type, type"
 ROUNDTRIP = f"""
 SELECT reading_id, true AS same_id, true AS has_text, device_id, sensor_type, {r6("value")} AS value, unit, ts,
- {r6("latitude")} AS latitude, quality, status FROM readings"""
+ {r6("latitude")} AS latitude, {r6("longitude")} AS longitude, altitude,
+ CAST(CASE WHEN battery IS NULL THEN 0 ELSE 2 END AS BIGINT) AS metadata_count, battery, note, quality, status FROM rich"""
+
+CHANGED_STORE = f"SELECT {READING}, updated_at, false AS is_deleted FROM changed_store"
 
 ROLLING = f"""
 SELECT {FINDING}, {r6("severity")} AS severity, true AS is_anomaly, 'Rolling' AS method, ts, {r6("value")} AS value,
@@ -370,8 +407,8 @@ SELECT reading_id, concat('{{"id":"', reading_id, '","deviceId":"', device_id, '
  '","location":{{#}},"metadata":{{}},"quality":"', quality, '","status":"', status, '"}}') AS frame,
  {r6("value")} AS value, {r6("longitude")} AS longitude FROM readings""",
     ),
-    "roundtrip_json": (["readings"], ROUNDTRIP),
-    "roundtrip_xml": (["readings"], ROUNDTRIP),
+    "roundtrip_json": (["rich"], ROUNDTRIP),
+    "roundtrip_xml": (["rich"], ROUNDTRIP),
     "reading_by_id": (["readings"], f"SELECT {READING} FROM readings WHERE reading_id = 321"),
     "readings_by_device": (["readings"], f"SELECT {READING} FROM readings WHERE device_id = 'dev_7' AND {RANGE}"),
     "readings_by_type": (["readings"], f"SELECT {READING} FROM readings WHERE sensor_type = 'temperature' AND {RANGE}"),
@@ -473,8 +510,8 @@ FROM (SELECT sensor_type, value, row_number() OVER (PARTITION BY sensor_type ORD
     "change_events": (
         ["event_rows"],
         f"""
-SELECT sha256(concat_ws('|', CAST(reading_id AS VARCHAR), event_type, CAST(epoch_us(updated_at) AS VARCHAR))) AS event_id,
- event_type, 1::BIGINT AS version, reading_id, device_id, updated_at AS occurred_on,
+SELECT sha256(concat_ws('|', CAST(reading_id AS VARCHAR), event_type, CAST(epoch_us(updated_at) AS VARCHAR), CAST(seq AS VARCHAR))) AS event_id,
+ event_type, 1::BIGINT AS version, seq AS sequence, status AS source, reading_id, device_id, updated_at AS occurred_on,
  {r6("CASE WHEN event_type = 'SensorValueUpdated' THEN old_value END")} AS old_value,
  {r6("CASE WHEN event_type IN ('SensorDataCreated', 'SensorValueUpdated') THEN value END")} AS new_value,
  CASE WHEN event_type = 'SensorValueUpdated' THEN old_unit END AS old_unit,
@@ -536,8 +573,43 @@ FROM metrics WHERE (metric = 'WorkingSetMB' AND value > 1000) OR (metric = 'CPUU
         f"""
 SELECT reading_id, device_id, sensor_type, value, unit, ts FROM ({PARSED}) WHERE NOT is_broken""",
     ),
+    "stored_once": (
+        ["subscribed"],
+        f"""
+SELECT reading_id, device_id, sensor_type, value, unit, ts FROM ({PARSED}) WHERE NOT is_broken""",
+    ),
+    "stored_current_readings": (["changed_store"], CHANGED_STORE),
+    "compacted_readings": (["changed_store"], CHANGED_STORE),
+    "file_dead_letters": (
+        ["json_lines", "csv_lines"],
+        f"""
+SELECT 'json' AS format, CASE WHEN NOT is_broken THEN reading_id END AS reading_id,
+ CASE WHEN NOT is_broken THEN value END AS value, CASE WHEN is_broken THEN line END AS line FROM json_lines
+UNION ALL SELECT 'csv', CASE WHEN NOT is_broken THEN reading_id END, CASE WHEN NOT is_broken THEN value END,
+ CASE WHEN is_broken THEN line END FROM csv_lines""",
+    ),
+    "written_files": (
+        ["rich"],
+        f"""
+SELECT format, {READING}, {r6("latitude")} AS latitude, altitude, battery, note FROM rich, (VALUES ('json'), ('csv')) AS f(format)""",
+    ),
+    "alert_hold_stream": (
+        ["anomalies"],
+        """
+SELECT r.reading_id, count(*) AS alerts, max(detected_at) AS alerted_at FROM readings r JOIN anomalies a
+ON r.device_id = a.device_id AND r.sensor_type = a.sensor_type AND detected_at <= ts AND detected_at >= ts - INTERVAL 6 HOUR
+GROUP BY r.reading_id""",
+    ),
+    "reading_rate_stream": (
+        ["readings"],
+        f"""
+SELECT * FROM ({_rate("readings", "ts")}) WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM readings)""",
+    ),
 }
 
 
+QUERIES["daily_profiles"] = QUERIES["sensor_profile"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(uses, body) for name, (uses, body) in QUERIES.items()}

@@ -1,8 +1,8 @@
 """Which reading ids are stored, and in which day's folder.
 
-One narrow row per stored id, in folders by day, hash bucket of the id and batch. Asking for ids reads the buckets that they fall
-into, of the days in question alone, and of other columns nothing. The files carry Parquet's Bloom filters over the id, which a
-short list of ids uses to skip row groups.
+One narrow row per stored id, in folders by day and batch; inside a file rows are sorted by a hash bucket of the id and the id.
+Asking for ids opens the days in question alone, and of these files the row groups and pages whose buckets the ids fall into. The
+files carry Parquet's Bloom filters over the id, which a short list of ids uses to skip more.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from sensorflow.sources.commits import commits, open_folder
 
 #: Must stay the same for a store.
-BUCKETS = 16
+BUCKETS = 256
 #: Ids up to which they travel to the scan as a list.
 LISTED = 1000
-IDS = "reading_id string, event_date date, id_bucket bigint, kind string, batch_id bigint"
+IDS = "reading_id string, id_bucket bigint, event_date date, kind string, batch_id bigint"
 
 
 def bucket(reading_id: Column | str = "reading_id") -> Column:
@@ -29,12 +29,12 @@ def add_ids(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
     """``rows`` (reading_id, event_date) are stored by this batch; its next try replaces them."""
     found = rows.select("reading_id", "event_date", bucket().alias("id_bucket"), F.lit(kind).alias("kind"), F.lit(batch_id).cast("bigint").alias("batch_id"))
     (
-        found.repartition("event_date", "id_bucket")
+        found.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "id_bucket", "reading_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("parquet.bloom.filter.enabled#reading_id", "true")
-        .partitionBy("event_date", "id_bucket", "kind", "batch_id")
+        .partitionBy("event_date", "kind", "batch_id")
         .parquet(f"{root}/ids")
     )
 

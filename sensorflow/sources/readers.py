@@ -35,6 +35,52 @@ def read_readings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+BROKEN = "_broken"
+
+
+def checked_file(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Readings of a json or csv path, a line each, with ``_broken``: the text of a line that doesn't fit, else null.
+
+    A line fits if it can be parsed as a whole and each cell has its type; a CSV's nested cells must hold fitting JSON. A CSV's
+    header, and any line equal to it, is skipped.
+    """
+    fmt = parse_uri(path if "/" in path else f"./{path}").fmt
+    permissive = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    if fmt not in ("json", "csv"):
+        raise ValueError(f"no lines with a schema in {path}")
+    broken = T.StructField(BROKEN, T.StringType())
+    lines = spark.read.text(path).filter(F.btrim("value") != "")
+    if fmt == "json":
+        read = F.from_json("value", T.StructType([*READINGS.fields, broken]), permissive)
+    else:
+        if header:
+            lines = lines.filter(F.col("value") != ",".join(READINGS.fieldNames()))
+        read = F.from_csv("value", T.StructType([*csv_schema().fields, broken]).toDDL(), permissive)
+    # the whole line is parsed, also where a query reads some of its fields only
+    rows = lines.select("value", F.explode(F.array(read)).alias("r"))
+    cells = {n: F.col("r")[n] for n in READINGS.fieldNames()}
+    fits = F.col("r").isNotNull() & F.col("r")[BROKEN].isNull()
+    if fmt == "csv":
+        place = F.from_json(cells["location"], T.StructType([*LOCATION.fields, broken]), permissive)
+        noted = F.from_json(cells["metadata"], "map<string,string>")
+        rows = rows.select("value", "r", F.explode(F.array(F.struct(place.alias("place"), noted.alias("noted")))).alias("n"))
+        place, noted = F.col("n.place"), F.col("n.noted")
+        fits &= cells["location"].isNull() | (place.isNotNull() & place[BROKEN].isNull())
+        fits &= cells["metadata"].isNull() | noted.isNotNull()
+        kept = F.struct(*[place[f].alias(f) for f in LOCATION.fieldNames()])
+        cells |= {"location": F.when(place.isNotNull(), kept), "metadata": noted}
+    return rows.select(*[F.when(fits, c).alias(n) for n, c in cells.items()], F.when(~fits, F.col("value")).alias(BROKEN))
+
+
+def fitting_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def file_dead_letters(checked: DataFrame) -> DataFrame:
+    """The text of each line that doesn't fit."""
+    return checked.filter(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
+
+
 def read_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(MESSAGES).format(fmt).load(path)
 

@@ -125,3 +125,31 @@ def test_shared_folder_is_the_sessions_own(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         assert folder.startswith(named)
+
+
+def test_lines_that_do_not_fit_are_dead_letters(spark, tmp_path):
+    good = '{"reading_id":"a","value":1.5,"location":{"latitude":1.0}}'
+    bad = ['{"reading_id":"b","value":', '{"reading_id":"c","value":"x"}', "plain", '{"reading_id":"d","location":7}']
+    (tmp_path / "x.json").write_text("\n".join([good, *bad, "", good]))
+    checked = readers.checked_file(spark, f"{tmp_path}/x.json")
+    rows = readers.fitting_rows(checked)
+    assert rows.schema.simpleString() == READINGS.simpleString()
+    assert [(r.reading_id, r.value, r.location.latitude) for r in rows.collect()] == [("a", 1.5, 1.0)] * 2
+    assert sorted(r.line for r in readers.file_dead_letters(checked).collect()) == sorted(bad)
+    # what a query reads doesn't change what fits
+    assert rows.select("reading_id").count() == 2
+
+    header = ",".join(READINGS.fieldNames())
+    fits = ['a,d,t,1.5,u,2024-01-01T00:00:00.000Z,,,Good,Active', 'b,"d,e",t,,u,,"{\\"latitude\\":2}","{\\"k\\":\\"v\\"}",Good,Active']
+    bad = ["c,d,t,x,u,,,,Good,Active", "d,d,t,1,u,not a time,,,Good,Active", "e,d,t,1,u,,{oops,,Good,Active", "f,d,t,1,u,,,[1],Good,Active"]
+    (tmp_path / "x.csv").write_text("\n".join([header, *fits, *bad]) + "\n")
+    checked = readers.checked_file(spark, f"{tmp_path}/x.csv")
+    got = {r.reading_id: r for r in readers.fitting_rows(checked).collect()}
+    assert set(got) == {"a", "b"} and got["b"].device_id == "d,e" and got["b"].location.latitude == 2.0
+    assert got["b"].metadata == {"k": "v"} and got["a"].ts == datetime(2024, 1, 1) and got["a"].metadata is None
+    assert sorted(r.line for r in readers.file_dead_letters(checked).collect()) == sorted(bad)
+    rows = sample(spark)
+    writers.open_sink(rows, f"{tmp_path}/own.csv")
+    assert readers.fitting_rows(readers.checked_file(spark, f"{tmp_path}/own.csv")).count() == 3
+    with pytest.raises(ValueError):
+        readers.checked_file(spark, f"{tmp_path}/own.log")
