@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from sensorflow.session import ensure_checkpoint_dir
 
-# Rows up to which a written, counted side is broadcast.
+# Rows and characters (as JSON) up to which a written, counted side is broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_CHARS = 100_000_000
 
 
 def settle(frame: DataFrame) -> DataFrame:
@@ -20,9 +21,11 @@ def settle(frame: DataFrame) -> DataFrame:
 def attach(rows: DataFrame, settled: DataFrame, key: str | list[str], how: str = "left") -> DataFrame:
     """Join ``rows`` with a settled table of one row per key.
 
-    Broadcast when the counted size allows it; otherwise a plain equi-join, where adaptive execution
+    Broadcast when the measured size allows it; otherwise a plain equi-join, where adaptive execution
     splits the partitions of hot keys (the settled side has one row per key to copy).
     """
-    if settled.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    size = F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in settled.columns]))))
+    many, chars = settled.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), size).first()
+    if many <= BROADCAST_ROWS and (chars or 0) <= BROADCAST_CHARS:
         settled = F.broadcast(settled)
     return rows.join(settled, key, how)

@@ -38,8 +38,9 @@ from sensorflow.operators.series import HOT_ROWS, over_series
 from sensorflow.operators.views import newest_per
 from sensorflow.streaming.ingest import DELAY
 
-#: Buckets of the tails; must stay the same as long as a checkpoint is used.
-TAIL_BUCKETS = 256
+#: Buckets of the tails, an argument; must stay the same as long as a checkpoint is used. A micro-batch opens and writes
+#: the buckets it touches, so they should hold some tens of MB each: ten rows a series and those within the delay.
+TAIL_BUCKETS = 32
 TAIL = ("reading_id", "device_id", "sensor_type", "ts", "value")
 _PLACES = "bucket bigint, slot bigint"
 
@@ -78,9 +79,11 @@ def tails_after(
     """
     known = judged.select(*TAIL, F.col("_report").alias("reported"))
     if silent is not None:
-        last = F.max("ts").over(Window.partitionBy(*SERIES))
+        # a partial maximum per task, so that no task sees all rows of a hot series
         gone = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {silent}")
-        known = known.withColumn("_last", last).filter(F.col("_last") >= gone).drop("_last")
+        lasting = known.groupBy(*SERIES).agg(F.max("ts").alias("_last")).filter(F.col("_last") >= gone)
+        heard = lasting.select(*[F.col(c).alias(f"_{c}") for c in SERIES])
+        known = known.join(heard, [known[c].eqNullSafe(heard[f"_{c}"]) for c in SERIES], "left_semi")
     if delay is None:
         return newest_per(known, list(SERIES), FLAT_ROWS)
     # The watermark is cut to milliseconds.
@@ -102,6 +105,7 @@ def rolling_query(
     hot_rows: int = HOT_ROWS,
     delay: str = DELAY,
     silent: str | None = None,
+    buckets: int = TAIL_BUCKETS,
     **trigger,
 ) -> StreamingQuery:
     """Score a stream of readings; ``sink`` gets the reports of each micro-batch.
@@ -110,7 +114,7 @@ def rolling_query(
     watermark, so neither reaches the rules or the tails.
     """
     folder = f"{checkpoints}/tails"
-    bucket = F.pmod(F.xxhash64(*SERIES), F.lit(TAIL_BUCKETS)).alias("bucket")
+    bucket = F.pmod(F.xxhash64(*SERIES), F.lit(buckets)).alias("bucket")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
