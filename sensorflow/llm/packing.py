@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm.binpacking import Capacities, Plan, plan
 from sensorflow.llm.frames import in_arrow, read, ship, slices, stored
-from sensorflow.llm.tokens import SPACE, tokenizer_path
+from sensorflow.llm.tokens import SPACE, byte_letters, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -44,12 +44,6 @@ PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-ö
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint, task int, number bigint"
 
 
-def byte_letters() -> dict[int, int]:
-    """Byte-level vocabularies write printable bytes as themselves, the others as the letters from 256 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
-
-
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins across it: words are encoded once and kept.
 

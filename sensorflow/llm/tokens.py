@@ -28,46 +28,96 @@ from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries of the cache of encoded pieces, some 80 MB in each Python worker; it is emptied when full.
-CACHE = 500_000
+#: Entries of the caches of encoded pieces and of their parts in each Python worker; one is emptied when full.
+CACHE = 400_000
+PART_CACHE = 300_000
 SHARDS = "shard int, path string, documents bigint, ids bigint"
 
 #: Unicode's white space, as the tokenizer's pattern sees it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A byte-level tokenizer never joins across these borders: a word may take one blank before it, other white space stands alone.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
+#: For pieces of these characters the tokenizer's own pattern comes down to PARTS.
+LATIN = re.compile(" ?[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write printable bytes as themselves, the others as the letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
 
 
 class Encoder:
-    """Ids of texts. Pieces that no token crosses are encoded once by the tokenizers library and kept in a cache."""
+    """Ids of texts as the tokenizers library gives them. Pieces that no token crosses are encoded once and kept in a cache.
+
+    Texts are cut at the tokenizer's added tokens first, as the library does. New pieces of Latin letters are cut into the parts
+    of the tokenizer's pattern here, each part encoded once by its model; all others go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens that change the text beside them")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # the longest of several that begin at one place
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(self._parts(text)), "<u4") for text in texts]
+        return [np.frombuffer(b"".join(self._ids(text)), "<u4") for text in texts]
 
-    def _parts(self, text: str) -> list[bytes]:
+    def _ids(self, text: str) -> list[bytes]:
+        out, begin = [], 0
+        for cut in self.cuts.finditer(text):
+            out += self._pieces(text[begin : cut.start()])
+            out.append(self.added[cut.group()])
+            begin = cut.end()
+        return out + self._pieces(text[begin:]) if begin else self._pieces(text)
+
+    def _pieces(self, text: str) -> list[bytes]:
         pieces = PIECES.findall(text)
         found = list(map(self.known.get, pieces))
         missing = [at for at, ids in enumerate(found) if ids is None]
         if missing:
-            new = list({pieces[at] for at in missing})
+            new = self._encoded({pieces[at] for at in missing})
+            for at in missing:
+                found[at] = new[pieces[at]]
             if len(self.known) + len(new) > CACHE:
                 self.known.clear()
-            self._learn(new)
-            for at in missing:
-                found[at] = self.known[pieces[at]]
+            self.known.update(new)
         return found
 
-    def _learn(self, new: list[str]) -> None:
+    def _encoded(self, new: set[str]) -> dict[str, bytes]:
+        out, others = {}, []
+        for piece in new:
+            if LATIN.fullmatch(piece):
+                out[piece] = b"".join([self.parts.get(p) or self._part(p) for p in PARTS.findall(piece)])
+            else:
+                others.append(piece)
+        if others:
+            out.update(self._by_tokenizer(others))
+        return out
+
+    def _part(self, part: str) -> bytes:
+        letters = part.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        if len(self.parts) >= PART_CACHE:
+            self.parts.clear()
+        self.parts[part] = ids
+        return ids
+
+    def _by_tokenizer(self, new: list[str]) -> dict[str, bytes]:
         """Encodes many pieces as the lines of one text: a line feed between two pieces is always a token of its own."""
+        out = {}
         blank = [p for p in new if p.isspace()]
         words = [p for p in new if not p.isspace()] if blank else new
         for begin in range(0, len(words), 512):
@@ -77,10 +127,10 @@ class Encoder:
             ends = np.append(np.flatnonzero(ids == self.line_feed), len(ids)) * 4
             data, at = ids.tobytes(), 0
             for piece, end in zip(some, ends.tolist(), strict=True):
-                self.known[piece] = data[at:end]
+                out[piece] = data[at:end]
                 at = end + 4
         got = self.tokenizer.encode_batch(blank, add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(blank, got, strict=True))
+        return out | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(blank, got, strict=True)}
 
 
 @cache
@@ -167,9 +217,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
 
 
 def read_tokens(shards: DataFrame, folder: str) -> DataFrame:
-    """Digest of each document in the files, one task per file."""
+    """Digest of each document in the files, as many tasks as files."""
     files = shards.select("shard", "path", "start")
-    rows = files.repartition(F.col("shard"))
+    rows = files.repartition(max(1, shards.count()), F.col("shard"))
     return in_arrow(rows, partial(_read_shards, folder=folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

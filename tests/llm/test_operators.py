@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from sensorflow.llm import attention, bitpack, contamination, html_tree, language, lines, mixing, near, rules, substring, tokens, urls, words, wrappers
 
@@ -76,21 +77,32 @@ def test_token_file_reads_any_document():
         bitpack.TokenFile(io.BytesIO(out.getvalue()[:-3]))
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.text(st.sampled_from("ab9 '\n\t\r\x0b\x85\xa0 　.,!éßñ日​😀"), max_size=40))
+def plain_ids(value: str | None) -> list[int]:
+    """Of the library's own call on a tokenizer as loaded."""
+    return Tokenizer.from_file(tokens.tokenizer_path()).encode(value or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("abZ9 '\n\t\r\x0b\x85\xa0 \u3000.,!éßñ×日\u200b😀<|>s"), max_size=40))
 def test_pieces_give_the_ids_of_the_whole_text(value):
     coder = tokens.encoder(tokens.tokenizer_path())
-    assert coder.encode([value])[0].tolist() == coder.tokenizer.encode(value, add_special_tokens=False).ids
+    assert coder.encode([value])[0].tolist() == plain_ids(value)
 
 
-def test_tokens_round_trip(docs, empty):
-    coder = tokens.encoder(tokens.tokenizer_path())
-    found = sorted(tokens.tokens_written(docs).collect(), key=lambda r: r.start)
+@pytest.mark.parametrize("value", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  \n y <|endoftext", "don't we'll I'M 12345 l'été ", "Müller's 3x"])
+def test_added_tokens_are_as_the_library_has_them(value):
+    assert tokens.encoder(tokens.tokenizer_path()).encode([value])[0].tolist() == plain_ids(value)
+
+
+def test_tokens_round_trip(spark, docs, empty):
+    special = [(50, "a <|endoftext|> b", None, "k", "w", 1), (51, "<|endoftext|>" * 3, None, "k", "w", 1)]
+    found = sorted(tokens.tokens_written(docs.union(spark.createDataFrame(special, DOCS))).collect(), key=lambda r: r.start)
+    rows = odd_rows() + special
     assert [r.doc_id for r in found][:2] == [None, None]
-    assert [r.doc_id for r in found][2:] == sorted(r[0] for r in odd_rows() if r[0] is not None)
+    assert [r.doc_id for r in found][2:] == sorted(r[0] for r in rows if r[0] is not None)
     wanted, start = Counter(), 0
-    for doc_id, value, *_ in odd_rows():
-        ids = np.append(coder.tokenizer.encode(value or "", add_special_tokens=False).ids, 0).astype("<u4")
+    for doc_id, value, *_ in rows:
+        ids = np.append(plain_ids(value), 0).astype("<u4")
         wanted[doc_id, len(ids), zlib.crc32(ids.tobytes())] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == wanted
     for row in found:
@@ -99,6 +111,20 @@ def test_tokens_round_trip(docs, empty):
     assert tokens.tokens_written(empty).count() == 0
 
 
+def test_as_many_tasks_read_tokens_as_there_are_files(spark, tmp_path):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(6)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        shards = tokens.write_tokens(docs, str(tmp_path), tokens.tokenizer_path())
+    finally:
+        spark.conf.unset(setting)
+    many = shards.count()
+    read = tokens.read_tokens(shards, str(tmp_path))
+    assert many > 1 and read.rdd.getNumPartitions() == many
+    assert read.count() == 4000
+
+
 # substring dedup
 
 
