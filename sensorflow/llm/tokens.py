@@ -11,6 +11,7 @@ text and then the text; equal rows are written once each. An empty table writes
 from __future__ import annotations
 
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,9 +29,8 @@ from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries of the caches of encoded pieces and of their parts in each Python worker; one is emptied when full.
-CACHE = 400_000
-PART_CACHE = 300_000
+#: Entries of the cache of encoded pieces and their parts in each Python worker, some 130 MB; it is emptied when full.
+CACHE = 800_000
 SHARDS = "shard int, path string, documents bigint, ids bigint"
 
 #: Unicode's white space, as the tokenizer's pattern sees it.
@@ -48,6 +48,10 @@ def byte_letters() -> dict[int, int]:
     return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
 
 
+def little(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them. Pieces that no token crosses are encoded once and kept in a cache.
 
@@ -70,7 +74,6 @@ class Encoder:
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b"".join(self._ids(text)), "<u4") for text in texts]
@@ -100,7 +103,8 @@ class Encoder:
         out, others = {}, []
         for piece in new:
             if LATIN.fullmatch(piece):
-                out[piece] = b"".join([self.parts.get(p) or self._part(p) for p in PARTS.findall(piece)])
+                parts = PARTS.findall(piece)
+                out[piece] = b"".join([self.known.get(p) or self._part(p) for p in parts]) if len(parts) > 1 else self._part(piece)
             else:
                 others.append(piece)
         if others:
@@ -109,10 +113,10 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         letters = part.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-        if len(self.parts) >= PART_CACHE:
-            self.parts.clear()
-        self.parts[part] = ids
+        ids = little([t.id for t in self.model.tokenize(letters)])
+        if len(self.known) >= CACHE:
+            self.known.clear()
+        self.known[part] = ids
         return ids
 
     def _by_tokenizer(self, new: list[str]) -> dict[str, bytes]:
