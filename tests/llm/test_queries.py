@@ -22,3 +22,9 @@ def test_pipeline_keeps_the_columns_and_the_clean_documents(spark, sf_dir):
         assert {r.doc_id for r in after.select("doc_id").collect()} <= {r.doc_id for r in before.select("doc_id").collect()}
         before = after.cache()
     assert corpus_pipeline.run(spark, sf_dir).count() == before.count()
+
+
+@pytest.mark.parametrize("name", ["op5_quality_rules", "op9_line_dedup"])
+def test_native_queries_have_no_python(name, spark, sf_dir):
+    text = queries.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in text for word in ("Python", "Pandas", "MapInArrow"))
