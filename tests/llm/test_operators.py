@@ -490,6 +490,67 @@ def test_model_is_a_distribution_and_windows_do_not_leak():
     assert math.isclose(total, 10 ** attention.log10_probabilities(model, np.array([3]), np.array([1]), 39)[0], rel_tol=1e-4)
 
 
+def naive_log10(model, ids, end):
+    """Id by id: attention over its window's earlier ids, then the softmax of the classes and of the ids inside the class."""
+    inputs, total, width = [end, *ids[:-1]], 0.0, model.embed.shape[1]
+    for at, target in enumerate(ids):
+        low = max(0, (at // attention.BLOCK - 1) * attention.BLOCK)
+        x = model.embed[inputs[at]].astype(float)
+        query = x @ model.query / math.sqrt(width)
+        weights = [math.exp(query @ (model.embed[inputs[k]] @ model.key) + model.bias[at - k]) for k in range(low, at + 1)]
+        h = x + sum(w * (model.embed[inputs[k]] @ model.value) for w, k in zip(weights, range(low, at + 1))) / sum(weights)
+        place = int(model.place[target])
+        first = place // model.size * model.size
+        classes = h @ model.out + model.shift
+        inside = model.inner[first : first + model.size] @ h + model.lean[first : first + model.size]
+        for logits, chosen in ((classes, place // model.size), (inside, place - first)):
+            total += (logits[chosen] - math.log(np.exp(logits).sum())) / math.log(10)
+    return total
+
+
+def scored_texts(model, texts, end, size):
+    out = np.zeros(len(texts))
+    for ids, lengths, leads, of in attention.groups(iter(texts), size):
+        assert len(ids) - leads.sum() <= size
+        np.add.at(out, of, attention.log10_probabilities(model, ids, lengths, end, leads))
+    return out
+
+
+def test_scores_like_naive_attention_also_in_runs():
+    draw = np.random.default_rng(4)
+    model = attention.fresh(draw.integers(0, 50, 61))
+    model.bias[:] = draw.standard_normal(len(model.bias)) / 3
+    model.embed *= 3
+    texts = [np.append(draw.integers(0, 60, n), 60) for n in (0, 5, 63, 64, 65, 127, 128, 300, 700, 129, 255)]
+    wanted = [naive_log10(model, t.tolist(), 60) for t in texts]
+    for size in (128, 200, 256, 1 << 12):
+        assert np.allclose(scored_texts(model, texts, 60, size), wanted, rtol=1e-4)
+
+
+def test_gradients_of_runs_add_up_to_those_of_the_whole():
+    draw = np.random.default_rng(5)
+    model = attention.fresh(draw.integers(0, 50, 61))
+    text = np.append(draw.integers(0, 60, 600), 60)
+    whole, _, _, loss = attention.gradients(model, attention.layout(text, np.array([601]), 60))
+    sums, losses = dict.fromkeys(whole, 0), 0
+    for ids, lengths, leads, _ in attention.groups(iter([text]), 128):
+        n = int((lengths - leads).sum())
+        grads, _, _, part = attention.gradients(model, attention.layout(ids, lengths, 60, leads))
+        sums = {k: sums[k] + grads[k] * n / 601 for k in sums}
+        losses += part * n / 601
+    assert math.isclose(losses, loss, rel_tol=1e-5)
+    assert all(np.allclose(sums[k], whole[k], atol=1e-6) for k in whole)
+
+
+def test_copies_are_dealt_evenly(spark):
+    rows = [(1, False, b"ab")] * 50 + [(i, False, bytes([i])) for i in range(2, 12)] + [(1, True, b"cd")]
+    encoded = spark.createDataFrame(rows, "doc_id bigint, held_out boolean, ids binary")
+    got = language.dealt(encoded, 4).collect()
+    hot = [r for r in got if bytes(r.ids) == b"ab"]
+    assert sorted(r.copies for r in hot) == [4] * 10 + [5] * 2 and len({(r["round"], r.part) for r in hot}) == 12
+    assert sum(r.copies for r in got) == 60 and all(0 <= r.part < 4 and 0 <= r["round"] < 3 for r in got)
+
+
 def test_training_beats_the_counts():
     draw = np.random.default_rng(2)
     ids = np.array([(i * 3 + draw.integers(2)) % 30 for i in range(40_000)])
