@@ -6,6 +6,7 @@ import hashlib
 import io
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -355,10 +356,77 @@ def test_tiles_catch_reordered_passages(spark, docs, empty):
     assert contamination.leaks(docs, benchmark.limit(0)).count() == 0
 
 
-def test_greedy_tiling_marks_the_longest_first():
-    a = np.array([0, 1, 2, 0, 1])
-    marked = contamination.tiles(a, np.array([10, 11, 12, 30, 31]), 5)
-    assert marked == [(0, 10, 7)]
+def naive_tiles(item, text, tile):
+    """Longest first, then the earliest in the item, then in the text; word by word."""
+    item_free, text_free, out = [True] * len(item), [True] * len(text), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and item_free[i + n] and text_free[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if not n or n < min(tile, len(item)):
+            return out
+        out.append((i, j, n))
+        item_free[i : i + n] = [False] * n
+        text_free[j : j + n] = [False] * n
+
+
+def naive_hits(texts, items, tile, cover):
+    rows = set()
+    for t, text in enumerate(texts):
+        for k, item in enumerate(items):
+            marked = naive_tiles(item, text, tile)
+            covered = sum(n for _, _, n in marked)
+            if item and marked and covered >= cover * len(item):
+                rows.add((t, k, covered, len(marked), min(j for _, j, _ in marked), max(j + n for _, j, n in marked)))
+    return rows
+
+
+few_words = st.lists(st.sampled_from("abc"), max_size=30)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(few_words, min_size=1, max_size=3), st.lists(few_words, min_size=1, max_size=3), st.integers(2, 5), st.sampled_from([0.3, 0.5, 1.0]))
+def test_tiling_like_naive_search(texts, items, tile, cover):
+    block = contamination.items_of(list(range(len(items))), [" ".join(x) for x in items], tile)
+    found = contamination.hits(pa.array([" ".join(x) for x in texts]), block, cover)
+    assert len(found) == len(set(found)) and set(found) == naive_hits(texts, items, tile, cover)
+
+
+def test_passages_moved_about_like_naive_search(monkeypatch):
+    monkeypatch.setattr(contamination, "TOGETHER", 40)
+    draw = np.random.default_rng(6)
+    items = [WORDS[k : k + 30] for k in range(0, 90, 15)]
+    texts = []
+    for _ in range(20):
+        parts = [items[draw.integers(6)][(b := int(draw.integers(0, 24))) : b + int(draw.integers(4, 20))] for _ in range(6)]
+        texts.append(sum(parts, ["x"]))
+    found = contamination.hits(pa.array([" ".join(x) for x in texts]), contamination.items_of(list(range(6)), [" ".join(x) for x in items]), 0.5)
+    assert found and set(found) == naive_hits(texts, items, 5, 0.5)
+
+
+def test_long_repeated_texts_are_tiled_in_seconds():
+    items = contamination.items_of([1, 2], [" ".join(["w"] * 1000), " ".join(["u", "v", "w"] * 300)])
+    texts = pa.array([" ".join(["w"] * 200_000), " ".join(["u", "v", "w"] * 70_000)])
+    began = time.perf_counter()
+    assert contamination.hits(texts, items, 0.5) == [(0, 0, 1000, 1, 0, 1000), (1, 1, 900, 1, 0, 900)]
+    assert time.perf_counter() - began < 10
+
+
+def test_blocks_of_the_benchmark_give_the_rows_of_the_whole(spark):
+    items = [(k, " ".join(WORDS[k : k + 12])) for k in range(0, 120, 4)] + [(3, " ".join(WORDS[:12]))] * 5
+    texts = [(i, " ".join(WORDS[i : i + 20])) for i in range(0, 120, 7)] * 2
+    docs, benchmark = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    whole = Counter(contamination.leaks(docs, benchmark).collect())
+    assert max(whole.values()) == 10  # two equal documents, five equal items
+    for heap_bytes in (100, 1 << 20):
+        assert Counter(contamination.leaks(docs, benchmark, block_chars=300, heap_bytes=heap_bytes).collect()) == whole
+        clean = contamination.clean_documents(docs, benchmark, block_chars=300, heap_bytes=heap_bytes)
+        assert {r.doc_id for r in clean.collect()} == {i for i, _ in texts} - {r.doc_id for r in whole}
 
 
 # html
