@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+import numpy as np
+
 #: Elements of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -402,6 +405,76 @@ def _flat(tree: tuple) -> Skeleton:
     return out
 
 
+#: Cells of a table of two lists of children that is kept whole; longer lists are aligned row by row.
+WHOLE_CELLS = 1 << 10
+
+
+class _Alignment:
+    """The heaviest order-preserving pairs of two long lists of children, in memory that grows with the length times its root.
+
+    A row of the table is one vector operation. Every so many rows one is kept; going back, the rows between two of them are made again.
+    """
+
+    def __init__(self, a: Sequence[int], b: Sequence[int], weight: Callable[[int, int], int]):
+        rows, self.row_of = np.unique(a, return_inverse=True)
+        columns, self.column_of = np.unique(b, return_inverse=True)
+        self.weights = np.array([[weight(x, y) for y in columns.tolist()] for x in rows.tolist()], np.int32)
+        self.step = max(1, math.isqrt(len(a)))
+        self.kept = {0: np.zeros(len(b) + 1, np.int32)}
+        last = self.kept[0]
+        for at, last in enumerate(self._rows(last, 0, len(a)), 1):
+            if at % self.step == 0:
+                self.kept[at] = last
+        self.value = int(last[-1])
+
+    def _rows(self, row: np.ndarray, begin: int, end: int) -> Iterator[np.ndarray]:
+        for shape in self.row_of[begin:end]:
+            following = row.copy()
+            np.maximum(row[1:], row[:-1] + self.weights[shape][self.column_of], out=following[1:])
+            row = np.maximum.accumulate(following)
+            yield row
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        """Matched places, from the last; the same ones that the whole table would give."""
+        i, j = len(self.row_of), len(self.column_of)
+        while i and j:
+            low = (i - 1) // self.step * self.step
+            table = [self.kept[low], *self._rows(self.kept[low], low, i)]
+            while i > low and j:
+                here, above = table[i - low], table[i - low - 1]
+                if here[j] == above[j]:
+                    i -= 1
+                elif here[j] == here[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    yield i, j
+
+
+class _Table:
+    """The same for short lists, with the whole table."""
+
+    def __init__(self, a: Sequence[int], b: Sequence[int], weight: Callable[[int, int], int]):
+        self.rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            above, here = self.rows[i - 1], self.rows[i]
+            for j, y in enumerate(b, 1):
+                here[j] = max(above[j], here[j - 1], above[j - 1] + weight(x, y))
+        self.value = self.rows[-1][-1]
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        table = self.rows
+        i, j = len(table) - 1, len(table[0]) - 1
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                yield i, j
+
+
 def match(one: Skeleton | tuple, two: Skeleton | tuple) -> dict[int, int]:
     """Simple tree matching: the largest order-preserving match of the two trees, as slots of one to slots of two."""
     shapes = _Shapes()
@@ -409,23 +482,31 @@ def match(one: Skeleton | tuple, two: Skeleton | tuple) -> dict[int, int]:
     labels, children = shapes.labels, shapes.children
     if labels[first] != labels[second]:
         return {}
-    best: dict[tuple[int, int], tuple[int, list]] = {}
+    best: dict[tuple[int, int], int] = {}
+    tables: dict[tuple[int, int], _Table] = {}
+
+    def weight(x: int, y: int) -> int:
+        return best[x, y] if labels[x] == labels[y] else 0
+
+    def aligned(a: int, b: int) -> _Table | _Alignment:
+        whole = len(children[a]) * len(children[b]) <= WHOLE_CELLS
+        return (_Table if whole else _Alignment)(children[a], children[b], weight)
+
     waiting = [(first, second)]
     while waiting:
         a, b = pair = waiting[-1]
         if pair in best:
             waiting.pop()
             continue
-        needed = {(x, y) for x in children[a] for y in children[b] if labels[x] == labels[y] and (x, y) not in best}
+        ours, theirs = set(children[a]), set(children[b])
+        needed = {(x, y) for x in ours for y in theirs if labels[x] == labels[y] and (x, y) not in best}
         if needed:
             waiting.extend(needed)
             continue
-        table = [[0] * (len(children[b]) + 1) for _ in range(len(children[a]) + 1)]
-        for i, x in enumerate(children[a], 1):
-            for j, y in enumerate(children[b], 1):
-                both = best[x, y][0] if labels[x] == labels[y] else 0
-                table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + both)
-        best[pair] = 1 + table[-1][-1], table
+        table = aligned(a, b)
+        best[pair] = 1 + table.value
+        if isinstance(table, _Table):
+            tables[pair] = table
         waiting.pop()
 
     out: dict[int, int] = {}
@@ -433,15 +514,7 @@ def match(one: Skeleton | tuple, two: Skeleton | tuple) -> dict[int, int]:
     while taken:
         a, b, at, bt = taken.pop()
         out[at] = bt
-        table = best[a, b][1]
         starts_a, starts_b = shapes.starts(a, at), shapes.starts(b, bt)
-        i, j = len(children[a]), len(children[b])
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                taken.append((children[a][i], children[b][j], starts_a[i], starts_b[j]))
+        table = tables.get((a, b)) or aligned(a, b)
+        taken += [(children[a][i], children[b][j], starts_a[i], starts_b[j]) for i, j in table.pairs()]
     return out

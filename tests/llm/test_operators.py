@@ -455,6 +455,66 @@ def test_tree_matching_is_the_largest():
     assert html_tree.match(one, ("z", ())) == {}
 
 
+trees = st.recursive(
+    st.tuples(st.sampled_from("ab"), st.just(())), lambda kids: st.tuples(st.sampled_from("ab"), st.lists(kids, max_size=4).map(tuple)), max_leaves=12
+)
+
+
+def naive_match(one, two):
+    """Size of the largest match, by plain recursion over the lists of children."""
+
+    def lists(a, b):
+        if not a or not b:
+            return 0
+        return max(lists(a[1:], b), lists(a, b[1:]), naive_match(a[0], b[0]) + lists(a[1:], b[1:]))
+
+    return 0 if one[0] != two[0] else 1 + lists(one[1], two[1])
+
+
+def labels_and_parents(tree):
+    out = []
+
+    def walk(node, parent):
+        own = len(out)
+        out.append((node[0], parent))
+        for child in node[1]:
+            walk(child, own)
+
+    walk(tree, None)
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(trees, trees, st.sampled_from([0, 1 << 10]))
+def test_tree_matching_like_plain_recursion(one, two, whole_cells):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(html_tree, "WHOLE_CELLS", whole_cells)
+        got = html_tree.match(one, two)
+    assert len(got) == naive_match(one, two)
+    ours, theirs = labels_and_parents(one), labels_and_parents(two)
+    for a, b in got.items():
+        assert ours[a][0] == theirs[b][0] and got.get(ours[a][1]) == theirs[b][1]
+    assert [got[a] for a in sorted(got)] == sorted(got.values())
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 4), min_size=1, max_size=40), st.lists(st.integers(0, 4), min_size=1, max_size=40), st.integers(0, 99))
+def test_long_lists_are_aligned_like_short_ones(a, b, seed):
+    weights = np.random.default_rng(seed).integers(0, 4, (5, 5)).tolist()
+    short, long = (kind(a, b, lambda x, y: weights[x][y]) for kind in (html_tree._Table, html_tree._Alignment))
+    assert short.value == long.value and list(short.pairs()) == list(long.pairs())
+
+
+def test_flat_page_of_many_elements_is_matched_in_seconds():
+    def page(n, seed):
+        draw = np.random.default_rng(seed)
+        return ("body", tuple(("p", (("b", ()),) if k else ()) if k < 2 else ("div", ()) for k in draw.integers(0, 3, n).tolist()))
+
+    began = time.perf_counter()
+    got = html_tree.match(page(30_000, 1), page(30_000, 2))
+    assert len(got) > 30_000 and time.perf_counter() - began < 60
+
+
 def test_deep_and_broken_pages_do_not_fail():
     for page in ("<div>" * 5000 + "x", "</p></div><li>a<li>b", "<p>a<!-- b", "<p>a<b", "<![CDATA[x]]>", "<table><td>1<td>2<tr><td>3"):
         root = html_tree.parse(page)
