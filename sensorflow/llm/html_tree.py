@@ -407,6 +407,8 @@ def _flat(tree: tuple) -> Skeleton:
 
 #: Cells of a table of two lists of children that is kept whole; longer lists are aligned row by row.
 WHOLE_CELLS = 1 << 10
+#: Weights of rows that are spread over all columns at once; beyond, row by row.
+WIDE_CELLS = 1 << 22
 
 
 class _Alignment:
@@ -419,6 +421,7 @@ class _Alignment:
         rows, self.row_of = np.unique(a, return_inverse=True)
         columns, self.column_of = np.unique(b, return_inverse=True)
         self.weights = np.array([[weight(x, y) for y in columns.tolist()] for x in rows.tolist()], np.int32)
+        self.wide = self.weights[:, self.column_of] if len(rows) * len(b) <= WIDE_CELLS else None
         self.step = max(1, math.isqrt(len(a)))
         self.kept = {0: np.zeros(len(b) + 1, np.int32)}
         last = self.kept[0]
@@ -430,7 +433,8 @@ class _Alignment:
     def _rows(self, row: np.ndarray, begin: int, end: int) -> Iterator[np.ndarray]:
         for shape in self.row_of[begin:end]:
             following = row.copy()
-            np.maximum(row[1:], row[:-1] + self.weights[shape][self.column_of], out=following[1:])
+            weights = self.weights[shape][self.column_of] if self.wide is None else self.wide[shape]
+            np.maximum(row[1:], row[:-1] + weights, out=following[1:])
             row = np.maximum.accumulate(following)
             yield row
 
