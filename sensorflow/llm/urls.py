@@ -21,14 +21,26 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm.frames import LOWER, UPPER, packed, read, ship, unpacked
 
-#: Terms that reject a URL alone, and soft terms with their weights.
-STRICT = ("adult", "casino", "hentai", "porn", "sex", "viagra", "xxx")
-SOFT = (
-    ("ads", 1), ("bet", 1), ("bets", 1), ("bonus", 1), ("buy", 1), ("cheap", 1), ("cialis", 1), ("click", 1), ("dating", 1),
-    ("escort", 1), ("free", 1), ("gambling", 1), ("jackpot", 1), ("loan", 1), ("loans", 1), ("lottery", 1), ("nude", 1),
-    ("pills", 1), ("poker", 1), ("slots", 1), ("torrent", 1), ("track", 1), ("tracker", 1), ("warez", 1), ("win", 1),
-)
-SOFT_LIMIT = 2
+#: Terms that reject a URL alone, and soft terms by weight: 1 for everyday words that such sites like, 2 for words that are
+#: seldom seen elsewhere, 3 for those that nearly always stand for such a site.
+STRICT = tuple(
+    "adult bdsm blowjob bukkake camgirl camgirls camsex casino casinos creampie cumshot deepthroat erotica fetish freeporn gangbang "
+    "hardcoresex hentai lolita megaporn milf milfs naked nsfw onlinecasino orgasm orgy porn porno pornhub pornos pornstar pornstars "
+    "pornvideo porntube rape sex sexcam sexcams sexchat sexshop sextape sexvideo sexvideos sexy shemale slut sluts tits viagra whore "
+    "xnxx xxx xxxvideos".split()
+)
+WEIGHTED = {
+    1: "ads apk bet bonus buy cash cheap chips click credit deal deals diet discount download earn free gift girls guns hack hot joker keygen "
+    "leaked loan loans lucky money nude odds offer pills prize promo rich rolex spin stream teen track tracker weed win winner",
+    2: "affiliate babes baccarat betting bingo blackjack bookmaker cannabis cbd clickbait cougar crack craps cracked dating debt fatloss "
+    "forex gamble hookup hookups kamagra lingerie lottery lotto mp3 mp4 nudes paydayloan pharma pharmacy replica roulette singles steroids "
+    "streaming swinger swingers tipster torrents wager warez weightloss xanax",
+    3: "adsense ambien bets camshow cialis escort escorts gambling jackpot jackpots levitra nulled onlinepharmacy payday phentermine poker "
+    "serialz slot slots stripper strippers sportsbook thepiratebay torrent tramadol valium vicodin",
+}
+SOFT = tuple(sorted((term, weight) for weight, terms in WEIGHTED.items() for term in terms.split()))
+#: No soft term reaches it alone.
+SOFT_LIMIT = 4
 
 
 @dataclass(frozen=True)
