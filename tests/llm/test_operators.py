@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorflow.llm import attention, bitpack, contamination, html_tree, language, lines, mixing, near, rules, substring, tokens, urls, words, wrappers
@@ -270,13 +271,37 @@ def test_cascade_verdict_does_not_depend_on_order(docs, empty):
     kept = rules.quality_filter(docs)
     assert kept.schema.names == docs.schema.names
     for order in (every, every[::-1]):
-        text_column = docs["text"]
-        assert Counter(docs.where(rules.rejected_by(text_column, order).isNull()).collect()) == Counter(kept.collect())
+        measures = rules.Measures.of(docs["text"])
+        assert Counter(docs.where(rules.rejected_by(measures, order).isNull()).collect()) == Counter(kept.collect())
     assert {r.doc_id for r in kept.collect()} == {1, 2, None, 7, 8, 9}
     assert sorted(r.name for r in rules.cascade_order(docs, every)) == sorted(r.name for r in every)
     assert rules.quality_filter(empty).count() == 0
 
 
+def test_cascade_follows_costs_and_what_is_left(spark):
+    names = [rules.Rule(x, None) for x in ("costly", "cheap", "same")]
+    rejected = {(True, True, True): 50, (True, False, False): 30, (False, False, False): 900, (False, True, True): 10}
+    ordered = rules.in_order(names, {"costly": 10.0, "cheap": 1.0, "same": 1.1}, rejected)
+    assert [r.name for r in ordered] == ["cheap", "costly", "same"]  # after cheap, same rejects nothing more
+    assert [r.name for r in rules.in_order(names, {"costly": 1.0, "cheap": 1.0, "same": 1.1}, rejected)][0] == "costly"
+
+    words = F.sequence(F.lit(0), F.lit(200))
+    texts = spark.range(1200).select(F.concat_ws(" ", F.transform(words, lambda k: F.concat(F.lit("w"), k + F.col("id")))).alias("text"))
+
+    def slow(m: rules.Measures):
+        return F.aggregate(F.sequence(F.lit(0), F.lit(12)), F.lit(0).cast("bigint"), lambda a, x: F.xxhash64(a, x, m.n_symbols)) != 0
+
+    planted = [rules.Rule("a_slow", slow), rules.Rule("quick", lambda m: m.n_symbols == 0)]
+    assert [r.name for r in rules.cascade_order(texts, planted)] == ["quick", "a_slow"]
+
+
+def test_sample_is_bounded_and_read_from_few_tasks(spark, tmp_path):
+    spark.range(0, 40_000, 1, 40).select(F.repeat(F.lit("x"), (F.col("id") % 9).cast("int")).alias("text")).write.parquet(str(tmp_path / "t"))
+    got = rules.sample_of(spark.read.parquet(str(tmp_path / "t")), 100, 5)
+    assert len(got) == 100 and max(map(len, got)) <= 5
+    assert rules.sample_of(spark.createDataFrame([(None,), ("",)], "text string")) == [None, ""]
+
+
 # near duplicates
 
 
