@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import io
 import math
@@ -149,6 +150,22 @@ def removed(spark, texts: list[str | None], size: int) -> list[tuple]:
     return sorted((r.kept, r.n_words, r.n_removed, r.out) for r in got)
 
 
+def parsed(spark, texts: list[str], size: int) -> list[list[tuple[int, int, int, int]]]:
+    """Factors (place, length, number of the reference's text, place in it) of each text; different texts only."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(substring.factors(rows, size).collect())
+    bases = sorted((r.address, r.doc_id) for r in got)
+    out = []
+    for row in got:
+        assert row.address == dict((d, a) for a, d in bases)[row.doc_id]
+        found = []
+        for begin, length, source in row.factors or ():
+            base, owner = bases[bisect.bisect_right(bases, (source, len(texts))) - 1]
+            found.append((begin, length, owner, source - base))
+        out.append(found)
+    return out
+
+
 def expected_cut(texts: list[str | None], size: int) -> list[tuple]:
     out = []
     for number, (value, gone) in enumerate(zip(texts, brute_spans(texts, size), strict=True)):
@@ -167,6 +184,47 @@ def test_substrings_like_brute_force(spark):
     assert removed(spark, texts, 35) == expected_cut(texts, 35)
 
 
+def test_factors_are_copies_of_their_references(spark):
+    draw = np.random.default_rng(5)
+    base = [f"v{x}" for x in draw.integers(0, 50, 2000)]
+    texts = ["", "a " * 90, " ".join(base)]
+    for number in range(30):
+        cuts = [base[b : b + n] for b, n in zip(draw.integers(0, 1900, 3), draw.integers(20, 90, 3), strict=True)]
+        texts.append(" ".join(sum(([*c, f"u{number}-{i}"] for i, c in enumerate(cuts)), [])))
+    for number, (found, gone) in enumerate(zip(parsed(spark, texts, 35), brute_spans(texts, 35), strict=True)):
+        mine, at, covered = texts[number].split(), 0, [False] * len(texts[number].split())
+        for begin, length, owner, place in found:
+            assert begin >= at and length > 0
+            assert mine[begin : begin + length] == texts[owner].split()[place : place + length]
+            covered[begin : begin + length] = [True] * length
+            at = begin + length
+        assert covered == gone
+
+
+def test_one_passage_is_one_factor(spark):
+    passage = [f"p{i}" for i in range(400)]
+    texts = [" ".join([f"a{d}-{i}" for i in range(50 * d)] + passage + [f"z{d}-{i}" for i in range(60)]) for d in range(4)]
+    found = parsed(spark, texts, 35)
+    assert [[(begin, length) for begin, length, _, _ in f] for f in found] == [[(50 * d, 400)] for d in range(4)]
+    assert len({(owner, place) for f in found for _, _, owner, place in f}) == 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 9), st.integers(0, 3)), max_size=25))
+def test_greedy_parse_takes_the_longest_known_match(raw):
+    matches = [{"begin": b, "end": b + n, "source": b + 100 * d} for b, n, d in raw]
+    held = {d: [any(m["source"] - m["begin"] == d and m["begin"] <= i < m["end"] for m in matches) for i in range(60)] for d in range(0, 400, 100)}
+    wanted, at = [], 0
+    while at < 60:
+        reach = max(next(i for i in range(at, 60) if not row[i]) for row in held.values())
+        if reach > at:
+            wanted.append((at, reach))
+        at = max(reach, at + 1)
+    got = substring.parse(matches)
+    assert [(b, e) for b, e, _ in got] == wanted
+    assert all(all(held[s - b][b:e]) for b, e, s in got)
+
+
 def test_substrings_on_odd_rows(docs, empty):
     got = substring.dedup_substrings(docs)
     assert got.schema.names == docs.schema.names
