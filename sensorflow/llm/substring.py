@@ -8,7 +8,8 @@ first key (two bits shifted out) plus its place, so a reference is one number, a
 A text matches the index in whole blocks (those that occur twice or more) and, at the ends of such matches, in single windows: a
 block that occurs once may begin or end like others. There the windows are looked up one by one: those of blocks that
 occur once but whose anchor is known elsewhere, among those of all references with that anchor. No two occurrences are ever
-paired with each other; all counts are summed before the shuffle. Hashes of blocks and windows have 128 bits.
+paired with each other; all counts are summed before the shuffle. Windows are told apart by 128 bits, blocks too: 64 of the
+anchor, which equal blocks share, and 64 of all their words with another base.
 
 Each text is then parsed from left to right. Matches with the same distance to their references that touch or overlap join into
 longer ones, and from each place the match that reaches farthest becomes the next factor (place, length, address of the reference).
@@ -41,7 +42,7 @@ SIZE = 35
 SEED = 8
 COUNTS = T.StructType().add("n_words", "long").add("n_removed", "long").add("n_factors", "long").add("out", "string")
 FACTORS = T.ArrayType(T.StructType().add("begin", "integer").add("length", "integer").add("source", "long"))
-BLOCKS = "key_1 bigint, key_2 bigint, first int, last int, anchor bigint, block_1 bigint, block_2 bigint"
+BLOCKS = "key_1 bigint, key_2 bigint, first int, last int, anchor bigint, block bigint"
 
 
 def latest_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -73,7 +74,7 @@ def latest_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks_of(found: W.Words, size: int, seed: int) -> dict[str, np.ndarray]:
-    """Blocks of all texts: text number, first and last window (places in the text), anchor hash and block hashes."""
+    """Blocks of all texts: text number, first and last window (places in the text), anchor hash and block hash."""
     n = len(found.hashes) - size + 1
     if n <= 0:
         return {}
@@ -95,8 +96,7 @@ def blocks_of(found: W.Words, size: int, seed: int) -> dict[str, np.ndarray]:
         "first": first - base,
         "last": last - base,
         "anchor": seeds[anchor[begin]],
-        "block_1": W.run_hashes(found.hashes, first, last + size, W.RUN_BASES[0]),
-        "block_2": W.run_hashes(found.hashes, first, last + size, W.RUN_BASES[1]),
+        "block": W.run_hashes(found.hashes, first, last + size, W.RUN_BASES[1]),
     }
 
 
@@ -107,7 +107,7 @@ def _index(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> Iterator[
             text = pa.array(found.pop("text"))
             keys = {k: batch.column(k).take(text) for k in ("key_1", "key_2")}
             places = {k: pa.array(found[k], pa.int32()) for k in ("first", "last")}
-            yield pa.RecordBatch.from_pydict(keys | places | {k: W.signed(found[k]) for k in ("anchor", "block_1", "block_2")})
+            yield pa.RecordBatch.from_pydict(keys | places | {k: W.signed(found[k]) for k in ("anchor", "block")})
 
 
 def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def address(key: str, place: Column | int) -> Column:
 def references(blocks: DataFrame) -> DataFrame:
     """Each different block of an anchor that occurs more than once: its occurrences and the first of them, the reference."""
     where = F.struct("key_1", "key_2", "first", "last")
-    kinds = blocks.groupBy("anchor", "block_1", "block_2").agg(F.count("*").alias("times"), F.min(where).alias("source"))
+    kinds = blocks.groupBy("anchor", "block").agg(F.count("*").alias("times"), F.min(where).alias("source"))
     anchors = blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor")
     return kinds.join(anchors, "anchor")
 
@@ -219,8 +219,8 @@ def matches(texts: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFrame:
     """key_1, key_2 and ``matches``: word ranges that the index holds, with the address of the reference. ``texts``: the keys, doc_id, text."""
     blocks = index(texts, size, seed)
     known = stored(references(blocks), "substring-references")
-    copied = known.where("times > 1").select("block_1", "block_2", address("source.key_1", F.col("source.first")).alias("source"))
-    whole = blocks.join(copied, ["block_1", "block_2"])
+    copied = known.where("times > 1").select("anchor", "block", address("source.key_1", F.col("source.first")).alias("source"))
+    whole = blocks.join(copied, ["anchor", "block"])
     whole = whole.select("key_1", "key_2", F.col("first").alias("begin"), (F.col("last") + size).alias("end"), "source")
 
     open_anchors = known.where("times = 1").select("anchor").distinct()
