@@ -11,6 +11,9 @@ Tails are kept in hash buckets of the series, each in one of two folders by turn
 buckets that it touches and writes them to their other folders; all other files stay as they are. A small
 table, itself in one of two folders by turns, says where each bucket is, so a repeated micro-batch starts
 from the same tails and replaces its own first try.
+
+A micro-batch is first written to files and scored in the caller's session: the stream's own session plans without
+adaptive execution, where a hint to rebalance is dropped and every partition would write into every bucket.
 """
 
 from __future__ import annotations
@@ -113,26 +116,27 @@ def rolling_query(
     Rows must come from ``ingest.once`` with the same ``delay``: it drops repeats and rows behind the
     watermark, so neither reaches the rules or the tails.
     """
+    spark = readings.sparkSession
     folder = f"{checkpoints}/tails"
     bucket = F.pmod(F.xxhash64(*SERIES), F.lit(buckets)).alias("bucket")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        scorable(batch).write.mode("overwrite").parquet(f"{folder}/arrived")
+        rows = spark.read.schema(scorable(batch).schema).parquet(f"{folder}/arrived")
         judged = None
         try:
             places: dict[int, int] = {}
             if batch_id > 0:
                 before = spark.read.schema(_PLACES).parquet(f"{folder}/places/{(batch_id - 1) % 2}")
                 places = {r.bucket: r.slot for r in before.collect()}
-            touched = scorable(batch).groupBy(bucket).agg(F.max("ts").alias("newest")).collect()
+            touched = rows.groupBy(bucket).agg(F.max("ts").alias("newest")).collect()
             if touched:
                 held = [f"{folder}/rows/slot={places[r.bucket]}/bucket={r.bucket}" for r in touched if r.bucket in places]
                 tails = None
                 if held:
-                    schema = T.StructType([*scorable(batch).select(*TAIL).schema.fields, T.StructField("reported", T.LongType())])
+                    schema = T.StructType([*rows.select(*TAIL).schema.fields, T.StructField("reported", T.LongType())])
                     tails = spark.read.schema(schema).parquet(*held)
-                judged = judge_batch(batch, tails, hot_rows).persist(StorageLevel.MEMORY_AND_DISK)
+                judged = judge_batch(rows, tails, hot_rows).persist(StorageLevel.MEMORY_AND_DISK)
                 sink(changed_reports(judged), batch_id)
                 after = tails_after(judged, max((r.newest for r in touched if r.newest), default=None), delay, silent)
                 places |= {r.bucket: 1 - places.get(r.bucket, 1) for r in touched}
@@ -143,10 +147,10 @@ def rolling_query(
         finally:
             if judged is not None:
                 judged.unpersist()
-            batch.unpersist()
 
     return (
-        readings.writeStream.option("checkpointLocation", f"{checkpoints}/query")
+        readings.select(*TAIL)
+        .writeStream.option("checkpointLocation", f"{checkpoints}/query")
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(step)
         .start()

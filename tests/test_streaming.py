@@ -116,6 +116,15 @@ def numbered(folder):
     return {str(p): p.stat().st_mtime_ns for p in folder.rglob("part-*.parquet")}
 
 
+def test_a_bucket_of_tails_is_one_file_whatever_the_partitions(spark, sf_dir, tmp_path):
+    rows = fixtures.readings(spark, sf_dir)
+    rows.write.parquet(f"{tmp_path}/in")
+    readings = once(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"))
+    rolling_query(readings, f"{tmp_path}/check", lambda some, n: some.collect(), buckets=4).awaitTermination()
+    files = numbered(tmp_path / "check/tails/rows")
+    assert len(files) == len({path.rsplit("/", 1)[0] for path in files}) == 4
+
+
 def test_late_row_is_scored_and_corrects_the_rows_behind_it(spark, tmp_path):
     """A late 95 degrees is found; the row after it becomes a drop, and a spike after a late equal value goes."""
     start = datetime(2024, 1, 1, 12)
