@@ -11,9 +11,9 @@ text and then the text; equal rows are written once each. An empty table writes
 from __future__ import annotations
 
 import re
-import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache, partial
 
@@ -29,7 +29,8 @@ from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries of the cache of encoded pieces and their parts in each Python worker, some 130 MB; it is emptied when full.
+#: Entries of the cache of encoded pieces and their parts in each Python worker, some 130 MB; it is emptied when full,
+#: and only the pieces of one text may go beyond it.
 CACHE = 800_000
 SHARDS = "shard int, path string, documents bigint, ids bigint"
 
@@ -40,6 +41,10 @@ PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 #: For pieces of these characters the tokenizer's own pattern comes down to PARTS.
 LATIN = re.compile(" ?[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ÿ]+")
+#: A piece that is one part.
+WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The letter of a byte-level vocabulary that stands for a blank; the other printable ASCII characters stand for themselves.
+BLANK = "\u0120"
 
 
 def byte_letters() -> dict[int, int]:
@@ -48,10 +53,6 @@ def byte_letters() -> dict[int, int]:
     return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
 
 
-def little(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 class Encoder:
     """Ids of texts as the tokenizers library gives them. Pieces that no token crosses are encoded once and kept in a cache.
 
@@ -68,7 +69,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
             raise ValueError("added tokens that change the text beside them")
-        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.added = {t.content: np.array([i], np.uint32).tobytes() for i, t in added.items()}
         # the longest of several that begin at one place
         self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -76,7 +77,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(self._ids(text)), "<u4") for text in texts]
+        return [np.frombuffer(b"".join(self._ids(text)), np.uint32) for text in texts]
 
     def _ids(self, text: str) -> list[bytes]:
         out, begin = [], 0
@@ -88,36 +89,40 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[bytes]:
         pieces = PIECES.findall(text)
-        found = list(map(self.known.get, pieces))
-        missing = [at for at, ids in enumerate(found) if ids is None]
-        if missing:
-            new = self._encoded({pieces[at] for at in missing})
-            for at in missing:
-                found[at] = new[pieces[at]]
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-            self.known.update(new)
-        return found
-
-    def _encoded(self, new: set[str]) -> dict[str, bytes]:
-        out, others = {}, []
+        new = set(pieces).difference(self.known)
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+            new = set(pieces)
+        if new:
+            self._learn(new)
+        return list(map(self.known.__getitem__, pieces))
+
+    def _learn(self, new: set[str]) -> None:
+        """Adds the pieces, and the parts of those that have several, to the cache."""
+        known, others = self.known, []
         for piece in new:
-            if LATIN.fullmatch(piece):
+            if piece in known:  # as a part of another one
+                continue
+            if WORD.fullmatch(piece):
+                known[piece] = self._part(piece)
+            elif LATIN.fullmatch(piece):
                 parts = PARTS.findall(piece)
-                out[piece] = b"".join([self.known.get(p) or self._part(p) for p in parts]) if len(parts) > 1 else self._part(piece)
+                for part in parts:
+                    if part not in known:
+                        known[part] = self._part(part)
+                if len(parts) > 1:
+                    known[piece] = b"".join([known[part] for part in parts])
             else:
                 others.append(piece)
         if others:
-            out.update(self._by_tokenizer(others))
-        return out
+            known.update(self._by_tokenizer(others))
 
     def _part(self, part: str) -> bytes:
-        letters = part.encode().decode("latin-1").translate(self.letters)
-        ids = little([t.id for t in self.model.tokenize(letters)])
-        if len(self.known) >= CACHE:
-            self.known.clear()
-        self.known[part] = ids
-        return ids
+        if part.isascii():
+            letters = part.replace(" ", BLANK)
+        else:
+            letters = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def _by_tokenizer(self, new: list[str]) -> dict[str, bytes]:
         """Encodes many pieces as the lines of one text: a line feed between two pieces is always a token of its own."""
@@ -127,14 +132,14 @@ class Encoder:
         for begin in range(0, len(words), 512):
             some = words[begin : begin + 512]
             (found,) = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
+            ids = np.array(found.ids, np.uint32)
             ends = np.append(np.flatnonzero(ids == self.line_feed), len(ids)) * 4
             data, at = ids.tobytes(), 0
             for piece, end in zip(some, ends.tolist(), strict=True):
                 out[piece] = data[at:end]
                 at = end + 4
         got = self.tokenizer.encode_batch(blank, add_special_tokens=False)
-        return out | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(blank, got, strict=True)}
+        return out | {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(blank, got, strict=True)}
 
 
 @cache

@@ -97,6 +97,31 @@ def test_added_tokens_are_as_the_library_has_them(value):
     assert tokens.encoder(tokens.tokenizer_path()).encode([value])[0].tolist() == plain_ids(value)
 
 
+def test_each_part_is_encoded_once():
+    words = [f"{a}{b}ord" for a in "abcdefgh" for b in "stuvwxyz"]
+    text = " ".join(form for w in words for form in (w, w + ",", w + "."))
+    coder, asked = tokens.Encoder(tokens.tokenizer_path()), []
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, part):
+            asked.append(part)
+            return self.model.tokenize(part)
+
+    coder.model = Counted(coder.model)
+    assert coder.encode([text])[0].tolist() == plain_ids(text)
+    assert len(asked) == len(set(asked))
+
+
+@pytest.mark.parametrize("cache", [1, 7])
+def test_a_full_cache_changes_no_ids(monkeypatch, cache):
+    monkeypatch.setattr(tokens, "CACHE", cache)
+    texts = ["one two, two. three 3x", "two, two. été 日本 one", "one one", ""]
+    assert [ids.tolist() for ids in tokens.Encoder(tokens.tokenizer_path()).encode(texts)] == [plain_ids(t) for t in texts]
+
+
 def test_tokens_round_trip(spark, docs, empty):
     special = [(50, "a <|endoftext|> b", None, "k", "w", 1), (51, "<|endoftext|>" * 3, None, "k", "w", 1)]
     found = sorted(tokens.tokens_written(docs.union(spark.createDataFrame(special, DOCS))).collect(), key=lambda r: r.start)
