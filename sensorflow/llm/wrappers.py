@@ -4,7 +4,7 @@ The pages of a host are aligned: each page's tree of block elements, with equal
 host's most common tree by simple tree matching. A slot of that tree whose text is the same on most pages of the host is
 template; slots whose text varies are content. Pages with the same text count once, so that copies of an article do not make it
 a template. Every page votes; the votes are hashes that are summed before the shuffle, so a host with a third of all pages is
-rows like any others.
+rows like any others. A page is parsed once: its blocks are stored, as hashes for the votes and as text for the result.
 
 Elements that HTML itself marks are believed: scripts, forms, menus, asides, footers and the like are never content, and where main
 or article elements hold the page's first heading, or one of them most of its text, content is inside them; there a text is template
@@ -16,9 +16,11 @@ texts. Ties between equally common trees go to the least hash. An empty table st
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,7 +35,9 @@ from sensorflow.llm.urls import host_of
 SHARE, PAGES = 0.5, 3
 #: Inside it.
 MAIN_SHARE, MAIN_PAGES = 0.9, 20
-VOTES = "host string, tree bigint, shape string, slot int, path bigint, words bigint, main boolean, page bigint"
+#: A page as it is read: ``blocks`` are those not plainly something else, in page order, ``texts`` theirs where they can be content.
+READ = "host string, tree bigint, shape string, page bigint, blocks array<struct<slot:int,path:bigint,words:bigint,main:boolean>>, texts array<string>"
+BLOCK = pa.struct([("slot", pa.int32()), ("path", pa.int64()), ("words", pa.int64()), ("main", pa.bool_())])
 
 
 def _hash(text: str) -> int:
@@ -52,23 +56,52 @@ def _path(node: H.Node, known: dict[H.Node, int]) -> int:
     return path
 
 
-def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page one row with its tree (slot -1) and one for each different block that is not plainly something else."""
-    schema = pa.schema([("host", pa.string()), ("tree", pa.int64()), ("shape", pa.string()), ("slot", pa.int32()), ("path", pa.int64()), ("words", pa.int64()), ("main", pa.bool_()), ("page", pa.int64())])
+def _page(html: str | None) -> tuple[int, str, int, list[tuple[int, int, int, bool]], list[str | None]]:
+    """Hash and skeleton of the page's tree, a hash of its text, its blocks, and their texts."""
+    root = H.parse(html or "")
+    found = [b for b in H.blocks(root) if not b.side]
+    shape, slots = H.skeleton(root)
+    text = json.dumps(shape)
+    marked = any(b.main for b in found)
+    paths: dict = {}
+    blocks = [(slots[b.node], _path(b.node, paths), _hash(b.text), b.main) for b in found]
+    return _hash(text), text, _hash("\n".join(b.text for b in found)), blocks, [b.text if b.main or not marked else None for b in found]
+
+
+def _left(places: Iterable[tuple[int, int]], texts: Iterable[str | None], template: set[tuple[int, int]]) -> str:
+    """Blocks of content joined by line feeds; ``places`` are their paths and hashes."""
+    return "\n".join(text for place, text in zip(places, texts, strict=True) if text is not None and place not in template)
+
+
+def main_text(html: str | None, template: set[tuple[int, int]]) -> str:
+    *_, blocks, texts = _page(html)
+    return _left([(path, words) for _, path, words, _ in blocks], texts, template)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html"):
-        rows = []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            root = H.parse(html or "")
-            found = H.blocks(root)
-            shape, slots = H.skeleton(root)
-            text = json.dumps(shape)
-            tree, page = _hash(text), _hash("\n".join(b.text for b in found if not b.side))
-            rows.append((host, tree, text, -1, 0, 0, False, page))
-            paths: dict = {}
-            seen = {(slots[b.node], _path(b.node, paths), _hash(b.text), b.main) for b in found if not b.side}
-            rows.extend((host, tree, None, slot, path, words, main, page) for slot, path, words, main in seen)
-        columns = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        trees, shapes, pages, blocks, texts = zip(*map(_page, batch.column("html").to_pylist()), strict=True)
+        begin = pa.array(np.append(0, np.cumsum([len(b) for b in blocks])), pa.int32())
+        columns = list(zip(*chain.from_iterable(blocks), strict=True)) or [[]] * len(BLOCK)
+        parts = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCK, strict=True)], fields=list(BLOCK))
+        safe = pa.array([t and t.encode("utf-8", "replace").decode() for t in chain.from_iterable(texts)], pa.string())
+        yield pa.RecordBatch.from_pydict(
+            {
+                "whole": batch.column("whole"),
+                "host": batch.column("host"),
+                "tree": pa.array(trees, pa.int64()),
+                "shape": pa.array(shapes, pa.string()),
+                "page": pa.array(pages, pa.int64()),
+                "blocks": pa.ListArray.from_arrays(begin, parts),
+                "texts": pa.ListArray.from_arrays(begin, safe),
+            }
+        )
+
+
+def pages_read(rows: DataFrame) -> DataFrame:
+    """Every page parsed, once, and stored. ``rows``: whole, host, html."""
+    schema = T.StructType([rows.schema["whole"], *T.StructType.fromDDL(READ)])
+    return stored(in_arrow(rows.select("whole", "host", "html"), _read, schema), "wrapper-pages", compression="zstd")
 
 
 @lru_cache(maxsize=1024)
@@ -90,9 +123,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host and ``template``: path and text hash of its constant nodes. ``pages``: host, html."""
-    votes = stored(in_arrow(pages.select("host", "html"), _vote, VOTES), "wrapper-votes")
-    trees = votes.where("slot = -1").groupBy("host", "tree").agg(F.count("*").alias("pages"), F.min("shape").alias("shape"))
+    """host and ``template``: path and text hash of its constant nodes. ``pages``: as ``pages_read`` has them."""
+    trees = pages.groupBy("host", "tree").agg(F.count("*").alias("pages"), F.min("shape").alias("shape"))
     trees = stored(trees, "wrapper-trees")
     best = trees.groupBy("host").agg(F.max(F.struct("pages", (-F.col("tree").cast("decimal(20,0)")).alias("first"), "shape")).alias("best"))
     aligned = in_arrow(
@@ -100,8 +132,8 @@ def templates(pages: DataFrame) -> DataFrame:
         _align,
         "host string, tree bigint, slot int, at int",
     )
-    sizes = votes.where("slot = -1").select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    held = votes.where("slot >= 0").select("host", "tree", "slot", "path", "words", "main", "page").distinct()
+    sizes = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    held = pages.select("host", "tree", F.inline("blocks"), "page").distinct()
     counted = held.groupBy("host", "tree", "slot", "path", "words", "main").agg(F.count("*").alias("times"))
     counted = counted.where("times > 0").join(aligned, ["host", "tree", "slot"], "left")
     place = F.coalesce(F.col("at"), -F.col("slot") - 2).alias("at")  # a node without a partner is a slot of its own
@@ -113,32 +145,26 @@ def templates(pages: DataFrame) -> DataFrame:
     return nodes.groupBy("host").agg(F.collect_set(F.struct("path", "words")).alias("template"))
 
 
-def main_text(html: str | None, template: set[tuple[int, int]]) -> str:
-    """Blocks of content joined by line feeds."""
-    root = H.parse(html or "")
-    found = [b for b in H.blocks(root) if not b.side]
-    if any(b.main for b in found):
-        found = [b for b in found if b.main]
-    if template:
-        paths: dict = {}
-        found = [b for b in found if (_path(b.node, paths), _hash(b.text)) not in template]
-    return "\n".join(b.text for b in found)
-
-
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "html"):
+    for batch in batches:
+        known: dict[str, set[tuple[int, int]]] = {}
         texts = []
-        for html, nodes in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
-            texts.append(main_text(html, {(n["path"], n["words"]) for n in nodes or ()}))
-        safe = [t.encode("utf-8", "replace").decode() for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(safe, pa.string())], ["whole", "text"])
+        blocks, held, of = batch.column("blocks"), batch.column("texts"), batch.column("template")
+        for at, host in enumerate(batch.column("host").to_pylist()):
+            if host not in known:
+                known[host] = {(n["path"], n["words"]) for n in of[at].as_py() or ()}
+            found = blocks[at].values
+            places = zip(found.field("path").to_pylist(), found.field("words").to_pylist(), strict=True)
+            texts.append(_left(places, held[at].values.to_pylist(), known[host]))
+        yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(texts, pa.string())], ["whole", "text"])
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Each row as ``whole`` (without its html) and its main ``text``."""
     rows = packed(pages, "url", "html").select(F.col("whole").dropFields("html").alias("whole"), host_of(F.col("url")).alias("host"), "html")
-    nodes = stored(templates(rows.select("host", "html")), "wrapper-templates")  # a table of known size: sent out if small
-    rows_and_nodes = rows.join(nodes, "host", "left").select("whole", "html", "template")
+    rows = pages_read(rows)
+    nodes = stored(templates(rows), "wrapper-templates")  # a table of known size: sent out if small
+    rows_and_nodes = rows.join(nodes, "host", "left").select("whole", "host", "blocks", "texts", "template")
     schema = T.StructType([rows_and_nodes.schema["whole"]]).add("text", "string")
     return in_arrow(rows_and_nodes, _extract, schema)
 

@@ -576,6 +576,13 @@ def test_pages(spark):
     assert wrappers.extracted(rows.limit(0)).count() == 0
 
 
+def test_a_page_is_parsed_once(spark):
+    rows = spark.createDataFrame([(i, f"http://a.net/{i}", f"<p>Own {i}</p><p>Same</p>", [i]) for i in range(4)], "page_id bigint, url string, html string, extra array<int>")
+    found = wrappers.extracted(rows)
+    assert "html" not in found._jdf.queryExecution().executedPlan().toString()  # the texts come from the stored blocks
+    assert {(r.whole.page_id, tuple(r.whole.extra), r.text) for r in found.collect()} == {(i, (i,), f"Own {i}") for i in range(4)}
+
+
 def test_tree_matching_is_the_largest():
     one = ("a", (("b", ()), ("c", (("d", ()),)), ("e", ())))
     two = ("a", (("x", ()), ("c", (("f", ()), ("d", ()))), ("b", ()), ("e", ())))
