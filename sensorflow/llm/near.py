@@ -42,6 +42,8 @@ SLACK = 4.5
 #: Nodes in a block of signatures; nodes and bytes of text in a block of texts.
 BLOCK = 512
 BLOCK_BYTES = 8 << 20
+#: Bytes of text that a task signs or verifies at once; its arrays take some 50 times as much.
+SLICE = 1 << 20
 
 ARRIVAL, PLACE, STEP = W.U(0x8CB92BA72F3D8DD7), W.U(0x5851F42D4C957F2D), W.U(0x9E3779B97F4A7C15)
 
@@ -107,7 +109,7 @@ def nodes_of(found: W.Words) -> pa.Array:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 1 << 21):
+    for batch in slices(batches, "text", SLICE):
         found = W.split(batch.column("text"))
         text, hashes, counts = shingles(found, shingle)
         signs = signatures(text, hashes, counts, batch.num_rows, bands * rows)
@@ -150,7 +152,7 @@ def _sets(texts: pa.Array, shingle: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch], shingle: int, limit: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text_a"):
+    for batch in slices(batches, "text_a", SLICE, "text_b"):
         pairs = zip(_sets(batch.column("text_a"), shingle), _sets(batch.column("text_b"), shingle), strict=True)
         linked = pa.array([similarity(x, y) >= limit for x, y in pairs], pa.bool_())
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": linked})

@@ -8,6 +8,7 @@ import io
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -440,6 +441,34 @@ def test_classes_like_brute_force(spark, monkeypatch, block):
     assert {r.doc_id: r.class_id for r in near.class_ids(rows).collect()} == {i: root(i) for i in range(len(texts))}
 
 
+def test_a_worker_keeps_small_tables_and_verifies_in_small_slices():
+    held: list[int] = []
+
+    def sliced(batch):
+        for some in near.slices(iter([batch]), "text_a", near.SLICE, "text_b"):
+            held.append(sum(len(t or "") for c in ("text_a", "text_b") for t in some.column(c).to_pylist()))
+            yield some
+
+    texts = [f"{'word ' * 2000}{n}" for n in range(300)]
+    batch = pa.RecordBatch.from_pydict({"a": [b"x"] * 300, "b": [b"y"] * 300, "text_a": ["short"] * 300, "text_b": texts})
+    assert sum(some.num_rows for some in sliced(batch)) == 300 and max(held) <= near.SLICE
+    tracemalloc.start()
+    try:
+        words.split(pa.array(["ab " * (1 << 20)]))
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 16 << 20
+
+
+def test_hashes_do_not_depend_on_the_powers_kept():
+    long = words.split(pa.array(["xy " * 200_000 + "one two", "one two"]))
+    short = words.split(pa.array(["one two"]))
+    assert long.hashes[-2:].tolist() == long.hashes[200_000:200_002].tolist() == short.hashes.tolist()
+    runs = words.run_hashes(long.hashes, np.array([200_000, 200_002]), np.array([200_002, 200_004]))
+    assert runs[0] == runs[1] == words.run_hashes(short.hashes, np.array([0]), np.array([2]))[0]
+
+
 def test_near_on_odd_rows(docs, empty):
     got = near.one_per_class(docs)
     assert got.schema.names == docs.schema.names
