@@ -14,8 +14,9 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +30,19 @@ from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries of the cache of encoded pieces and their parts in each Python worker, some 130 MB; it is emptied when full,
-#: and only the pieces of one text may go beyond it.
-CACHE = 800_000
+#: Entries of each generation of a cache of encoded pieces; a Python worker has two for each cache, some 170 bytes an entry.
+#: Only the pieces of one text may go beyond it, and longer pieces than ``KEPT`` aren't kept.
+CACHE = 250_000
+KEPT = 200
 SHARDS = "shard int, path string, documents bigint, ids bigint"
-
 #: Unicode's white space, as the tokenizer's pattern sees it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A byte-level tokenizer never joins across these borders: a word may take one blank before it, other white space stands alone.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-#: For pieces of these characters the tokenizer's own pattern comes down to PARTS.
-LATIN = re.compile(" ?[!-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ÿ]+")
-#: A piece that is one part.
-WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: For texts of these characters the tokenizer's own pattern comes down to PARTS.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+LATIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+PARTS = re.compile(f" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\t-\r {LETTERS}0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]")
 #: The letter of a byte-level vocabulary that stands for a blank; the other printable ASCII characters stand for themselves.
 BLANK = "\u0120"
 
@@ -53,11 +53,44 @@ def byte_letters() -> dict[int, int]:
     return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
 
 
+class Cache:
+    """Ids of pieces, encoded once while they are kept, in two generations.
+
+    When the young one is full it becomes the old one, whose pieces go with the next change unless they are met before.
+    """
+
+    def __init__(self, encoded: Callable[[list[str]], Iterable[bytes]], size: int):
+        self.encoded, self.size = encoded, size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        new = set(pieces).difference(self.young)
+        if not new:
+            return list(map(self.young.__getitem__, pieces))
+        if len(self.young) + len(new) > self.size:
+            self.young, self.old = {}, self.young
+            new = set(pieces)
+        young, old = self.young, self.old
+        unknown = []
+        for piece in new:
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                unknown.append(piece)
+        young.update(zip(unknown, self.encoded(unknown), strict=True))
+        found = list(map(young.__getitem__, pieces))
+        for piece in unknown:
+            if len(piece) > KEPT:
+                del young[piece]
+        return found
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them. Pieces that no token crosses are encoded once and kept in a cache.
 
-    Texts are cut at the tokenizer's added tokens first, as the library does. New pieces of Latin letters are cut into the parts
-    of the tokenizer's pattern here, each part encoded once by its model; all others go through the whole tokenizer.
+    Texts are cut at the tokenizer's added tokens first, as the library does. Texts and pieces of Latin letters are cut into the
+    parts of the tokenizer's pattern here, each part encoded once by its model; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -74,7 +107,7 @@ class Encoder:
         self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.parts, self.pieces = Cache(self._of_parts, CACHE), Cache(self._of_pieces, CACHE)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b"".join(self._ids(text)), np.uint32) for text in texts]
@@ -88,41 +121,25 @@ class Encoder:
         return out + self._pieces(text[begin:]) if begin else self._pieces(text)
 
     def _pieces(self, text: str) -> list[bytes]:
-        pieces = PIECES.findall(text)
-        new = set(pieces).difference(self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = set(pieces)
-        if new:
-            self._learn(new)
-        return list(map(self.known.__getitem__, pieces))
-
-    def _learn(self, new: set[str]) -> None:
-        """Adds the pieces, and the parts of those that have several, to the cache."""
-        known, others = self.known, []
-        for piece in new:
-            if piece in known:  # as a part of another one
-                continue
-            if WORD.fullmatch(piece):
-                known[piece] = self._part(piece)
-            elif LATIN.fullmatch(piece):
-                parts = PARTS.findall(piece)
-                for part in parts:
-                    if part not in known:
-                        known[part] = self._part(part)
-                if len(parts) > 1:
-                    known[piece] = b"".join([known[part] for part in parts])
+        if LATIN.fullmatch(text):
+            return self.parts.ids(PARTS.findall(text))
+        return self.pieces.ids(PIECES.findall(text))
+
+    def _of_parts(self, parts: list[str]) -> Iterator[bytes]:
+        tokenize = self.model.tokenize
+        for part in parts:
+            if part.isascii() and part.isprintable():
+                letters = part.replace(" ", BLANK)
             else:
-                others.append(piece)
-        if others:
-            known.update(self._by_tokenizer(others))
-
-    def _part(self, part: str) -> bytes:
-        if part.isascii():
-            letters = part.replace(" ", BLANK)
-        else:
-            letters = part.encode().decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+                letters = part.encode().decode("latin-1").translate(self.letters)
+            yield array("I", [token.id for token in tokenize(letters)]).tobytes()
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        parts = {piece: PARTS.findall(piece) for piece in pieces if LATIN.fullmatch(piece)}
+        found = iter(self.parts.ids([part for some in parts.values() for part in some]))
+        out = {piece: b"".join(islice(found, len(some))) for piece, some in parts.items()}
+        out |= self._by_tokenizer([piece for piece in pieces if piece not in out])
+        return [out[piece] for piece in pieces]
 
     def _by_tokenizer(self, new: list[str]) -> dict[str, bytes]:
         """Encodes many pieces as the lines of one text: a line feed between two pieces is always a token of its own."""

@@ -116,6 +116,25 @@ def test_each_part_is_encoded_once():
     assert len(asked) == len(set(asked))
 
 
+def test_words_met_again_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 100)
+    coder, asked = tokens.Encoder(tokens.tokenizer_path()), Counter()
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, part):
+            asked[part] += 1
+            return self.model.tokenize(part)
+
+    coder.model = Counted(coder.model)
+    letters = "abcdefghij"
+    texts = ["".join(f" often{a}" for a in letters) + "".join(f" rare{a}{letters[n // 10]}{letters[n % 10]}" for a in letters) for n in range(40)]
+    assert [coder.encode([t])[0].tolist() for t in texts] == [plain_ids(t) for t in texts]
+    assert max(asked.values()) == 1
+
+
 @pytest.mark.parametrize("cache", [1, 7])
 def test_a_full_cache_changes_no_ids(monkeypatch, cache):
     monkeypatch.setattr(tokens, "CACHE", cache)
