@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,27 +29,24 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm.binpacking import Capacities, Plan, plan
 from sensorflow.llm.frames import in_arrow, read, ship, slices, stored
-from sensorflow.llm.tokens import SPACE, byte_letters, tokenizer_path
+from sensorflow.llm.tokens import CACHE, LATIN, SPACE, Cache, byte_letters, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Entries of the caches of words and of their parts in each Python worker; one is emptied when full. Longer words aren't kept.
-CACHE = 600_000
-KEPT = 200
 #: Python's split() also cuts at these, the tokenizer's white space doesn't.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 CHUNKS = re.compile(f"[^{SPACE}]+")
 SPECIAL = "<|"
-#: Words of these characters are in normal form, and the tokenizer's own pattern comes down to PARTS for them.
-LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: For texts of Latin letters, which are in normal form, the tokenizer's own pattern comes down to PARTS in lower case.
+LOWER = "a-zß-öø-ÿ"
+PARTS = re.compile(f"[{LOWER}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r {LOWER}0-9]+")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint, task int, number bigint"
 
 
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and never joins across it: words are encoded once and kept.
 
-    Words of Latin letters are cut into the tokenizer's parts here, each part once; all other words go through the whole tokenizer.
+    Texts and words of Latin letters are cut into the tokenizer's parts here, each part once; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -57,42 +56,32 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.between = self.tokenizer.token_to_id("<|startoftext|>")
         self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts, self.words = Cache(self._of_parts, CACHE), Cache(self._of_words, CACHE)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = CHUNKS.findall(text) if SEPARATORS.search(text) else text.split()
-        found = list(map(self.words.get, words))
-        missing = [at for at, ids in enumerate(found) if ids is None]
-        if missing:
-            new = self._encoded({words[at] for at in missing})
-            for at in missing:
-                found[at] = new[words[at]]
-            if len(self.words) + len(new) > CACHE:
-                self.words.clear()
-            self.words.update((w, ids) for w, ids in new.items() if len(w) <= KEPT)
-        return b"".join(found)
-
-    def _encoded(self, new: set[str]) -> dict[str, bytes]:
-        out, others = {}, []
-        for word in new:
-            if LATIN.fullmatch(word) and SPECIAL not in word:
-                out[word] = b"".join([self.parts.get(p) or self._part(p) for p in PARTS.findall(word.lower())])
-            else:
-                others.append(word)
+        if self._is_plain(text):
+            return b"".join(self.parts.ids(PARTS.findall(text.lower())))
+        return b"".join(self.words.ids(CHUNKS.findall(text) if SEPARATORS.search(text) else text.split()))
+
+    @staticmethod
+    def _is_plain(text: str) -> bool:
+        return LATIN.fullmatch(text) is not None and SPECIAL not in text
+
+    def _of_parts(self, parts: list[str]) -> Iterator[bytes]:
+        tokenize = self.model.tokenize
+        for part in parts:
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            yield array("I", [token.id for token in tokenize(letters)]).tobytes()
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        parts = {word: PARTS.findall(word.lower()) for word in words if self._is_plain(word)}
+        found = iter(self.parts.ids([part for some in parts.values() for part in some]))
+        out = {word: b"".join(islice(found, len(some))) for word, some in parts.items()}
+        others = [word for word in words if word not in out]
         for begin in range(0, len(others), 256):
-            out.update(self._by_tokenizer(others[begin : begin + 256]))
-        return out
-
-    def _part(self, part: str) -> bytes:
-        bytes_as_letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(bytes_as_letters)], "<u4").tobytes()
-        if len(part) <= KEPT:
-            if len(self.parts) >= CACHE:
-                self.parts.clear()
-            self.parts[part] = ids
-        return ids
+            out |= self._by_tokenizer(others[begin : begin + 256])
+        return [out[word] for word in words]
 
     def _by_tokenizer(self, some: list[str]) -> dict[str, bytes]:
         """Many words in one call, told apart by a special token; words that hold the beginning of one are encoded alone."""

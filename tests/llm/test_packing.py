@@ -1,7 +1,7 @@
 """Packing: ids of the plain library, every constraint, and the plan against best-fit one document after the other."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -29,6 +29,26 @@ def test_special_tokens_are_as_the_library_has_them(value):
     assert np.frombuffer(packing.encoder(PATH).encode(value), "<u4").tolist() == plain.encode(value, add_special_tokens=False).ids
 
 
+def test_parts_met_again_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 100)
+    coder, asked, plain = packing.WordEncoder(PATH), Counter(), Tokenizer.from_file(PATH)
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, part):
+            asked[part] += 1
+            return self.model.tokenize(part)
+
+    coder.model = Counted(coder.model)
+    letters = "abcdefghij"
+    for n in range(40):
+        text = " ".join([f"often{a}" for a in letters] + [f"rare{a}{letters[n // 10]}{letters[n % 10]}," for a in letters])
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert max(asked.values()) == 1
+
+
 def one_by_one(counts, capacities):
     """Best-fit decreasing by what is left of the tokens, document by document."""
     room, bins = capacities.vector(), []
