@@ -15,23 +15,26 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import cache, partial
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm.bitpack import TokenFile, TokenWriter, bits_for
-from sensorflow.llm.frames import filesystem, in_arrow, read, stored
+from sensorflow.llm.frames import filesystem, in_arrow, read, slices, stored
+from sensorflow.llm.words import buffers
 from sensorflow.session import fresh_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Entries of each generation of a cache of encoded pieces; a Python worker has two for each cache, some 170 bytes an entry.
-#: Only the pieces of one text may go beyond it, and longer pieces than ``KEPT`` aren't kept.
+#: Only the pieces of one text, or of texts encoded at once, may go beyond it, and longer pieces than ``KEPT`` aren't kept.
 CACHE = 250_000
 KEPT = 200
 SHARDS = "shard int, path string, documents bigint, ids bigint"
@@ -43,6 +46,15 @@ PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 LATIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 PARTS = re.compile(f" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\t-\r {LETTERS}0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]")
+#: Bytes of Latin texts by what PARTS makes of them (white, letter, digit, other), and bytes that only other texts have.
+WHITE, LETTER, DIGIT, OTHER = range(4)
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[[*b"\t\n\x0b\f\r "]] = WHITE
+KINDS[[*b"0123456789"]] = DIGIT
+KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
+FOREIGN = np.ones(256, bool)
+FOREIGN[[*range(9, 14), *range(32, 127), *range(0x80, 0xC0), 0xC3]] = False
+FOREIGN[[0x97, 0xB7]] = True  # behind C3 the signs for times and divided by
 #: The letter of a byte-level vocabulary that stands for a blank; the other printable ASCII characters stand for themselves.
 BLANK = "\u0120"
 
@@ -53,6 +65,28 @@ def byte_letters() -> dict[int, int]:
     return {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in plain)}
 
 
+def part_begins(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the parts of Latin texts begin, as PARTS cuts them; ``data`` holds all texts in a row, ``offsets`` where each begins and ends."""
+    kinds, borders = KINDS[data], np.zeros(len(data) + 2, bool)
+    borders[offsets] = borders[-2:] = True
+    begins = borders[: len(data)].copy()
+    begins[1:] |= kinds[1:] != kinds[:-1]
+    # the last white space before anything else stands apart, and a blank goes with what follows
+    after = 1 + np.flatnonzero((kinds[:-1] == WHITE) & (kinds[1:] != WHITE) & ~borders[1 : len(data)])
+    begins[after - 1] = True
+    begins[after[data[after - 1] == 32]] = False
+    quotes = np.flatnonzero(data == 39)
+    quotes = quotes[begins[quotes] & ~borders[quotes + 1]]
+    first, second = data[quotes + 1], data[np.minimum(quotes + 2, len(data) - 1)]
+    short = (first == 115) | (first == 116) | (first == 109) | (first == 100)  # s, t, m, d
+    long = ((first == 114) | (first == 118)) & (second == 101) | (first == 108) & (second == 108)  # re, ve, ll
+    long &= ~borders[quotes + 2]
+    begins[quotes[short | long] + 1] = False
+    ends = np.concatenate([quotes[short] + 2, quotes[long] + 3])
+    begins[ends[ends < len(data)]] = True
+    return np.flatnonzero(begins)
+
+
 class Cache:
     """Ids of pieces, encoded once while they are kept, in two generations.
 
@@ -86,11 +120,68 @@ class Cache:
         return found
 
 
+@dataclass
+class Entries:
+    """Distinct parts and the ids of each, all in a row."""
+
+    parts: pa.Array
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    def ids_of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these parts in a row, and how many each has."""
+        sizes = self.sizes[rows]
+        begins = (np.cumsum(self.sizes) - self.sizes)[rows]
+        places = np.repeat(begins - np.cumsum(sizes) + sizes, sizes)
+        places += np.arange(len(places))
+        return self.ids[places], sizes
+
+    def only(self, rows: np.ndarray) -> Entries:
+        return Entries(self.parts.take(pa.array(rows)), *self.ids_of(rows))
+
+    def __add__(self, other: Entries) -> Entries:
+        parts = pa.concat_arrays([self.parts, other.parts])
+        return Entries(parts, np.append(self.ids, other.ids), np.append(self.sizes, other.sizes))
+
+
+class Table:
+    """A ``Cache`` for the parts of many texts at once, as arrays. A call goes through all that is kept, so it pays for long columns."""
+
+    def __init__(self, encoded: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], size: int):
+        self.encoded, self.size = encoded, size
+        self.young = self.old = Entries(pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in a row, and how many each has."""
+        # the parts kept come first, so that their numbers are their rows
+        numbered = pa.chunked_array([self.young.parts, parts]).dictionary_encode()
+        numbered = numbered.chunk(numbered.num_chunks - 1)
+        rows = numbered.indices.to_numpy()
+        every = self.young + self._new(numbered.dictionary.slice(len(self.young.parts)))
+        found = every.ids_of(rows)
+        if len(every.parts) > self.size:
+            used = np.zeros(len(every.parts), bool)
+            used[rows] = True
+            self.old, every = self.young, every.only(np.flatnonzero(used))
+        short = pa.compute.binary_length(every.parts).to_numpy() <= KEPT
+        self.young = every if short.all() else every.only(np.flatnonzero(short))
+        return found
+
+    def _new(self, parts: pa.Array) -> Entries:
+        kept = pa.compute.fill_null(pa.compute.index_in(parts, value_set=self.old.parts), -1).to_numpy()
+        unknown = parts.filter(pa.array(kept < 0))
+        source = self.old + Entries(unknown, *self.encoded(unknown))
+        rows = kept.astype(np.int64)
+        rows[kept < 0] = len(self.old.parts) + np.arange(len(unknown))
+        return Entries(parts, *source.ids_of(rows))
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them. Pieces that no token crosses are encoded once and kept in a cache.
 
-    Texts are cut at the tokenizer's added tokens first, as the library does. Texts and pieces of Latin letters are cut into the
-    parts of the tokenizer's pattern here, each part encoded once by its model; all others go through the whole tokenizer.
+    Latin texts are cut many at once into the parts of the tokenizer's pattern, and each distinct part is looked up once. Other texts
+    are cut at the tokenizer's added tokens first, as the library does, then at white space; pieces of Latin letters are cut into the
+    same parts. A part is encoded once by the tokenizer's model; all other pieces go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -104,13 +195,61 @@ class Encoder:
             raise ValueError("added tokens that change the text beside them")
         self.added = {t.content: np.array([i], np.uint32).tobytes() for i, t in added.items()}
         # the longest of several that begin at one place
-        self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
+        cuts = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)"
+        self.cuts, self.cut_bytes = re.compile(cuts), re.compile(cuts.encode())
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.letters = byte_letters()
+        self.letter_codes = np.array([self.letters.get(byte, byte) for byte in range(256)], "<u4")
+        self.table = Table(self._of_column, CACHE)
         self.parts, self.pieces = Cache(self._of_parts, CACHE), Cache(self._of_pieces, CACHE)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(self._ids(text)), np.uint32) for text in texts]
+        return list(self.encoded(pa.array(texts, pa.large_string())))
+
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; null counts as empty."""
+        latin = self._latin(*buffers(texts))
+        some = texts if latin.all() else texts.filter(pa.array(latin))
+        ids, ends = self._latin_ids(*buffers(some))
+        number = begin = 0
+        for row, plain in enumerate(latin.tolist()):
+            if plain:
+                yield ids[begin : ends[number]]
+                begin, number = ends[number], number + 1
+            else:
+                yield np.frombuffer(b"".join(self._ids(texts[row].as_py())), np.uint32)
+
+    def _latin(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts have Latin characters alone and no added token, nor the beginning of one that the next texts would end."""
+        others = np.flatnonzero(FOREIGN[data]).tolist()
+        cut = self.cut_bytes.search(data)
+        while cut:
+            others.append(cut.start())
+            cut = self.cut_bytes.search(data, cut.start() + 1)
+        latin = np.ones(len(offsets) - 1, bool)
+        latin[np.searchsorted(offsets, others, "right") - 1] = False
+        return latin
+
+    def _latin_ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Ids of all texts in a row, and where those of each end."""
+        if not len(data):
+            return np.zeros(0, np.uint32), [0] * (len(offsets) - 1)
+        begins = part_begins(data, offsets)
+        bounds = np.append(begins, len(data))
+        parts = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(bounds), pa.py_buffer(data))
+        ids, sizes = self.table.ids(parts)
+        ends = np.append(0, np.cumsum(sizes))
+        return ids, ends[np.searchsorted(begins, offsets[1:])].tolist()
+
+    def _of_column(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = buffers(parts)
+        letters = self.letter_codes[data].tobytes().decode("utf-32-le")
+        tokenize, ids, sizes = self.model.tokenize, array("I"), []
+        for begin, end in pairwise(offsets.tolist()):
+            found = [token.id for token in tokenize(letters[begin:end])]
+            sizes.append(len(found))
+            ids.extend(found)
+        return np.frombuffer(ids, np.uint32), np.array(sizes, np.int64)
 
     def _ids(self, text: str) -> list[bytes]:
         out, begin = [], 0
@@ -173,16 +312,13 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, encode_with: Ca
     path, own = f"{root}/shard-{shard:06d}.tokens", f"{root}/.shard-{shard:06d}-{uuid.uuid4().hex}"
     writer = stream = None
     coder = encode_with()
-    for batch in batches:
-        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-        for begin in range(0, batch.num_rows, 64):
-            some = [t or "" for t in texts.slice(begin, 64).to_pylist()]
-            for doc_id, found in zip(ids[begin : begin + 64], coder.encode(some), strict=True):
-                if writer is None:
-                    files.create_dir(root, recursive=True)
-                    stream = files.open_output_stream(own)
-                    writer = TokenWriter(stream, bits_for(coder.vocabulary))
-                writer.add(doc_id, np.append(found, np.uint32(END_ID)))
+    for batch in slices(batches, "text"):
+        for doc_id, found in zip(batch.column("doc_id").to_pylist(), coder.encoded(batch.column("text")), strict=True):
+            if writer is None:
+                files.create_dir(root, recursive=True)
+                stream = files.open_output_stream(own)
+                writer = TokenWriter(stream, bits_for(coder.vocabulary))
+            writer.add(doc_id, np.append(found, np.uint32(END_ID)))
     if writer is not None:
         writer.finish()
         stream.close()

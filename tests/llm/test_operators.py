@@ -135,6 +135,43 @@ def test_words_met_again_stay_in_a_full_cache(monkeypatch):
     assert max(asked.values()) == 1
 
 
+def library_ids(coder: tokens.Encoder, value: str) -> list[int]:
+    return coder.tokenizer.encode(value, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZ9 '\n\t\r.,!éßÿ×sltdmrve<|>"), max_size=30), max_size=6))
+def test_latin_texts_encoded_at_once_are_cut_apart(values):
+    coder = tokens.encoder(tokens.tokenizer_path())
+    assert [ids.tolist() for ids in coder.encode(values)] == [library_ids(coder, v) for v in values]
+
+
+def test_an_added_token_is_one_of_its_text_alone():
+    values = ["a <|endof", "text|> b", "<|endoftext|><|endof", "", "text|>", "l'été's 'll", "'", "s", " ", "x"]
+    coder = tokens.encoder(tokens.tokenizer_path())
+    assert [ids.tolist() for ids in coder.encode(values)] == [library_ids(coder, v) for v in values]
+
+
+def test_distinct_parts_of_many_texts_are_looked_up_once():
+    coder, looked = tokens.Encoder(tokens.tokenizer_path()), []
+    ids_of, of_table = coder.parts.ids, coder.table.encoded
+    coder.parts.ids = lambda parts: looked.extend(parts) or ids_of(parts)
+    coder.table.encoded = lambda parts: looked.extend(parts.to_pylist()) or of_table(parts)
+    texts = ["one two, three.", "three two one", " one two"] * 50
+    assert [ids.tolist() for ids in coder.encode(texts)] == [library_ids(coder, t) for t in texts[:3]] * 50
+    assert sorted(looked) == sorted({"one", " two", ",", " three", ".", "three", " one"})
+
+
+@pytest.mark.parametrize("size", [3, 40, 1000])
+def test_a_table_that_drops_parts_changes_no_ids(monkeypatch, size):
+    monkeypatch.setattr(tokens, "CACHE", size)
+    coder, draw = tokens.Encoder(tokens.tokenizer_path()), np.random.default_rng(3)
+    for _ in range(12):
+        texts = [" ".join(f"w{n}é" if n % 3 else "x" * (150 + n) for n in draw.zipf(1.3, 30) % 200) for _ in range(4)]
+        assert [ids.tolist() for ids in coder.encode(texts)] == [library_ids(coder, t) for t in texts]
+        assert not any(len(part) > tokens.KEPT for part in coder.table.young.parts.to_pylist())
+
+
 @pytest.mark.parametrize("cache", [1, 7])
 def test_a_full_cache_changes_no_ids(monkeypatch, cache):
     monkeypatch.setattr(tokens, "CACHE", cache)
@@ -565,6 +602,10 @@ def naive_hits(texts, items, tile, cover):
 few_words = st.lists(st.sampled_from("abc"), max_size=30)
 
 
+def library_ids(coder: tokens.Encoder, value: str) -> list[int]:
+    return coder.tokenizer.encode(value, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(few_words, min_size=1, max_size=3), st.lists(few_words, min_size=1, max_size=3), st.integers(2, 5), st.sampled_from([0.3, 0.5, 1.0]))
 def test_tiling_like_naive_search(texts, items, tile, cover):
